@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veldcube.functions.columns import edge_area_term
 from veldcube.functions.session import cut_lineage
 
 BLOCK = 64
@@ -117,61 +118,168 @@ def patch_edges(components: DataFrame, keys: list[str]) -> DataFrame:
     ).where("n = 1").select(*keys, "component_id", "s.x", "s.y", "s.d")
 
 
-def patch_rings(components: DataFrame, keys: list[str]) -> DataFrame:
-    """Outline corners of each patch in ring order: (keys, component_id, ring_id, seq, x, y), clockwise
-    around the patch, straight runs merged, not closed.
+def patch_outline(components: DataFrame, keys: list[str]) -> DataFrame:
+    """Boundary edges of each patch in ring order: keys, component_id, ring_id, seq, x, y, d, corner.
+
+    (x, y) is the start corner of the unit edge, `corner` marks a change of direction there. Rings run
+    clockwise around the patch and the other way around its holes; `seq` orders a ring from 0.
 
     Edges are ranked by pointer doubling: each round doubles how far an edge sees along its ring, so
     no task ever holds a whole ring. Where a patch meets itself at a corner the ring turns right and
     stays with its cell, as four-connected patches do.
     """
-    edges = patch_edges(components, keys)
     key = [*keys, "component_id"]
     eid = (F.col("y").cast("long") * F.lit(SHIFT) + F.col("x")) * 4 + F.col("d")
-    edges = cut_lineage(edges.withColumn("edge", eid))
+    edges = cut_lineage(patch_edges(components, keys).withColumn("edge", eid))
     nx = F.col("x") + F.when(F.col("d") == 0, 1).when(F.col("d") == 2, -1).otherwise(0)
     ny = F.col("y") + F.when(F.col("d") == 1, 1).when(F.col("d") == 3, -1).otherwise(0)
     ends = edges.select(*key, "edge", "d", nx.alias("x"), ny.alias("y"))
     starts = edges.select(*key, "x", "y", F.col("edge").alias("to"), F.col("d").alias("to_d"))
     turn = F.pmod(F.col("to_d") - F.col("d"), F.lit(4))
-    follow = ends.join(starts, [*key, "x", "y"]).groupBy(*keys, "edge", "d").agg(
-        F.min_by(F.struct("to", "to_d"), F.when(turn == 1, 0).when(turn == 0, 1).otherwise(2)).alias("n")
+    follow = cut_lineage(
+        ends.join(starts, [*key, "x", "y"]).groupBy(*keys, "edge", "d").agg(
+            F.min_by(F.struct("to"), F.when(turn == 1, 0).when(turn == 0, 1).otherwise(2)).alias("n")
+        )
+    )
+    # first: smallest edge seen ahead; ahead: steps to its nearest occurrence.
+    walk = follow.select(
+        *keys, "edge", F.col("n.to").alias("next"), F.col("edge").alias("first"), F.lit(0).cast("long").alias("ahead")
     )
-    # first: smallest edge seen ahead; ahead: steps to it; corner: the turn happens after this edge
-    walk = cut_lineage(follow.select(*keys, "edge", F.col("n.to").alias("next"), F.col("edge").alias("first"),
-                                     F.lit(0).cast("long").alias("ahead")))
     reach = 1
     while True:
         far = walk.select(*keys, F.col("edge").alias("next"), F.col("next").alias("next2"),
                           F.col("first").alias("first2"), F.col("ahead").alias("ahead2"))
         nearer = F.col("first") <= F.col("first2")
-        walk = cut_lineage(walk.join(far, [*keys, "next"]).select(
+        step = cut_lineage(walk.join(far, [*keys, "next"]).select(
             *keys, "edge", F.col("next2").alias("next"),
             F.least("first", "first2").alias("first"),
             F.when(nearer, F.col("ahead")).otherwise(F.col("ahead2") + reach).alias("ahead"),
             (~nearer).alias("moved"),
         ))
+        walk = step.drop("moved")
         reach *= 2
-        if walk.where("moved").isEmpty():
+        if step.where("moved").isEmpty():
             break
-        walk = walk.drop("moved")
     before = follow.select(*keys, F.col("n.to").alias("edge"), F.col("d").alias("from_d"))
-    placed = edges.join(walk.select(*keys, "edge", F.col("first").alias("ring_id"), "ahead"), [*keys, "edge"]).join(
-        before, [*keys, "edge"]
+    sizes = walk.groupBy(*keys, "first").agg(F.count(F.lit(1)).alias("size"))
+    ranked = walk.join(sizes, [*keys, "first"]).select(
+        *keys, "edge", F.col("first").alias("ring_id"), F.pmod(F.col("size") - F.col("ahead"), F.col("size")).alias("seq"),
+        "size",
+    )
+    return edges.join(ranked, [*keys, "edge"]).join(before, [*keys, "edge"]).select(
+        *key, "ring_id", "seq", "size", "x", "y", "d", (F.col("d") != F.col("from_d")).alias("corner")
     )
-    # Steps to the first edge fall along the ring; the first edge itself has 0 and leads.
-    seq = F.when(F.col("ahead") == 0, F.lit(0).cast("long")).otherwise(F.lit(1 << 40) - F.col("ahead"))
-    return placed.where("d <> from_d").select(*key, "ring_id", seq.alias("seq"), "x", "y")
 
 
-def ring_totals(rings: DataFrame, keys: list[str]) -> DataFrame:
-    """Signed shoelace area in cells and corner count per ring; holes are negative."""
+def ring_totals(outline: DataFrame, keys: list[str]) -> DataFrame:
+    """Signed shoelace area in cells (holes negative), boundary length and corners of each ring."""
+    x2 = F.col("x") + F.when(F.col("d") == 0, 1).when(F.col("d") == 2, -1).otherwise(0)
+    y2 = F.col("y") + F.when(F.col("d") == 1, 1).when(F.col("d") == 3, -1).otherwise(0)
+    return outline.groupBy(*keys, "component_id", "ring_id").agg(
+        (F.sum(F.col("x") * y2 - x2 * F.col("y")) / 2).alias("area_cells"),
+        F.count(F.lit(1)).alias("length"),
+        F.sum(F.col("corner").cast("int")).alias("n_corners"),
+    )
+
+
+def outline_area(outline: DataFrame, keys: list[str], grid: DataFrame) -> DataFrame:
+    """Geodesic km2 of each patch from its outline; `keys` include aoi."""
+    placed = outline.join(grid.select("aoi", "west", "north", "dx", "dy"), "aoi")
+    x2 = F.col("x") + F.when(F.col("d") == 0, 1).when(F.col("d") == 2, -1).otherwise(0)
+    y2 = F.col("y") + F.when(F.col("d") == 1, 1).when(F.col("d") == 3, -1).otherwise(0)
+
+    def lon(x):
+        return F.col("west") + x * F.col("dx")
+
+    def lat(y):
+        return F.col("north") + y * F.col("dy")
+
+    term = edge_area_term(lon(F.col("x")), lat(F.col("y")), lon(x2), lat(y2))
+    return placed.groupBy(*keys, "component_id").agg(F.abs(F.sum(term)).alias("area_km2"))
+
+
+def ring_vertices(outline: DataFrame, keys: list[str], grid: DataFrame) -> DataFrame:
+    """Corners of the outlines as closed lon/lat rings: keys, component_id, ring_id, seq, lon, lat."""
+    corners = outline.where("corner")
     key = [*keys, "component_id", "ring_id"]
-    ordered = Window.partitionBy(*key).orderBy("seq")
-    n = rings.withColumn("i", F.row_number().over(ordered))
-    size = n.groupBy(*key).agg(F.max("i").alias("n"))
-    nxt = n.select(*key, F.col("i").alias("j"), F.col("x").alias("x2"), F.col("y").alias("y2"))
-    pairs = n.join(size, key).withColumn("j", F.col("i") % F.col("n") + 1).join(nxt, [*key, "j"])
-    area = F.sum(F.col("x") * F.col("y2") - F.col("x2") * F.col("y")) / 2
-    length = F.sum(F.abs(F.col("x2") - F.col("x")) + F.abs(F.col("y2") - F.col("y")))
-    return pairs.groupBy(*key).agg(area.alias("area_cells"), length.alias("length"), F.max("n").alias("n_corners"))
+    first = corners.groupBy(*key).agg(F.min(F.struct("seq", "x", "y")).alias("f"), F.max("size").alias("size"))
+    # The closing vertex repeats the first one, a whole turn later.
+    closing = first.select(*key, (F.col("f.seq") + F.col("size")).alias("seq"), F.col("f.x").alias("x"), F.col("f.y").alias("y"))
+    every = corners.select(*key, "seq", "x", "y").unionByName(closing)
+    return every.join(grid.select("aoi", "west", "north", "dx", "dy"), "aoi").select(
+        *key, "seq", (F.col("west") + F.col("x") * F.col("dx")).alias("lon"), (F.col("north") + F.col("y") * F.col("dy")).alias("lat")
+    )
+
+
+def simplify_rings(vertices: DataFrame, keys: list[str], tolerance: float = 50.0) -> DataFrame:
+    """Douglas-Peucker on closed rings with metric coordinates (keys, seq, x, y, ...): vertices kept.
+
+    Every round finds the farthest vertex of all open segments at once (a combinable aggregate) and
+    splits or closes them, so a ring of any length stays spread over tasks. The two widest splits of
+    a ring are always kept: a ring never falls below a closed triangle.
+    """
+    other = [c for c in vertices.columns if c not in (*keys, "seq", "x", "y")]
+    point = F.struct("seq", "x", "y", *other)
+    spots = vertices.select(*keys, "seq", point.alias("p"))
+    ends = spots.groupBy(*keys).agg(F.min("p").alias("lo"), F.max("p").alias("hi"))
+    kept = [cut_lineage(ends.select(*keys, F.explode(F.array("lo", "hi")).alias("p")))]
+    salt = F.pmod(F.xxhash64("seq"), F.lit(SALTS)).cast("int")
+
+    def salted(df: DataFrame) -> DataFrame:
+        return df.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+    active = spots.withColumn("salt", salt).join(salted(ends), [*keys, "salt"]).where(
+        (F.col("seq") > F.col("lo.seq")) & (F.col("seq") < F.col("hi.seq"))
+    ).drop("salt")
+    for depth in range(1 << 30):
+        vx, vy = F.col("hi.x") - F.col("lo.x"), F.col("hi.y") - F.col("lo.y")
+        px, py = F.col("p.x") - F.col("lo.x"), F.col("p.y") - F.col("lo.y")
+        length2 = vx * vx + vy * vy
+        t = F.when(length2 > 0, F.least(F.greatest((px * vx + py * vy) / length2, F.lit(0.0)), F.lit(1.0))).otherwise(0.0)
+        gap = F.sqrt(F.pow(px - t * vx, 2) + F.pow(py - t * vy, 2))
+        active = cut_lineage(active.withColumn("gap", gap))
+        if active.isEmpty():
+            break
+        segment = [*keys, "lo_seq"]
+        marked = active.withColumn("lo_seq", F.col("lo.seq"))
+        widest = marked.groupBy(*segment).agg(
+            F.max("gap").alias("far"), F.max_by("p", F.struct("gap", -F.col("seq"))).alias("split")
+        )
+        limit = F.col("far") > tolerance
+        if depth == 0:
+            limit = F.lit(True)
+        elif depth == 1:
+            top = widest.groupBy(*keys).agg(F.max(F.struct(F.col("far"), (-F.col("lo_seq")).alias("at"))).alias("top"))
+            widest = widest.join(top, keys)
+            limit = limit | (F.col("lo_seq") == -F.col("top.at"))
+        splits = cut_lineage(widest.where(limit).select(*segment, "split"))
+        kept.append(splits.select(*keys, F.col("split").alias("p")))
+        joined = marked.withColumn("salt", salt).join(salted(splits), [*segment, "salt"]).where(F.col("seq") != F.col("split.seq"))
+        left = F.col("seq") < F.col("split.seq")
+        active = joined.select(
+            *keys, "seq", "p", F.when(left, F.col("lo")).otherwise(F.col("split")).alias("lo"),
+            F.when(left, F.col("split")).otherwise(F.col("hi")).alias("hi"),
+        )
+    whole = kept[0]
+    for part in kept[1:]:
+        whole = whole.unionByName(part)
+    return whole.select(*keys, "p.*")
+
+
+def patch_features(vertices: DataFrame, keys: list[str], properties: DataFrame) -> DataFrame:
+    """One GeoJSON feature line per patch from its closed lon/lat rings.
+
+    A feature is one record by definition, so its outline is gathered per patch here and only here.
+    """
+    key = [*keys, "component_id"]
+    ring = F.transform(F.array_sort(F.collect_list(F.struct("seq", "lon", "lat"))), lambda p: F.array(p["lon"], p["lat"]))
+    rings = vertices.groupBy(*key, "ring_id").agg(ring.alias("ring"))
+    # The ring with the smallest edge of the patch is the outer one and comes first.
+    shapes = rings.groupBy(*key).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("ring_id", "ring"))), lambda r: r["ring"]).alias("coordinates")
+    )
+    named = [c for c in properties.columns if c != "component_id"]
+    geometry = F.struct(F.lit("Polygon").alias("type"), F.col("coordinates"))
+    return shapes.join(properties, key).select(
+        *key, F.to_json(F.struct(F.lit("Feature").alias("type"), F.struct(*named).alias("properties"), geometry.alias("geometry"))).alias("feature")
+    )

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from veldcube.functions import fixed
 from veldcube.functions.columns import edge_area_term
-from veldcube.functions.session import broadcast_if_small
+from veldcube.functions.session import broadcast_if_small, cut_lineage
 
 SPAN = ["aoi", "resolution", "layer", "polygon_id", "row_idx"]
 RING = ["aoi", "layer", "polygon_id", "ring_id"]
@@ -237,7 +237,6 @@ def distance_to_nearest(cells: DataFrame, targets: DataFrame, keys: list[str], o
     around = F.explode(F.expr("flatten(transform(sequence(-1, 1), i -> transform(sequence(-1, 1), j -> struct(i, j))))"))
     parts = [settled, none]
     side = 4
-    from veldcube.functions.session import cut_lineage
     open_, rim = cut_lineage(open_), cut_lineage(rim)
     while True:
         boxed = rim.select(*keys, "tr", "tc", F.floor(F.col("tr") / side).alias("br"), F.floor(F.col("tc") / side).alias("bc"))
