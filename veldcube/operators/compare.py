@@ -126,8 +126,8 @@ def subset_verdict(match: DataFrame, source: str, candidate: str, other: str, gr
         *group, F.col("jaccard").alias("other_jaccard"), F.col("n_only_a").alias("other_only_a"), F.col("mad_days").alias("other_mad"),
     )
     pa, pb = F.col("pct_a_captured"), F.col("pct_b_captured")
-    near = (pa >= 90) & (pb >= 90) & (F.col("mad_days") < 2)
-    better = F.when(F.col("other_jaccard") > 0, F.col("jaccard") / F.col("other_jaccard") >= 1.2).otherwise(F.col("jaccard") > 0)
+    near = (pa >= 90) & (pb >= 90) & (F.coalesce("mad_days", F.lit(0.0)) < 2)
+    better = F.when(F.col("other_jaccard") > 0, F.col("jaccard") / F.col("other_jaccard") >= 1.2).otherwise(True)
     subset = (F.col("other_only_a") == 0) & (F.coalesce("other_mad", F.lit(0.0)) < 1)
     verdict = (
         F.when(near, "near_perfect").when(((pa >= 50) | (pb >= 50)) & better, "partial")
