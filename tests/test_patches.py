@@ -105,6 +105,8 @@ def test_simplify_drops_small_steps_and_keeps_triangle(spark):
     rows = [("a", i, x, y) for i, (x, y) in enumerate(stairs)] + [("b", i, x, y) for i, (x, y) in enumerate(tiny)]
     df = spark.createDataFrame(rows, "ring string, seq long, x double, y double")
     out = patches.simplify_rings(df, ["ring"], 50.0)
+    rounds = patches.simplify_rings(df, ["ring"], 50.0, one_task=3)
+    assert sorted(out.collect()) == sorted(rounds.select(*out.columns).collect())
     kept = {k: [] for k in "ab"}
     for r in out.orderBy("ring", "seq").collect():
         kept[r.ring].append((r.x, r.y))
@@ -120,6 +122,18 @@ def test_simplify_drops_small_steps_and_keeps_triangle(spark):
     assert all(min(gap(p, a, b) for a, b in zip(kept["a"], kept["a"][1:])) <= 50.0 for p in stairs)
 
 
+def test_both_ways_to_simplify_agree_on_random_rings(spark):
+    rng = random.Random(5)
+    rows = []
+    for ring in range(6):
+        points = [(float(rng.randrange(400)), float(rng.randrange(400))) for _ in range(80)]
+        rows += [(ring, i, x, y) for i, (x, y) in enumerate([*points, points[0]])]
+    df = spark.createDataFrame(rows, "ring int, seq long, x double, y double")
+    a = patches.simplify_rings(df, ["ring"], 120.0).collect()
+    b = patches.simplify_rings(df, ["ring"], 120.0, one_task=1).select("ring", "seq", "x", "y").collect()
+    assert sorted(a) == sorted(b) and len(a) < len(rows)
+
+
 def test_feature_lines(spark):
     import json
     cells = {(r, c): 1 for r in range(3) for c in range(3) if (r, c) != (1, 1)}

@@ -202,7 +202,7 @@ def cluster_size_classes(sizes: DataFrame, group: list[str]) -> DataFrame:
     kind = F.when(F.col("n_old") == F.col("size"), "fully_old").when(F.col("n_old") == 0, "only_new").otherwise("mixed")
     per_size = sizes.groupBy(*group, kind.alias("kind"), "size").agg(F.count(F.lit(1)).alias("n"))
     return per_size.groupBy(*group, "kind").agg(
-        F.sum("n").alias("n_clusters"), F.floor(F.percentile("size", F.lit(0.5), "n")).alias("median_size"),
+        F.sum("n").alias("n_clusters"), F.floor(F.percentile("size", F.lit(0.5), F.col("n"))).alias("median_size"),
     )
 
 
@@ -233,7 +233,7 @@ def distance_stats(distances: DataFrame, group: list[str]) -> DataFrame:
     per = distances.where(d.isNotNull()).groupBy(*group, "member", "distance").agg(F.count(F.lit(1)).alias("n"))
     return per.groupBy(*group, "member").agg(
         F.sum("n").alias("n_cells"), (F.sum(d * F.col("n")) / F.sum("n")).alias("mean_distance"),
-        F.percentile("distance", F.lit(0.5), "n").alias("median_distance"), F.max(d).alias("max_distance"),
+        F.percentile("distance", F.lit(0.5), F.col("n")).alias("median_distance"), F.max(d).alias("max_distance"),
     )
 
 

@@ -28,11 +28,31 @@ def prior_years_baseline(monthly: DataFrame) -> DataFrame:
     )
 
 
+def signed_rank_tails(largest: int = 12) -> list[list[float]]:
+    """Lower-tail probabilities P(V <= v) of the signed-rank statistic for 0..largest values.
+
+    The number of rank subsets with each sum grows by one rank at a time.
+    """
+    counts, tails = [1], [[1.0]]
+    for rank in range(1, largest + 1):
+        counts = [
+            (counts[v] if v < len(counts) else 0) + (counts[v - rank] if v >= rank else 0)
+            for v in range(len(counts) + rank)
+        ]
+        total, running = 2**rank, 0
+        tail = []
+        for c in counts:
+            running += c
+            tail.append(running / total)
+        tails.append(tail)
+    return tails
+
+
 def wilcoxon_signed_rank(anomalies: DataFrame) -> DataFrame:
     """Signed-rank test of a year's monthly anomalies against zero, for three or more non-NULL values.
 
-    Normal approximation with continuity and tie correction; zeros are left out of the ranks. At
-    most twelve values per group.
+    Exact without ties and zeros; otherwise zeros are left out and the normal approximation with
+    continuity and tie correction applies. A group has at most twelve values.
     """
     key = [*SERIES, "year"]
     rows = anomalies.where("anomaly IS NOT NULL")
@@ -52,8 +72,14 @@ def wilcoxon_signed_rank(anomalies: DataFrame) -> DataFrame:
     var = m * (m + 1) * (2 * m + 1) / 24.0 - F.col("tie")
     centred = F.col("v") - mean
     z = (centred - F.signum(centred) * 0.5) / F.sqrt(F.nullif(var, F.lit(0.0)))
+    tails = F.array(*[F.array(*[F.lit(p) for p in tail]) for tail in signed_rank_tails()])
+    own = F.element_at(tails, (m + 1).cast("int"))
+    low = F.element_at(own, (F.col("v") + 1).cast("int"))
+    high = F.when(F.col("v") > 0, 1 - F.element_at(own, F.greatest(F.col("v"), F.lit(1.0)).cast("int"))).otherwise(1.0)
+    exact = F.least(2 * F.least(low, high), F.lit(1.0))
+    plain = (F.col("tie") == 0) & (m == F.col("n"))
     return groups.where("n >= 3").join(sums, key, "left").select(
-        *key, "n", "median_anomaly", normal_cdf_complement_two_sided(z).alias("wilcox_p")
+        *key, "n", "median_anomaly", F.when(plain, exact).otherwise(normal_cdf_complement_two_sided(z)).alias("wilcox_p")
     )
 
 

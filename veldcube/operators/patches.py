@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,6 +14,7 @@ from veldcube.functions.session import cut_lineage
 BLOCK = 64
 SHIFT = 1 << 31
 SALTS = 16
+ONE_TASK_VERTICES = 1_000_000
 
 
 def cell_id(row: str = "row_idx", col: str = "col_idx"):
@@ -211,12 +212,60 @@ def ring_vertices(outline: DataFrame, keys: list[str], grid: DataFrame) -> DataF
     )
 
 
-def simplify_rings(vertices: DataFrame, keys: list[str], tolerance: float = 50.0) -> DataFrame:
+def _keep_mask(x: np.ndarray, y: np.ndarray, tolerance: float) -> np.ndarray:
+    """Vertices that one closed ring keeps; open segments are split level by level."""
+    keep = np.zeros(len(x), dtype=bool)
+    keep[[0, -1]] = True
+    segments, depth = [(0, len(x) - 1)], 0
+    while segments:
+        found = []
+        for lo, hi in segments:
+            if hi - lo < 2:
+                continue
+            vx, vy = x[hi] - x[lo], y[hi] - y[lo]
+            px, py = x[lo + 1:hi] - x[lo], y[lo + 1:hi] - y[lo]
+            length2 = vx * vx + vy * vy
+            t = np.clip((px * vx + py * vy) / length2, 0.0, 1.0) if length2 > 0 else np.zeros(hi - lo - 1)
+            gap = np.sqrt((px - t * vx) ** 2 + (py - t * vy) ** 2)
+            at = int(gap.argmax())
+            found.append((float(gap[at]), lo, lo + 1 + at, hi))
+        widest = max(found, key=lambda f: (f[0], -f[1])) if depth == 1 and found else None
+        segments = []
+        for f in found:
+            far, lo, split, hi = f
+            if far > tolerance or depth == 0 or f is widest:
+                keep[split] = True
+                segments += [(lo, split), (split, hi)]
+        depth += 1
+    return keep
+
+
+def simplify_rings(vertices: DataFrame, keys: list[str], tolerance: float = 50.0, one_task: int = ONE_TASK_VERTICES) -> DataFrame:
     """Douglas-Peucker on closed rings with metric coordinates (keys, seq, x, y, ...): vertices kept.
 
+    Rings of at most `one_task` vertices are simplified one ring at a time inside tasks; longer ones
+    by splitting all their segments at once. Both keep the same vertices: a ring's two widest splits
+    always stay, so it never falls below a closed triangle.
+    """
+    sizes = vertices.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    long = sizes.where(F.col("_n") > one_task).drop("_n")
+    schema = vertices.schema
+
+    def one_ring(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("seq", ignore_index=True)
+        return pdf[_keep_mask(pdf["x"].to_numpy(), pdf["y"].to_numpy(), tolerance)]
+
+    if long.isEmpty():
+        return vertices.groupBy(*keys).applyInPandas(one_ring, schema)
+    short = vertices.join(long, keys, "left_anti").groupBy(*keys).applyInPandas(one_ring, schema)
+    return short.unionByName(simplify_long_rings(vertices.join(long, keys, "left_semi"), keys, tolerance))
+
+
+def simplify_long_rings(vertices: DataFrame, keys: list[str], tolerance: float) -> DataFrame:
+    """`simplify_rings` for rings too long for a task.
+
     Every round finds the farthest vertex of all open segments at once (a combinable aggregate) and
-    splits or closes them, so a ring of any length stays spread over tasks. The two widest splits of
-    a ring are always kept: a ring never falls below a closed triangle.
+    splits or closes them, so a ring of any length stays spread over tasks.
     """
     other = [c for c in vertices.columns if c not in (*keys, "seq", "x", "y")]
     point = F.struct("seq", "x", "y", *other)
@@ -266,6 +315,15 @@ def simplify_rings(vertices: DataFrame, keys: list[str], tolerance: float = 50.0
     return whole.select(*keys, "p.*")
 
 
+def vertex_area(vertices: DataFrame, keys: list[str]) -> DataFrame:
+    """Geodesic km2 per `keys` from closed lon/lat rings (keys, ring_id, seq, lon, lat) whose holes
+    turn the other way. The next vertex comes from a window over one simplified ring."""
+    following = Window.partitionBy(*keys, "ring_id").orderBy("seq")
+    pairs = vertices.withColumn("lon2", F.lead("lon").over(following)).withColumn("lat2", F.lead("lat").over(following))
+    term = edge_area_term(F.col("lon"), F.col("lat"), F.col("lon2"), F.col("lat2"))
+    return pairs.where("lon2 IS NOT NULL").groupBy(*keys).agg(F.abs(F.sum(term)).alias("area_km2"))
+
+
 def patch_features(vertices: DataFrame, keys: list[str], properties: DataFrame) -> DataFrame:
     """One GeoJSON feature line per patch from its closed lon/lat rings.
 

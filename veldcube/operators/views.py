@@ -189,6 +189,19 @@ def ba_year_range(ba: DataFrame) -> DataFrame:
     )
 
 
+def frp_patches_view(patches: DataFrame, years: DataFrame) -> DataFrame:
+    """Patches with the year range of the burned-area record (last year less first year plus one)."""
+    return patches.drop("n_years").join(years, "aoi")
+
+
+def landcover_area(features: DataFrame, study_area: DataFrame) -> DataFrame:
+    """Hectares of each land-cover feature and its share of the study area (aoi, aoi_km2)."""
+    share = F.col("area_km2") / F.nullif(F.col("aoi_km2"), F.lit(0.0)) * 100
+    return features.join(study_area, "aoi").select(
+        "aoi", "component_id", "land_cover", (F.col("area_km2") * 100).alias("area_ha"), share.alias("pct_of_study_area")
+    )
+
+
 def frp_feature_summary(patches: DataFrame) -> DataFrame:
     """Count, extremes and unweighted mean of the fire return period over patches."""
     return patches.groupBy("aoi").agg(

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from veldcube.operators import annual, composite, monthly, trend
+from veldcube.functions.session import cut_lineage
+from veldcube.operators import annual, compare, composite, monthly, patches, spatial, trend
 from veldcube.sources import adapter, dims
 
 
@@ -138,3 +139,101 @@ class Cube:
     @cached_property
     def strip_frp(self) -> DataFrame:
         return annual.fire_return_period(annual.burn_count(self.strip_burns))
+
+    # --- burned cells of the strip grid over the whole period, in two sources -----------------
+
+    def _whole_period(self, burns: DataFrame) -> DataFrame:
+        bands = F.struct("burn_date", "first_day", "last_day", "burn_qa")
+        return burns.groupBy("aoi", "resolution", "row_idx", "col_idx").agg(F.max(bands).alias("b")).select(
+            "aoi", "resolution", "row_idx", "col_idx", "b.*"
+        )
+
+    @cached_property
+    def strip_new(self) -> DataFrame:
+        return self._whole_period(self.strip_burns)
+
+    @cached_property
+    def strip_old(self) -> DataFrame:
+        """The older source keeps observations with the valid-burn bit only."""
+        return self._whole_period(self.strip_burns.where(F.col("burn_qa").bitwiseAND(F.lit(4)) == 4))
+
+    @cached_property
+    def strip_pairs(self) -> DataFrame:
+        key = ["aoi", "resolution", "row_idx", "col_idx"]
+        return compare.burn_pairs(self.strip_new, self.strip_old, key, ["burn_qa", "first_day", "last_day"])
+
+    @cached_property
+    def burn_pairs(self) -> DataFrame:
+        return compare.burn_pairs(self.burns, self.old_burns, ["aoi", "resolution", "year", "month", "row_idx", "col_idx"])
+
+    @cached_property
+    def burn_sources(self) -> DataFrame:
+        """Burn date of the first, the last and any image per cell and month, in one pass."""
+        order = F.struct(*composite.SCENE_ORDER)
+        return self.obs.groupBy("aoi", "year", "month", "row_idx", "col_idx").agg(
+            F.min_by("burn_date", order).alias("first"), F.max_by("burn_date", order).alias("last"),
+            F.max("burn_date").alias("any"),
+        )
+
+    # --- polygons and patches ------------------------------------------------------------------
+
+    @cached_property
+    def edges(self) -> DataFrame:
+        return spatial.ring_edges(dims.ring_vertices(self.spark))
+
+    @cached_property
+    def spans(self) -> DataFrame:
+        return spatial.polygon_spans(self.edges, self.grid)
+
+    @cached_property
+    def aoi_spans(self) -> DataFrame:
+        return self.spans.where("layer = 'aoi'")
+
+    @cached_property
+    def class_spans(self) -> DataFrame:
+        return self.spans.where("layer <> 'aoi'")
+
+    @cached_property
+    def row_extents(self) -> DataFrame:
+        """Rectangle over the burned columns of each strip row, as a closed ring of five vertices."""
+        burned = self.strip_new.where("burn_date > 0").groupBy("aoi", "row_idx").agg(
+            F.min("col_idx").alias("c0"), (F.max("col_idx") + 1).alias("c1")
+        )
+        r0, r1 = F.col("row_idx"), F.col("row_idx") + 1
+        corners = F.array(*[
+            F.struct(x.alias("x"), y.alias("y"))
+            for x, y in ((F.col("c0"), r0), (F.col("c1"), r0), (F.col("c1"), r1), (F.col("c0"), r1), (F.col("c0"), r0))
+        ])
+        rings = burned.join(self.strip_grid, "aoi").select("aoi", "row_idx", "west", "north", "dx", "dy", F.posexplode(corners).alias("seq", "p"))
+        return rings.select(
+            "aoi", F.lit("rows").alias("layer"), F.col("row_idx").alias("polygon_id"), F.lit(0).alias("ring_id"), "seq",
+            (F.col("west") + F.col("p.x") * F.col("dx")).alias("lon"), (F.col("north") + F.col("p.y") * F.col("dy")).alias("lat"),
+        )
+
+    @cached_property
+    def frp_components(self) -> DataFrame:
+        cells = self.strip_frp.where("frp_years IS NOT NULL")
+        return cut_lineage(patches.connected_components(cells, ["aoi"], "frp_years", 4))
+
+    @cached_property
+    def frp_outline(self) -> DataFrame:
+        return cut_lineage(patches.patch_outline(self.frp_components, ["aoi"]))
+
+    @cached_property
+    def frp_patches(self) -> DataFrame:
+        """One row per patch of equal return period; the burn count is derived again from the rounded period."""
+        sizes = self.frp_components.groupBy("aoi", "component_id").agg(
+            F.max("value").alias("frp_years"), F.count(F.lit(1)).alias("n_cells")
+        )
+        rings = patches.ring_totals(self.frp_outline, ["aoi"]).groupBy("aoi", "component_id").agg(F.count(F.lit(1)).alias("n_rings"))
+        years = self.strip_burns.groupBy("aoi").agg(F.count_distinct("year").cast("int").alias("n_years"))
+        area = patches.outline_area(self.frp_outline, ["aoi"], self.strip_grid)
+        return sizes.join(rings, ["aoi", "component_id"]).join(area, ["aoi", "component_id"]).join(years, "aoi").withColumn(
+            "burn_count", F.bround(F.col("n_years") / F.col("frp_years")).cast("int")
+        )
+
+    @cached_property
+    def months(self) -> DataFrame:
+        """Months present per series, of both sensors."""
+        key = ["aoi", "sensor", "resolution", "year", "month"]
+        return self.monthly.select(*key).unionByName(self.ba_monthly.withColumn("sensor", F.lit("burned_area")).select(*key))

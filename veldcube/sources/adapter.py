@@ -75,3 +75,33 @@ def observation_bound(spark: SparkSession, sf_dir: str) -> int:
     Reads the row counts in the Parquet footers, no column data.
     """
     return read_table(spark, sf_dir, "lineitem").count()
+
+
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run-log rows derived from orders: one run per order."""
+    o = read_table(spark, sf_dir, "orders")
+    ok = F.col("o_orderstatus") == "F"
+    return o.select(
+        F.when(F.col("o_custkey") % 11 != 0, F.col("o_orderdate")).alias("run_timestamp"),
+        (F.col("o_custkey") % 3).cast("int").alias("new_months_fetched"),
+        ok.alias("pass_a_ran"),
+        (ok & F.col("o_orderpriority").startswith("1")).alias("pass_b_ran"),
+        (F.year("o_orderdate") - 2).cast("int").alias("new_year_detected"),
+        F.lit(False).alias("deploy_ran"),
+        F.when(ok, "success").otherwise("error").alias("status"),
+        F.when(~ok, "fetch failed").alias("error_message"),
+    )
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Resolution requests derived from orders: sensor, resolution text, start and end month."""
+    o = read_table(spark, sf_dir, "orders")
+    kind = F.col("o_orderkey") % 4
+    begin = F.col("o_orderdate").cast("date")
+    return o.select(
+        "o_orderkey",
+        F.when(kind == 0, "sentinel2").when(kind == 1, "modis").when(kind == 2, "burned_area").otherwise("other").alias("sensor"),
+        F.when(F.col("o_custkey") % 5 == 0, "250").when(F.col("o_custkey") % 5 == 1, "0").otherwise("auto").alias("resolution"),
+        F.when(F.col("o_custkey") % 7 != 0, F.date_format(begin, "yyyy-MM")).alias("start"),
+        F.date_format(F.add_months(begin, (F.col("o_custkey") % 120).cast("int")), "yyyy-MM").alias("end"),
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,11 +10,14 @@ PARTITIONS = ["aoi", "sensor", "resolution"]
 
 
 def write_product(df: DataFrame, root: str, table: str, extra: list[str] | None = None) -> bool:
-    """Replace the partitions present in `df`; others stay. An empty result writes nothing."""
+    """Replace the partitions present in `df`; others stay. An empty result writes nothing.
+
+    The rebalance hint keeps files few per partition and lets adaptive execution split a large one.
+    """
     if df.isEmpty():
         return False
     parts = [c for c in [*PARTITIONS, *(extra or [])] if c in df.columns]
-    df.repartition(*parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(f"{root}/{table}")
+    df.hint("rebalance", *parts).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(f"{root}/{table}")
     return True
 
 
@@ -22,13 +26,10 @@ def scan_product(
     resolution: int | None = None, columns: list[str] | None = None,
 ) -> DataFrame:
     """Partition-pruned read; a table that was never written is an empty frame of `schema`."""
-    path = f"{root}/{table}"
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+    try:
+        df = spark.read.schema(schema).parquet(f"{root}/{table}")
+    except AnalysisException:
         df = spark.createDataFrame([], schema)
-    else:
-        df = spark.read.schema(schema).parquet(path)
     for name, value in (("aoi", aoi), ("sensor", sensor), ("resolution", resolution)):
         if value is not None and name in df.columns:
             df = df.where(F.col(name) == value)
