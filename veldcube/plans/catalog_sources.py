@@ -1 +1,119 @@
-"""Named queries."""
+"""Sources and sinks as named queries. Written data goes below the session's checkpoint folder, which
+every executor can reach, and is read back from there."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from veldcube.functions.session import ensure_checkpoint_dir
+from veldcube.operators import patches, quality
+from veldcube.plans.registry import query
+from veldcube.sources import adapter, geojson, products, tiles
+from veldcube.streaming import refresh
+
+S = "aoi, sensor, resolution"
+SY = f"{S}, year, month"
+KEY = ["aoi", "sensor", "resolution"]
+MONTH = [*KEY, "year", "month"]
+
+
+def shared_folder(c, name: str) -> str:
+    ensure_checkpoint_dir(c.spark)
+    return f"{c.spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+@query("s2_explode_tiles", f"""SELECT {SY}, d.row_idx, d.col_idx, value FROM (SELECT DISTINCT {SY} FROM cells)
+CROSS JOIN (SELECT row_idx, col_idx FROM grid_cells) d LEFT JOIN cells USING ({SY}, row_idx, col_idx)""", "value")
+def _(c):
+    return tiles.explode_tiles(tiles.implode_tiles(c.cells, MONTH, c.grid), MONTH)
+
+
+@query("s3_parse_tile_name", """SELECT o_orderkey, CAST(year(o_orderdate) AS INT) AS year, CAST(month(o_orderdate) AS INT) AS month,
+CASE WHEN o_orderstatus = 'F' THEN 'BurnedArea' ELSE 'NDVI' END AS kind FROM orders WHERE o_custkey % 10 <> 0""")
+def _(c):
+    o = adapter.read_table(c.spark, c.sf_dir, "orders")
+    kind = F.when(F.col("o_orderstatus") == "F", "BurnedArea").otherwise("NDVI")
+    stamp = F.when(F.col("o_custkey") % 10 != 0, F.date_format("o_orderdate", "yyyy-MM")).otherwise(F.date_format("o_orderdate", "yyyyMM"))
+    paths = o.select("o_orderkey", F.concat(F.lit("/tiles/a/500m/"), stamp, F.lit("_"), kind, F.lit("_AREA.tif")).alias("path"))
+    return tiles.parse_tile_name(paths).drop("path")
+
+
+@query("s4_read_geojson", "SELECT aoi, polygon_id, 0 AS ring_id, seq, lon, lat FROM row_vertices", "lon lat")
+def _(c):
+    # Written as feature lines and read back: sink and source in one pass over the polygons.
+    folder = shared_folder(c, "features")
+    geojson.write_features(geojson.polygon_features(c.row_extents, ["aoi", "polygon_id"]), folder)
+    vertices = geojson.read_feature_lines(c.spark, folder, "polygon_id")
+    return vertices.select(
+        F.col("properties")["aoi"].alias("aoi"), F.col("polygon_id").cast("int").alias("polygon_id"), "ring_id", "seq", "lon", "lat"
+    )
+
+
+@query("s5_write_product", "a1", "mean_ndvi")
+def _(c):
+    root = shared_folder(c, "product")
+    products.write_product(c.monthly, root, "ndvi_monthly")
+    return products.scan_product(c.spark, root, "ndvi_monthly", refresh.MONTHLY)
+
+
+@query("s6_scan_product", "SELECT year, month, mean_ndvi FROM a1 WHERE aoi = 'ASIA' AND sensor = 'sentinel2'", "mean_ndvi")
+def _(c):
+    root = shared_folder(c, "product")
+    products.write_product(c.monthly, root, "ndvi_monthly")
+    return products.scan_product(
+        c.spark, root, "ndvi_monthly", refresh.MONTHLY, aoi="ASIA", sensor="sentinel2", columns=["year", "month", "mean_ndvi"]
+    )
+
+
+@query("s7_write_features", """SELECT aoi, component_id, frp_years FROM frp_patches""", "frp_years")
+def _(c):
+    folder = shared_folder(c, "patches")
+    vertices = patches.ring_vertices(c.frp_outline, ["aoi"], c.strip_grid)
+    props = c.frp_components.groupBy("aoi", "component_id").agg(F.max("value").alias("frp_years"), F.max("component_id").alias("patch"))
+    geojson.write_features(patches.patch_features(vertices, ["aoi"], props).select("feature"), folder)
+    back = geojson.read_feature_lines(c.spark, folder, "patch")
+    return back.where("ring_id = 0 AND seq = 0").select(
+        F.col("properties")["aoi"].alias("aoi"), F.col("polygon_id").cast("long").alias("component_id"),
+        F.col("properties")["frp_years"].cast("double").alias("frp_years"),
+    )
+
+
+@query("s8_run_log", """SELECT CAST(run_timestamp AS VARCHAR) AS run_timestamp, new_months_fetched, pass_a_ran, pass_b_ran, new_year_detected,
+false AS deploy_ran, status, error_message FROM run_log""")
+def _(c):
+    folder = shared_folder(c, "log")
+    log = adapter.run_log(c.spark, c.sf_dir)
+    products.append_run_log(log.where("pass_a_ran"), folder)
+    products.append_run_log(log.where("NOT pass_a_ran"), folder)
+    return products.scan_run_log(c.spark, folder).withColumn("run_timestamp", F.col("run_timestamp").cast("string"))
+
+
+@query("k1_check_schema", """SELECT table_name, 0 AS n_issues, n_rows FROM (
+SELECT 'ndvi_monthly' AS table_name, count(*) AS n_rows FROM a1 UNION ALL SELECT 'ndvi_monthly_by_class', count(*) FROM a7
+UNION ALL SELECT 'ba_monthly', count(*) FROM a9 UNION ALL SELECT 'ba_daily', count(*) FROM a10 UNION ALL SELECT 'ndvi_anomaly_monthly', count(*) FROM a11)""")
+def _(c):
+    made = {
+        "ndvi_monthly": c.monthly, "ndvi_monthly_by_class": c.by_class, "ba_monthly": c.ba_monthly,
+        "ba_daily": c.ba_daily, "ndvi_anomaly_monthly": c.anomaly,
+    }
+    issues = quality.check_schema(c.spark, made).groupBy("table_name").agg(F.count(F.lit(1)).alias("n"))
+    rows = None
+    for name, df in made.items():
+        one = df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("table_name", F.lit(name))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows.join(issues, "table_name", "left").select("table_name", F.coalesce("n", F.lit(0)).cast("int").alias("n_issues"), "n_rows")
+
+
+@query("i7_refresh", f"SELECT {SY}, mean_ndvi, n_valid_px FROM a1", "mean_ndvi")
+def _(c):
+    # Cells arrive in two loads; the second one also replaces months of the first.
+    folder = shared_folder(c, "inbox")
+    inbox, root, marks = f"{folder}/in", f"{folder}/out", f"{folder}/marks"
+    late = F.col("year") >= 1998
+    c.cells.withColumn("value", F.when(late, F.lit(None)).otherwise(F.col("value"))).where("year < 1999").write.mode("append").parquet(inbox)
+    done = refresh.run_refresh(c.spark, inbox, root, marks, c.grid)
+    c.cells.where(late).write.mode("append").parquet(inbox)
+    refresh.run_refresh(c.spark, inbox, root, marks, c.grid, done or 0)
+    return products.scan_product(c.spark, root, "ndvi_monthly", refresh.MONTHLY).select(*MONTH, "mean_ndvi", "n_valid_px")

@@ -424,4 +424,4 @@ def sql(select: str, doubles: str = "", **local: str) -> str:
         if name in everything:
             visit(name)
     head = ",\n".join(f"{n} AS {'' if n.endswith('_reach') else 'MATERIALIZED '}({everything[n]})" for n in order)
-    return f"WITH RECURSIVE {head}\n{final}"
+    return f"WITH RECURSIVE {head}\n{final}" if head else final
