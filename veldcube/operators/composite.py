@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from veldcube.functions import fixed
 from veldcube.functions.columns import normalized_difference, scale_ndvi, scl_visible
-from veldcube.operators.order_stats import exact_median
+from veldcube.operators.order_stats import exact_median, gathered
 
 CELL = ["aoi", "sensor", "resolution", "row_idx", "col_idx"]
 CELL_MONTH = ["aoi", "sensor", "resolution", "year", "month", "row_idx", "col_idx"]
@@ -64,9 +64,9 @@ def modis_median_composite(obs: DataFrame, group_bound: int | None = None) -> Da
     )
 
 
-def monthly_mosaic_composite(obs: DataFrame, legacy_mask: bool = True) -> DataFrame:
+def monthly_mosaic_composite(obs: DataFrame, group_bound: int | None = None, legacy_mask: bool = True) -> DataFrame:
     """Latest visible value on top; keeps no state beyond one value per cell and month."""
-    seen = visible_ndvi(obs, legacy_mask)
+    seen = gathered(visible_ndvi(obs, legacy_mask).select(*CELL_MONTH, "value", *SCENE_ORDER), CELL_MONTH, group_bound)
     order = F.when(F.col("value").isNotNull(), F.struct(*SCENE_ORDER))
     return seen.groupBy(*CELL_MONTH).agg(F.max_by("value", order).alias("value"))
 
@@ -74,22 +74,23 @@ def monthly_mosaic_composite(obs: DataFrame, legacy_mask: bool = True) -> DataFr
 BURN_BANDS = ["burn_date", "first_day", "last_day", "burn_qa"]
 
 
-def _burn_composite(obs: DataFrame, pick) -> DataFrame:
+def _burn_composite(obs: DataFrame, pick, group_bound: int | None) -> DataFrame:
     keys = [k for k in CELL_MONTH if k != "sensor"]
-    best = obs.groupBy(*keys).agg(pick(F.struct(*BURN_BANDS), F.struct(*SCENE_ORDER)).alias("b"))
+    columns = list(dict.fromkeys([*keys, *BURN_BANDS, *SCENE_ORDER]))
+    best = gathered(obs.select(*columns), keys, group_bound).groupBy(*keys).agg(pick(F.struct(*BURN_BANDS), F.struct(*SCENE_ORDER)).alias("b"))
     return best.select(
         "aoi", F.lit("burned_area").alias("sensor"), *keys[1:], *[F.col(f"b.{c}").alias(c) for c in BURN_BANDS]
     )
 
 
-def first_image_composite(obs: DataFrame) -> DataFrame:
+def first_image_composite(obs: DataFrame, group_bound: int | None = None) -> DataFrame:
     """Burn date of the first image of the month; a month without images gives no row."""
-    return _burn_composite(obs, F.min_by)
+    return _burn_composite(obs, F.min_by, group_bound)
 
 
-def last_image_composite(obs: DataFrame) -> DataFrame:
+def last_image_composite(obs: DataFrame, group_bound: int | None = None) -> DataFrame:
     """The latest image instead: the second source that comparisons are run against."""
-    return _burn_composite(obs, F.max_by)
+    return _burn_composite(obs, F.max_by, group_bound)
 
 
 def latest_available_month(obs: DataFrame) -> DataFrame:

@@ -43,14 +43,17 @@ def ndvi_monthly_by_class(cells: DataFrame, class_cells: DataFrame, classes: Dat
     `class_cells` maps cells to classes (columns `on` + land_cover), `classes` lists (aoi, land_cover).
     """
     on = on or ["row_idx", "col_idx"]
-    means = cells.join(class_cells, on).groupBy(*SERIES, "year", "month", "land_cover").agg(
-        F.avg("value").alias("mean_ndvi"), F.count("value").alias("n")
+    # Cells of no class stay in, so that a month with only such cells is not lost.
+    means = cells.join(class_cells, on, "left").groupBy(*SERIES, "year", "month", "land_cover").agg(
+        F.avg("value").alias("mean"), F.count("value").cast("int").alias("n")
     )
-    months = cells.select(*SERIES, "year", "month").distinct()
-    spine = months.join(classes, "aoi")
-    return spine.join(means, [*SERIES, "year", "month", "land_cover"], "left").select(
-        *SERIES, "year", "month", "land_cover", "mean_ndvi",
-        F.coalesce("n", F.lit(0)).cast("int").alias("n_valid_px"),
+    # One entry per class and month: the spine needs no second pass over the cells.
+    entry = F.when(F.col("land_cover").isNotNull(), F.struct("land_cover", F.struct("mean", "n").alias("v")))
+    months = means.groupBy(*SERIES, "year", "month").agg(F.map_from_entries(F.collect_list(entry)).alias("by_class"))
+    found = F.try_element_at("by_class", F.col("land_cover"))
+    return months.join(classes, "aoi").select(
+        *SERIES, "year", "month", "land_cover", found["mean"].alias("mean_ndvi"),
+        F.coalesce(found["n"], F.lit(0)).alias("n_valid_px"),
     )
 
 

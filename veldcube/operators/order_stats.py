@@ -18,6 +18,13 @@ def same_keys(left: str, right: str, keys: list[str]) -> Column:
     )
 
 
+def gathered(df: DataFrame, keys: list[str], group_bound: int | None) -> DataFrame:
+    """Rows hash-partitioned by group before an aggregate whose partial state is no smaller than its
+    rows (a percentile, a pick by order), if every group is proven to fit one task. Otherwise the
+    rows stay where they are and the aggregate combines them before its own shuffle."""
+    return df.repartition(*keys) if group_bound is not None and group_bound <= ONE_TASK_ROWS else df
+
+
 def exact_percentile(
     df: DataFrame,
     keys: list[str],
@@ -30,14 +37,15 @@ def exact_percentile(
 ) -> DataFrame:
     """Percentile with linear interpolation per group; NULL values do not count.
 
-    `group_bound` is a proven upper bound on the rows of any one group. Under ONE_TASK_ROWS the
-    built-in aggregate needs one shuffle. Otherwise the group is split: values are counted per
+    `group_bound` is a proven upper bound on the rows of any one group. Under ONE_TASK_ROWS the rows
+    are shuffled once and the built-in aggregate runs behind the shuffle: its partial state would be
+    as large as the rows, so building it before the shuffle only costs. Otherwise the group is split: values are counted per
     (group, bucket of the value range, value), so a hot group spreads over many tasks; the running
     count over its few thousand buckets finds the bucket of each rank, and only those buckets are
     ordered. [low, high] steers the balance, not the result.
     """
     if group_bound is not None and group_bound <= ONE_TASK_ROWS:
-        return df.groupBy(*keys).agg(F.percentile(value, F.lit(fraction)).alias(out))
+        return gathered(df.select(*keys, value), keys, group_bound).groupBy(*keys).agg(F.percentile(value, F.lit(fraction)).alias(out))
 
     share = F.least(F.greatest((F.col("v") - low) / (high - low), F.lit(0.0)), F.lit(1.0))
     values = (

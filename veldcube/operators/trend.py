@@ -7,7 +7,7 @@ row: no pairs are shuffled.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veldcube.functions import fixed
@@ -15,7 +15,7 @@ from veldcube.functions.columns import normal_cdf_complement_two_sided
 from veldcube.operators.monthly import SERIES
 
 _PAIR_SUM = """
-aggregate(sequence(1, size(x)), 0D, (s, i) ->
+aggregate(slice(sequence(1, size(x) + 1), 1, size(x)), 0D, (s, i) ->
   s + aggregate(slice(x, i + 1, size(x)), 0D, (t, v) -> t + signum(v - x[i - 1])))
 """
 _SLOPES = """
@@ -42,13 +42,10 @@ def _with_test(df: DataFrame, s: str, var: str, p: str) -> DataFrame:
     return df.withColumn(p, normal_cdf_complement_two_sided(z))
 
 
-def mann_kendall(series: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
-    """S, tie-corrected variance, two-sided p and Sen slope per index step of each ordered series."""
-    arrays = series.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(order, value))).alias("o")).select(
-        *keys, F.transform("o", lambda e: e[value]).alias("x")
-    )
-    stats = arrays.select(
-        *keys,
+def _mk_columns(df: DataFrame, keep: list[str]) -> DataFrame:
+    """Statistics of the array column x: n, mk_s, mk_var, sen_slope, mk_p."""
+    stats = df.select(
+        *keep,
         F.size("x").alias("n"),
         F.expr(_PAIR_SUM).alias("mk_s"),
         F.expr(_VARIANCE).alias("mk_var"),
@@ -57,6 +54,13 @@ def mann_kendall(series: DataFrame, keys: list[str], order: str, value: str) ->
     return _with_test(stats, "mk_s", "mk_var", "mk_p")
 
 
+def mann_kendall(series: DataFrame, keys: list[str], order: str, value: str) -> DataFrame:
+    """S, tie-corrected variance, two-sided p and Sen slope per index step of each ordered series."""
+    ordered = F.array_sort(F.collect_list(F.struct(order, value)))
+    arrays = series.groupBy(*keys).agg(F.transform(ordered, lambda e: e[value]).alias("x"))
+    return _mk_columns(arrays, keys)
+
+
 def seasonal_mann_kendall(monthly: DataFrame) -> DataFrame:
     """Twelve seasons by position in the series without its NULL months, so a gap shifts them."""
     placed = monthly.where("mean_ndvi IS NOT NULL").withColumn(
@@ -80,20 +84,22 @@ def seasonal_mann_kendall(monthly: DataFrame) -> DataFrame:
     return _with_test(whole.withColumn("smk_sen_slope", F.expr(_MEDIAN)).drop("p"), "smk_s", "smk_var", "smk_p")
 
 
+RANGES = ["q1_ndvi", "q3_ndvi", "min_ndvi", "max_ndvi", "long_term_avg"]
+
+
+def _range_aggregates(value: Column) -> list[Column]:
+    """NULL below five values."""
+    aggs = [
+        F.percentile(value, F.lit(0.25)), F.percentile(value, F.lit(0.75)), F.min(value), F.max(value), F.avg(value),
+    ]
+    enough = F.sum(F.col("is_complete").cast("int")) >= fixed.MIN_TREND_YEARS
+    return [F.when(enough, a).alias(n) for n, a in zip(RANGES, aggs)]
+
+
 def annual_range_stats(annual: DataFrame) -> DataFrame:
     """Quartiles, extremes and mean of complete years; NULL below five of them."""
-    complete = annual.where("is_complete").groupBy(*SERIES).agg(
-        F.count(F.lit(1)).cast("int").alias("n_complete_years"),
-        F.percentile("mean_ndvi", F.lit(0.25)).alias("q1_ndvi"),
-        F.percentile("mean_ndvi", F.lit(0.75)).alias("q3_ndvi"),
-        F.min("mean_ndvi").alias("min_ndvi"),
-        F.max("mean_ndvi").alias("max_ndvi"),
-        F.avg("mean_ndvi").alias("long_term_avg"),
-    )
-    enough = F.col("n_complete_years") >= fixed.MIN_TREND_YEARS
-    return complete.select(
-        *SERIES, "n_complete_years",
-        *[F.when(enough, F.col(c)).alias(c) for c in ("q1_ndvi", "q3_ndvi", "min_ndvi", "max_ndvi", "long_term_avg")],
+    return annual.where("is_complete").groupBy(*SERIES).agg(
+        F.count(F.lit(1)).cast("int").alias("n_complete_years"), *_range_aggregates(F.col("mean_ndvi"))
     )
 
 
@@ -110,12 +116,18 @@ def direction_label():
 
 
 def ndvi_trend_stats(monthly: DataFrame, annual: DataFrame) -> DataFrame:
-    everyone = annual.groupBy(*SERIES).agg(F.sum(F.col("is_complete").cast("int")).cast("int").alias("n_complete_years"))
-    mk = annual_trend(annual).select(*SERIES, "mk_p", "sen_slope", "trend_direction")
+    """Everything annual comes from one pass over the years of a series, the seasonal test from its months."""
+    value = F.when(F.col("is_complete"), F.col("mean_ndvi"))
+    ordered = F.array_sort(F.collect_list(F.when(F.col("is_complete"), F.struct("year", "mean_ndvi"))))
+    per_series = annual.groupBy(*SERIES).agg(
+        F.sum(F.col("is_complete").cast("int")).cast("int").alias("n_complete_years"),
+        F.transform(ordered, lambda e: e["mean_ndvi"]).alias("x"), *_range_aggregates(value),
+    )
+    tested = _mk_columns(per_series, [*SERIES, "n_complete_years", *RANGES])
+    enough = F.col("n_complete_years") >= fixed.MIN_TREND_YEARS
     smk = seasonal_mann_kendall(monthly).select(*SERIES, "smk_p", "smk_sen_slope")
-    ranges = annual_range_stats(annual).drop("n_complete_years")
-    return everyone.join(mk, SERIES, "left").join(ranges, SERIES, "left").join(smk, SERIES, "left").select(
-        *SERIES, "n_complete_years", "mk_p", "sen_slope",
-        F.coalesce("trend_direction", F.lit("insufficient_data")).alias("trend_direction"),
-        "q1_ndvi", "q3_ndvi", "min_ndvi", "max_ndvi", "long_term_avg", "smk_p", "smk_sen_slope",
+    return tested.join(smk, SERIES, "left").select(
+        *SERIES, "n_complete_years", F.when(enough, F.col("mk_p")).alias("mk_p"), F.when(enough, F.col("sen_slope")).alias("sen_slope"),
+        F.when(enough, direction_label()).otherwise("insufficient_data").alias("trend_direction"),
+        *RANGES, "smk_p", "smk_sen_slope",
     )

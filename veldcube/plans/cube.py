@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from veldcube.functions.session import cut_lineage
 from veldcube.operators import annual, compare, composite, monthly, patches, spatial, trend
+from veldcube.operators.order_stats import gathered
 from veldcube.sources import adapter, dims
 
 
@@ -28,16 +29,21 @@ class Cube:
         self.sf_dir = sf_dir
 
     @cached_property
+    def rows(self) -> dict[str, int]:
+        return adapter.row_counts(self.spark, self.sf_dir, "nation", "customer", "orders", "lineitem")
+
+    @property
     def bound(self) -> int:
-        return adapter.observation_bound(self.spark, self.sf_dir)
+        """Upper bound on the observations of any one group: a line has at most one order."""
+        return self.rows["lineitem"]
 
     @cached_property
     def obs(self) -> DataFrame:
-        return adapter.scene_obs(self.spark, self.sf_dir)
+        return adapter.scene_obs(self.spark, self.sf_dir, self.rows)
 
     @cached_property
     def strip_obs(self) -> DataFrame:
-        return adapter.scene_obs(self.spark, self.sf_dir, grid="strip")
+        return adapter.scene_obs(self.spark, self.sf_dir, self.rows, grid="strip")
 
     @cached_property
     def grid(self) -> DataFrame:
@@ -53,23 +59,23 @@ class Cube:
 
     @cached_property
     def old_cells(self) -> DataFrame:
-        return composite.monthly_mosaic_composite(self.obs)
+        return composite.monthly_mosaic_composite(self.obs, self.bound)
 
     @cached_property
     def burns(self) -> DataFrame:
-        return composite.first_image_composite(self.obs)
+        return composite.first_image_composite(self.obs, self.bound)
 
     @cached_property
     def old_burns(self) -> DataFrame:
-        return composite.last_image_composite(self.obs)
+        return composite.last_image_composite(self.obs, self.bound)
 
     @cached_property
     def strip_burns(self) -> DataFrame:
-        return composite.first_image_composite(self.strip_obs)
+        return composite.first_image_composite(self.strip_obs, self.bound)
 
     @cached_property
     def old_strip_burns(self) -> DataFrame:
-        return composite.last_image_composite(self.strip_obs)
+        return composite.last_image_composite(self.strip_obs, self.bound)
 
     @cached_property
     def monthly(self) -> DataFrame:
@@ -170,7 +176,8 @@ class Cube:
     def burn_sources(self) -> DataFrame:
         """Burn date of the first, the last and any image per cell and month, in one pass."""
         order = F.struct(*composite.SCENE_ORDER)
-        return self.obs.groupBy("aoi", "year", "month", "row_idx", "col_idx").agg(
+        key = ["aoi", "year", "month", "row_idx", "col_idx"]
+        return gathered(self.obs.select(*key, *composite.SCENE_ORDER), key, self.bound).groupBy(*key).agg(
             F.min_by("burn_date", order).alias("first"), F.max_by("burn_date", order).alias("last"),
             F.max("burn_date").alias("any"),
         )

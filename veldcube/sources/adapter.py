@@ -2,33 +2,61 @@
 
 from __future__ import annotations
 
+from functools import lru_cache, reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Rows of the strip grid before it continues in further columns; keeps latitudes on the globe.
 STRIP_ROWS = 20_000
+# Key and area name of this many rows are some tens of megabytes.
+LOOKUP_ROWS = 1_000_000
+
+
+@lru_cache(maxsize=None)
+def _schema(spark: SparkSession, path: str) -> StructType:
+    return spark.read.parquet(path).schema
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the folder; its schema is inferred once per session, its files are listed every time."""
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
+
+
+def row_counts(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, int]:
+    """Rows of several tables in one job. No column is read: the counts are in the Parquet footers."""
+    tagged = [read_table(spark, sf_dir, n).select(F.lit(n).alias("name")) for n in names]
+    counts = reduce(DataFrame.unionAll, tagged).groupBy("name").count()
+    return dict.fromkeys(names, 0) | {r["name"]: r["count"] for r in counts.collect()}
+
 
+def order_aois(spark: SparkSession, sf_dir: str, rows: dict[str, int]) -> DataFrame:
+    """Order key to study area, at most one row per order.
+
+    Sides with few rows are broadcast, judged by `rows`. Without that check the planner takes a
+    derived side for huge (join size estimates multiply) and broadcasts the observations instead.
+    """
+    def small(df: DataFrame, source: str) -> DataFrame:
+        return F.broadcast(df) if rows[source] <= LOOKUP_ROWS else df
 
-def order_aois(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order key to study area. Nation and region are small enough for the planner to broadcast."""
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
     areas = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         "n_nationkey", F.col("r_name").alias("aoi")
     )
     customer = read_table(spark, sf_dir, "customer")
-    customers = customer.join(areas, customer.c_nationkey == areas.n_nationkey).select("c_custkey", "aoi")
+    customers = customer.join(small(areas, "nation"), customer.c_nationkey == areas.n_nationkey).select("c_custkey", "aoi")
     orders = read_table(spark, sf_dir, "orders")
-    return orders.join(customers, orders.o_custkey == customers.c_custkey).select("o_orderkey", "aoi")
+    placed = orders.join(small(customers, "customer"), orders.o_custkey == customers.c_custkey).select("o_orderkey", "aoi")
+    return small(placed, "orders")
 
 
 def scene_obs(
     spark: SparkSession,
     sf_dir: str,
+    rows: dict[str, int],
     grid: str = "block",
     sensor: str = "sentinel2",
     resolution: int = 500,
@@ -45,7 +73,7 @@ def scene_obs(
     day = F.dayofyear("l_shipdate")
     supp, number = F.col("l_suppkey"), F.col("l_linenumber")
     burned = (F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.08)
-    aois = order_aois(spark, sf_dir)
+    aois = order_aois(spark, sf_dir, rows)
     return line.join(aois, line.l_orderkey == aois.o_orderkey).select(
         (key * 10 + number).alias("obs_id"),
         "aoi",
@@ -69,14 +97,6 @@ def scene_obs(
     )
 
 
-def observation_bound(spark: SparkSession, sf_dir: str) -> int:
-    """Upper bound on observations, hence on any one group: every line matches at most one order.
-
-    Reads the row counts in the Parquet footers, no column data.
-    """
-    return read_table(spark, sf_dir, "lineitem").count()
-
-
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run-log rows derived from orders: one run per order."""
     o = read_table(spark, sf_dir, "orders")
