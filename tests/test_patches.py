@@ -39,7 +39,7 @@ def labels(df):
 def test_components_match_flood_fill_across_blocks(spark, connectivity):
     rng = random.Random(7)
     cells = {(r, c): rng.choice([1, 2]) for r in range(100, 200) for c in range(40, 150) if rng.random() < 0.7}
-    got = labels(patches.connected_components(frame(spark, cells), ["aoi"], "v", connectivity))
+    got = labels(patches.connected_components(frame(spark, cells), ["aoi"], "v", connectivity, block=16))
     assert got == brute(cells, connectivity)
 
 
@@ -51,7 +51,7 @@ def test_snake_and_order_do_not_matter(spark):
         cells[(r + 1, 129 if k % 2 == 0 else 0)] = 1
     df = frame(spark, cells)
     a = labels(patches.connected_components(df, ["aoi"], "v"))
-    b = labels(patches.connected_components(df.orderBy(F.rand(3)), ["aoi"], "v"))
+    b = labels(patches.connected_components(df.orderBy(F.rand(3)), ["aoi"], "v", block=32))
     assert set(a.values()) == {(0, 0)} and a == b
 
 

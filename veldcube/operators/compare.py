@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from veldcube.functions import fixed
 from veldcube.functions.columns import cell_area_approx
+from veldcube.functions.session import cut_lineage
 from veldcube.operators import patches, spatial
 from veldcube.operators.order_stats import ONE_TASK_ROWS, exact_median
 
@@ -162,7 +163,7 @@ def temporal_ratio(ratios: DataFrame, group: list[str]) -> DataFrame:
 
 def burned_clusters(pairs: DataFrame, group: list[str], connectivity: int) -> DataFrame:
     """Cells of the new source labelled by cluster, with whether the old source burned them too."""
-    burned = pairs.where("doy_new > 0").withColumn("mark", F.lit(1.0))
+    burned = cut_lineage(pairs.where("doy_new > 0").withColumn("mark", F.lit(1.0)))
     labels = patches.connected_components(burned, group, "mark", connectivity)
     key = [*group, "row_idx", "col_idx"]
     return labels.drop("value").join(burned.select(*key, (F.col("doy_old") > 0).alias("in_old")), key)
@@ -220,7 +221,7 @@ def min_cluster_curve(sizes: DataFrame, group: list[str]) -> DataFrame:
 
 def distance_groups(pairs: DataFrame, group: list[str]) -> DataFrame:
     """Distance of each newly burned cell to the nearest old burn, by overlap or only_new."""
-    cells = pairs.withColumn("member", membership())
+    cells = cut_lineage(pairs.withColumn("member", membership()))
     old = cells.where("doy_old > 0")
     new = cells.where("doy_new > 0")
     near = spatial.distance_to_nearest(new, old, group)

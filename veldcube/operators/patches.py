@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from veldcube.functions.columns import edge_area_term
 from veldcube.functions.session import cut_lineage
 
-BLOCK = 64
+BLOCK = 256
 SHIFT = 1 << 31
 SALTS = 16
 ONE_TASK_VERTICES = 1_000_000
@@ -21,26 +21,35 @@ def cell_id(row: str = "row_idx", col: str = "col_idx"):
     return F.col(row).cast("long") * F.lit(SHIFT) + F.col(col)
 
 
-def _label_block(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, diagonal: bool) -> np.ndarray:
-    """Smallest cell number of each patch inside one block of at most BLOCK x BLOCK cells."""
-    i, j = rows % BLOCK + 1, cols % BLOCK + 1
-    codes = np.full((BLOCK + 2, BLOCK + 2), -1)
-    codes[i, j] = np.unique(values, return_inverse=True)[1]
-    labels = np.full(codes.shape, np.iinfo(np.int64).max)
-    labels[i, j] = rows.astype(np.int64) * SHIFT + cols
-    steps = [(0, 1), (1, 0), (0, -1), (-1, 0)] + ([(1, 1), (1, -1), (-1, 1), (-1, -1)] if diagonal else [])
+def _label_block(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, diagonal: bool, block: int) -> np.ndarray:
+    """Smallest cell number of each patch inside one block of at most block x block cells.
+
+    Labels are positions in the block: the smallest label around, then the label of that label.
+    """
+    width = block + 2
+    place = (rows % block + 1) * width + cols % block + 1
+    codes = np.full(width * width, -1)
+    codes[place] = np.unique(values, return_inverse=True)[1]
+    labels = np.arange(width * width)
+    steps = [1, width] + ([width + 1, width - 1] if diagonal else [])
+    pairs = [(place[ok], place[ok] + s) for s in steps for ok in [codes[place] == codes[place + s]]]
     while True:
-        best = labels
-        for di, dj in steps:
-            shifted = np.roll(labels, (di, dj), axis=(0, 1))
-            same = (np.roll(codes, (di, dj), axis=(0, 1)) == codes) & (codes >= 0)
-            best = np.where(same, np.minimum(best, shifted), best)
-        if (best == labels).all():
-            return labels[i, j]
-        labels = best
+        before = labels.copy()
+        for a, b in pairs:
+            low = np.minimum(labels[a], labels[b])
+            np.minimum.at(labels, labels[a], low)
+            np.minimum.at(labels, labels[b], low)
+            np.minimum.at(labels, a, low)
+            np.minimum.at(labels, b, low)
+        labels = labels[labels]
+        if (labels == before).all():
+            break
+    first = np.zeros(width * width, dtype=np.int64)
+    first[place] = rows.astype(np.int64) * SHIFT + cols
+    return first[labels[place]]
 
 
-def connected_components(cells: DataFrame, keys: list[str], value: str, connectivity: int = 4) -> DataFrame:
+def connected_components(cells: DataFrame, keys: list[str], value: str, connectivity: int = 4, block: int = BLOCK) -> DataFrame:
     """Label patches of equal `value`; the label is the patch's first cell in row order.
 
     Blocks of the grid are labelled on their own (a bounded group each). Only pairs of block labels
@@ -55,17 +64,17 @@ def connected_components(cells: DataFrame, keys: list[str], value: str, connecti
 
     def label(group: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf["label"] = _label_block(
-            pdf["row_idx"].to_numpy(), pdf["col_idx"].to_numpy(), pdf["value"].to_numpy(), diagonal
+            pdf["row_idx"].to_numpy(), pdf["col_idx"].to_numpy(), pdf["value"].to_numpy(), diagonal, block
         )
         return pdf[[f.name for f in fields] + ["label"]]
 
-    boxed = base.withColumn("_br", F.floor(F.col("row_idx") / BLOCK)).withColumn("_bc", F.floor(F.col("col_idx") / BLOCK))
+    boxed = base.withColumn("_br", F.floor(F.col("row_idx") / block)).withColumn("_bc", F.floor(F.col("col_idx") / block))
     schema = T.StructType([*fields, T.StructField("label", T.LongType())])
     labelled = cut_lineage(boxed.groupBy(*keys, "_br", "_bc").applyInPandas(label, schema))
 
     # Cells on the last row or column of a block (and the first column, for diagonals) look outwards.
-    r, c = F.col("row_idx") % BLOCK, F.col("col_idx") % BLOCK
-    rim = labelled.where((r == BLOCK - 1) | (c == BLOCK - 1) | ((r == 0) | (c == 0)))
+    r, c = F.col("row_idx") % block, F.col("col_idx") % block
+    rim = labelled.where((r == block - 1) | (c == block - 1) | (r == 0) | (c == 0))
     steps = [(0, 1), (1, 0)] + ([(1, 1), (1, -1)] if diagonal else [])
     look = rim.select(
         *keys, "row_idx", "col_idx", "value", F.col("label").alias("a"),

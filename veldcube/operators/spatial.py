@@ -228,8 +228,8 @@ def distance_to_nearest(cells: DataFrame, targets: DataFrame, keys: list[str], o
     four neighbours are targets as well lie behind others and only matter to themselves.
     """
     at = [*keys, "row_idx", "col_idx"]
-    cells = cells.select(*at).distinct()
-    marked = erode(targets, keys, 1)
+    cells = cut_lineage(cells.select(*at).distinct())
+    marked = cut_lineage(erode(targets, keys, 1))
     settled = cells.join(marked, at, "left_semi").withColumn(out, F.lit(0.0))
     open_ = cells.join(marked, at, "left_anti").join(marked.select(*keys).distinct(), keys, "left_semi")
     none = cells.join(marked.select(*keys).distinct(), keys, "left_anti").withColumn(out, F.lit(None).cast("double"))

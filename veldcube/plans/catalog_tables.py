@@ -161,7 +161,7 @@ def _(c):
 @query("b4_recovery_months", "recovered", "max_deficit")
 def _(c):
     complete = annual.complete_class_years(c.anomaly)
-    return annual.recovery_months(complete, annual.max_deficit(complete), c.class_baselines)
+    return annual.recovery_months(complete, annual.max_deficit(complete), c.stored_class_baselines)
 
 
 @query("b5_severity_label", f"SELECT {S}, anomaly_year, land_cover, max_deficit, severity FROM b7", "max_deficit")

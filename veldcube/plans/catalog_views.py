@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from veldcube.functions.columns import row_area
-from veldcube.operators import documented, views
+from veldcube.operators import annual, documented, monthly, trend, views
 from veldcube.plans.oracle import STRIP_ROW_AREA
 from veldcube.plans.registry import query
 from veldcube.sources import adapter
@@ -41,7 +41,8 @@ WHEN mean_ndvi < ts_lower THEN 'below' ELSE 'normal' END AS status, trend_direct
 coalesce(mk_p < 0.05, false) AS trend_significant, sen_slope AS sen_slope_per_year
 FROM a1 LEFT JOIN a2 USING ({S}, month) LEFT JOIN trend_stats USING ({S})""", "mean_ndvi vs_climatology sen_slope_per_year")
 def _(c):
-    return views.timeseries_enriched(views.timeseries_table(c.monthly, c.baselines), c.trend_stats)
+    table = views.timeseries_table(c.stored_monthly, monthly.ndvi_monthly_baselines(c.stored_monthly))
+    return views.timeseries_enriched(table, c.trend_stats)
 
 
 @query("q5_annual_series", "SELECT aoi, year, mean_ndvi, n_months, is_complete FROM a3", "mean_ndvi")
@@ -52,7 +53,7 @@ def _(c):
 @query("q6_by_landcover", f"SELECT * EXCLUDE (hist_sd) FROM a7 LEFT JOIN b1 USING ({S}, year, land_cover)",
        "mean_ndvi annual_mean hist_min hist_max hist_mean_all cv")
 def _(c):
-    return views.by_landcover(c.by_class, c.annual_by_class)
+    return views.by_landcover(c.stored_by_class, annual.ndvi_annual_by_class(c.stored_by_class))
 
 
 @query("q7_anomaly_view", "SELECT *, CASE WHEN anomaly_value < 0 THEN 'deficit' ELSE 'surplus' END AS status FROM a11",
@@ -211,9 +212,8 @@ def _(c):
 @query("d1_status_badge", f"""SELECT {S}, year, CASE WHEN smk_p < 0.05 AND smk_sen_slope < 0 THEN 'Degrading'
 WHEN wilcox_p < 0.05 AND median_anomaly < 0 THEN 'Mild stress' ELSE 'Stable' END AS status_badge FROM wilcoxon LEFT JOIN smk USING ({S})""")
 def _(c):
-    from veldcube.operators import trend
-    wilcoxon = documented.wilcoxon_signed_rank(documented.prior_years_baseline(c.monthly))
-    return documented.status_badge(trend.seasonal_mann_kendall(c.monthly), wilcoxon)
+    wilcoxon = documented.wilcoxon_signed_rank(documented.prior_years_baseline(c.stored_monthly))
+    return documented.status_badge(trend.seasonal_mann_kendall(c.stored_monthly), wilcoxon)
 
 
 @query("d2_wilcoxon", "wilcoxon", "median_anomaly wilcox_p")

@@ -89,9 +89,14 @@ class Cube:
     def annual(self) -> DataFrame:
         return monthly.ndvi_annual(self.monthly)
 
+    @cached_property
+    def stored_monthly(self) -> DataFrame:
+        """The monthly product as a table: later products read it several times."""
+        return cut_lineage(self.monthly)
+
     @cached_property
     def trend_stats(self) -> DataFrame:
-        return trend.ndvi_trend_stats(self.monthly, self.annual)
+        return trend.ndvi_trend_stats(self.stored_monthly, monthly.ndvi_annual(self.stored_monthly))
 
     @cached_property
     def by_class(self) -> DataFrame:
@@ -102,9 +107,18 @@ class Cube:
     def class_baselines(self) -> DataFrame:
         return monthly.class_baselines(self.by_class)
 
+    @cached_property
+    def stored_by_class(self) -> DataFrame:
+        """The by-class product as a table: the annual analytics read it several times."""
+        return cut_lineage(self.by_class)
+
+    @cached_property
+    def stored_class_baselines(self) -> DataFrame:
+        return monthly.class_baselines(self.stored_by_class)
+
     @cached_property
     def anomaly(self) -> DataFrame:
-        return monthly.ndvi_anomaly_monthly(self.by_class, self.class_baselines)
+        return monthly.ndvi_anomaly_monthly(self.stored_by_class, self.stored_class_baselines)
 
     @cached_property
     def ba_monthly(self) -> DataFrame:
@@ -120,11 +134,11 @@ class Cube:
 
     @cached_property
     def resilience(self) -> DataFrame:
-        return annual.anomaly_resilience(self.anomaly, self.class_baselines)
+        return annual.anomaly_resilience(self.anomaly, self.stored_class_baselines)
 
     @cached_property
     def phenology(self) -> DataFrame:
-        return annual.ndvi_phenology(self.by_class, dims.phenology_profiles(self.spark))
+        return annual.ndvi_phenology(self.stored_by_class, dims.phenology_profiles(self.spark))
 
     @cached_property
     def cell_means(self) -> DataFrame:
