@@ -134,6 +134,13 @@ def test_both_ways_to_simplify_agree_on_random_rings(spark):
     assert sorted(a) == sorted(b) and len(a) < len(rows)
 
 
+def test_vertex_area_does_not_depend_on_stretches(spark):
+    ring = [(26.0, -14.0), (26.1, -14.0), (26.1, -14.05), (26.05, -14.07), (26.0, -14.1), (26.0, -14.0)]
+    df = spark.createDataFrame([("X", 0, i * 10, x, y) for i, (x, y) in enumerate(ring)], "aoi string, ring_id int, seq long, lon double, lat double")
+    whole = patches.vertex_area(df, ["aoi"]).first().area_km2
+    assert whole > 80 and patches.vertex_area(df, ["aoi"], step=15).first().area_km2 == pytest.approx(whole, rel=1e-12)
+
+
 def test_feature_lines(spark):
     import json
     cells = {(r, c): 1 for r in range(3) for c in range(3) if (r, c) != (1, 1)}

@@ -34,3 +34,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition by `keys` into the session's number of partitions, ahead of Python work per group.
+
+    Naming the number keeps adaptive execution from merging partitions that are small in bytes but
+    not in work.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

@@ -51,6 +51,7 @@ def complete_years(table: DataFrame, combos: DataFrame) -> DataFrame:
 
 def new_complete_year(complete: DataFrame, log: DataFrame) -> DataFrame:
     """The newest complete year if no annual run has covered it yet; otherwise no row."""
-    done = log.where("pass_b_ran").agg(F.coalesce(F.max("new_year_detected"), F.lit(0)).alias("last_year"))
-    newest = complete.agg(F.max("year").alias("year"))
-    return newest.join(done, F.col("year") > F.col("last_year")).select("year")
+    years = complete.select("year", F.lit(0).alias("covered")).unionByName(
+        log.where("pass_b_ran").select(F.lit(None).cast("int").alias("year"), F.col("new_year_detected").alias("covered"))
+    )
+    return years.agg(F.max("year").alias("year"), F.max("covered").alias("covered")).where("year > covered").select("year")

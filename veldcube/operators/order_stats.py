@@ -93,23 +93,3 @@ def exact_median(df: DataFrame, keys: list[str], value: str, out: str, group_bou
                  low: float = -1.0, high: float = 1.0) -> DataFrame:
     return exact_percentile(df, keys, value, out, 0.5, group_bound, low, high)
 
-
-def running_total(
-    df: DataFrame, keys: list[str], order: str, amount: str, out: str, width: Column
-) -> DataFrame:
-    """Running sum of `amount` over the order within each group, split by `width` buckets of it.
-
-    `width` maps the order value to a bucket number that does not fall as the value grows. Rows of
-    one bucket are ordered together; buckets are joined through their sums, so no task sees a whole group.
-    """
-    marked = df.withColumn("_bucket", width)
-    sums = marked.groupBy(*keys, "_bucket").agg(F.sum(amount).alias("_sum"))
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(*keys, "_bucket", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy(*keys, "_bucket").orderBy(order).rangeBetween(Window.unboundedPreceding, 0)
-    return (
-        marked.withColumn("_inside", F.sum(amount).over(inside))
-        .join(offsets, [*keys, "_bucket"])
-        .withColumn(out, F.col("_offset") + F.col("_inside"))
-        .drop("_bucket", "_inside", "_offset")
-    )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from veldcube.functions.columns import edge_area_term
-from veldcube.functions.session import cut_lineage
+from veldcube.functions.session import cut_lineage, spread
 
 BLOCK = 256
 SHIFT = 1 << 31
@@ -70,7 +70,7 @@ def connected_components(cells: DataFrame, keys: list[str], value: str, connecti
 
     boxed = base.withColumn("_br", F.floor(F.col("row_idx") / block)).withColumn("_bc", F.floor(F.col("col_idx") / block))
     schema = T.StructType([*fields, T.StructField("label", T.LongType())])
-    labelled = cut_lineage(boxed.groupBy(*keys, "_br", "_bc").applyInPandas(label, schema))
+    labelled = cut_lineage(spread(boxed, *keys, "_br", "_bc").groupBy(*keys, "_br", "_bc").applyInPandas(label, schema))
 
     # Cells on the last row or column of a block (and the first column, for diagonals) look outwards.
     r, c = F.col("row_idx") % block, F.col("col_idx") % block
@@ -265,8 +265,8 @@ def simplify_rings(vertices: DataFrame, keys: list[str], tolerance: float = 50.0
         return pdf[_keep_mask(pdf["x"].to_numpy(), pdf["y"].to_numpy(), tolerance)]
 
     if long.isEmpty():
-        return vertices.groupBy(*keys).applyInPandas(one_ring, schema)
-    short = vertices.join(long, keys, "left_anti").groupBy(*keys).applyInPandas(one_ring, schema)
+        return spread(vertices, *keys).groupBy(*keys).applyInPandas(one_ring, schema)
+    short = spread(vertices.join(long, keys, "left_anti"), *keys).groupBy(*keys).applyInPandas(one_ring, schema)
     return short.unionByName(simplify_long_rings(vertices.join(long, keys, "left_semi"), keys, tolerance))
 
 
@@ -324,13 +324,23 @@ def simplify_long_rings(vertices: DataFrame, keys: list[str], tolerance: float)
     return whole.select(*keys, "p.*")
 
 
-def vertex_area(vertices: DataFrame, keys: list[str]) -> DataFrame:
+def vertex_area(vertices: DataFrame, keys: list[str], step: int = 100_000) -> DataFrame:
     """Geodesic km2 per `keys` from closed lon/lat rings (keys, ring_id, seq, lon, lat) whose holes
-    turn the other way. The next vertex comes from a window over one simplified ring."""
-    following = Window.partitionBy(*keys, "ring_id").orderBy("seq")
-    pairs = vertices.withColumn("lon2", F.lead("lon").over(following)).withColumn("lat2", F.lead("lat").over(following))
-    term = edge_area_term(F.col("lon"), F.col("lat"), F.col("lon2"), F.col("lat2"))
-    return pairs.where("lon2 IS NOT NULL").groupBy(*keys).agg(F.abs(F.sum(term)).alias("area_km2"))
+    turn the other way.
+
+    The next vertex is looked up within stretches of `step` positions; only the first vertex of each
+    stretch is compared across a ring.
+    """
+    ring = [*keys, "ring_id"]
+    part = vertices.select(*ring, "seq", "lon", "lat", F.floor(F.col("seq") / step).alias("stretch"))
+    here = Window.partitionBy(*ring, "stretch").orderBy("seq")
+    firsts = part.groupBy(*ring, "stretch").agg(F.min(F.struct("seq", "lon", "lat")).alias("f"))
+    over = firsts.select(*ring, "stretch", F.lead("f").over(Window.partitionBy(*ring).orderBy("stretch")).alias("f"))
+    pairs = part.withColumn("n", F.lead(F.struct("seq", "lon", "lat")).over(here)).join(over, [*ring, "stretch"]).withColumn(
+        "n", F.coalesce("n", "f")
+    )
+    term = edge_area_term(F.col("lon"), F.col("lat"), F.col("n.lon"), F.col("n.lat"))
+    return pairs.where("n IS NOT NULL").groupBy(*keys).agg(F.abs(F.sum(term)).alias("area_km2"))
 
 
 def patch_features(vertices: DataFrame, keys: list[str], properties: DataFrame) -> DataFrame:
