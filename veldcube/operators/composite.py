@@ -11,6 +11,8 @@ from veldcube.operators.order_stats import exact_median, gathered
 
 CELL = ["aoi", "sensor", "resolution", "row_idx", "col_idx"]
 CELL_MONTH = ["aoi", "sensor", "resolution", "year", "month", "row_idx", "col_idx"]
+# What rows are gathered by: sensor and resolution are constant within one source.
+GATHER = ["aoi", "year", "month", "row_idx", "col_idx"]
 # Scenes may repeat; this order makes "first" and "latest" the same on every run.
 SCENE_ORDER = ["acq_ts", "b8", "b4", "scl", "burn_date", "burn_qa"]
 
@@ -53,20 +55,20 @@ def visible_ndvi(obs: DataFrame, legacy: bool = False) -> DataFrame:
 
 
 def monthly_median_composite(obs: DataFrame, group_bound: int | None = None, legacy_mask: bool = False) -> DataFrame:
-    return exact_median(visible_ndvi(obs, legacy_mask), CELL_MONTH, "value", "value", group_bound)
+    return exact_median(visible_ndvi(obs, legacy_mask), CELL_MONTH, "value", "value", group_bound, gather_by=GATHER)
 
 
 def modis_median_composite(obs: DataFrame, group_bound: int | None = None) -> DataFrame:
     scaled = with_scaled_ndvi(obs)
     good = F.col("summary_qa") <= fixed.MAX_SUMMARY_QA
     return exact_median(
-        scaled.withColumn("value", F.when(good, F.col("ndvi"))), CELL_MONTH, "value", "value", group_bound
+        scaled.withColumn("value", F.when(good, F.col("ndvi"))), CELL_MONTH, "value", "value", group_bound, gather_by=GATHER
     )
 
 
 def monthly_mosaic_composite(obs: DataFrame, group_bound: int | None = None, legacy_mask: bool = True) -> DataFrame:
     """Latest visible value on top; keeps no state beyond one value per cell and month."""
-    seen = gathered(visible_ndvi(obs, legacy_mask).select(*CELL_MONTH, "value", *SCENE_ORDER), CELL_MONTH, group_bound)
+    seen = gathered(visible_ndvi(obs, legacy_mask).select(*CELL_MONTH, "value", *SCENE_ORDER), GATHER, group_bound)
     order = F.when(F.col("value").isNotNull(), F.struct(*SCENE_ORDER))
     return seen.groupBy(*CELL_MONTH).agg(F.max_by("value", order).alias("value"))
 
@@ -77,7 +79,7 @@ BURN_BANDS = ["burn_date", "first_day", "last_day", "burn_qa"]
 def _burn_composite(obs: DataFrame, pick, group_bound: int | None) -> DataFrame:
     keys = [k for k in CELL_MONTH if k != "sensor"]
     columns = list(dict.fromkeys([*keys, *BURN_BANDS, *SCENE_ORDER]))
-    best = gathered(obs.select(*columns), keys, group_bound).groupBy(*keys).agg(pick(F.struct(*BURN_BANDS), F.struct(*SCENE_ORDER)).alias("b"))
+    best = gathered(obs.select(*columns), GATHER, group_bound).groupBy(*keys).agg(pick(F.struct(*BURN_BANDS), F.struct(*SCENE_ORDER)).alias("b"))
     return best.select(
         "aoi", F.lit("burned_area").alias("sensor"), *keys[1:], *[F.col(f"b.{c}").alias(c) for c in BURN_BANDS]
     )

@@ -21,7 +21,11 @@ def same_keys(left: str, right: str, keys: list[str]) -> Column:
 def gathered(df: DataFrame, keys: list[str], group_bound: int | None) -> DataFrame:
     """Rows hash-partitioned by group before an aggregate whose partial state is no smaller than its
     rows (a percentile, a pick by order), if every group is proven to fit one task. Otherwise the
-    rows stay where they are and the aggregate combines them before its own shuffle."""
+    rows stay where they are and the aggregate combines them before its own shuffle.
+
+    `keys` may be a subset of the grouping columns. Leave out columns that are constant in the plan:
+    a folded constant does not match the aggregate's key, which would then shuffle a second time.
+    """
     return df.repartition(*keys) if group_bound is not None and group_bound <= ONE_TASK_ROWS else df
 
 
@@ -34,6 +38,7 @@ def exact_percentile(
     group_bound: int | None = None,
     low: float = -1.0,
     high: float = 1.0,
+    gather_by: list[str] | None = None,
 ) -> DataFrame:
     """Percentile with linear interpolation per group; NULL values do not count.
 
@@ -45,7 +50,7 @@ def exact_percentile(
     ordered. [low, high] steers the balance, not the result.
     """
     if group_bound is not None and group_bound <= ONE_TASK_ROWS:
-        return gathered(df.select(*keys, value), keys, group_bound).groupBy(*keys).agg(F.percentile(value, F.lit(fraction)).alias(out))
+        return gathered(df.select(*keys, value), gather_by or keys, group_bound).groupBy(*keys).agg(F.percentile(value, F.lit(fraction)).alias(out))
 
     share = F.least(F.greatest((F.col("v") - low) / (high - low), F.lit(0.0)), F.lit(1.0))
     values = (
@@ -90,6 +95,6 @@ def exact_percentile(
 
 
 def exact_median(df: DataFrame, keys: list[str], value: str, out: str, group_bound: int | None = None,
-                 low: float = -1.0, high: float = 1.0) -> DataFrame:
-    return exact_percentile(df, keys, value, out, 0.5, group_bound, low, high)
+                 low: float = -1.0, high: float = 1.0, gather_by: list[str] | None = None) -> DataFrame:
+    return exact_percentile(df, keys, value, out, 0.5, group_bound, low, high, gather_by)
 

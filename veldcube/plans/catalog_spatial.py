@@ -31,6 +31,12 @@ def _(c):
     return spatial.mask_polygon(c.cells, c.class_spans)
 
 
+@query("q10_monthly_grid", f"""SELECT * FROM cells SEMI JOIN (SELECT {CELL} FROM inside WHERE layer = 'aoi') USING ({CELL})
+WHERE year = 1998 AND month = 7""", "value")
+def _(c):
+    return spatial.mask_polygon(views.monthly_grid(c.cells, 1998, 7), c.aoi_spans)
+
+
 @query("g3_mask_polygon_all_touched", f"SELECT * FROM cells SEMI JOIN (SELECT {CELL} FROM touched WHERE layer = 'Rangeland') USING ({CELL})", "value")
 def _(c):
     return spatial.mask_polygon_all_touched(c.cells, c.edges.where("layer = 'Rangeland'"), c.grid)
