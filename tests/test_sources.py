@@ -3,7 +3,6 @@ import json
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from veldcube.operators import incremental, quality
 from veldcube.sources import dims, geojson, products, tiles
