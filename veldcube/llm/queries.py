@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veldcube.llm import exact_dedup, mixing
+from veldcube.llm import bpe, exact_dedup, language_id, mixing
 from veldcube.llm.common import table
 
 
@@ -16,9 +16,19 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_report(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_report(table(spark, sf_dir, "documents"))
+
+
+def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.bpe_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op4_exact_dedup": op4_exact_dedup,
+    "op9_language_id": op9_language_id,
+    "op10_bpe_codec": op10_bpe_codec,
 }
 SQL = {
     "op1_mix_sources": mixing.MIX_REPORT_SQL,
