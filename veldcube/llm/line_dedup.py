@@ -31,7 +31,13 @@ def normal(line: Column) -> Column:
 
 
 def shingles(norm: Column) -> Column:
-    return F.regexp_extract_all(norm, F.lit(rf"(?s)(?<![^ ])(?=([^ ].{{0,{SHINGLE - 1}}}))"), F.lit(1))
+    """The distinct shingles of a line."""
+    found = F.regexp_extract_all(norm, F.lit(rf"(?s)(?<![^ ])(?=([^ ].{{0,{SHINGLE - 1}}}))"), F.lit(1))
+    return F.array_distinct(found)
+
+
+def _flipped(bits: int):
+    return lambda h: h.bitwiseXOR(F.lit(bits))
 
 
 def bands(items: Column) -> Column:
@@ -40,7 +46,7 @@ def bands(items: Column) -> Column:
     hashes = F.transform(items, lambda s: F.xxhash64(s))
 
     def of(hashes: Column) -> Column:
-        least = [F.array_min(F.transform(hashes, lambda h, flip=flip: h.bitwiseXOR(F.lit(flip)))) for flip in _FLIPS]
+        least = [F.array_min(F.transform(hashes, _flipped(flip))) for flip in _FLIPS]
         return F.array(*[F.xxhash64(F.lit(b), *least[b * ROWS : (b + 1) * ROWS]) for b in range(BANDS)])
 
     # The one-element array keeps the hashes from being worked out once per minimum.
@@ -49,9 +55,9 @@ def bands(items: Column) -> Column:
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Lines that take part: row, doc_id, pos, norm and two hashes of the normal form."""
-    lines = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"),
-        F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("pos", "line"))
+    # Rows are numbered before they are taken apart.
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    lines = rows.select("row", "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     named = lines.select("row", "doc_id", "pos", normal(F.col("line")).alias("norm"))
     return named.filter(F.length("norm") >= MIN_CHARS).withColumn("h1", F.xxhash64("norm")).withColumn(
         "h2", F.xxhash64("norm", F.lit(1)))
@@ -61,9 +67,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """Lines of `docs` that go (row, pos): all of a component of similar lines but the first by doc_id
     and position. Equal lines are one entry, however many there are."""
     lines = lines_of(docs, id_col, text_col)
-    items = shingles(F.col("norm"))
     place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row", "pos")
-    signed = lines.select("h1", "h2", F.struct(place.alias("place"), F.size(items).alias("n"), bands(items).alias("bands")).alias("one"))
+    signed = lines.withColumn("items", shingles(F.col("norm"))).select("h1", "h2", F.struct(place.alias("place"), F.size("items").alias("n"), bands(F.col("items")).alias("bands")).alias("one"))
     distinct = signed.groupBy("h1", "h2").agg(F.min("one").alias("one"), F.count("*").alias("times"))
     entries = stored(distinct.select(
         F.monotonically_increasing_id().alias("id"), "h1", "h2", "one.place", "times", "one.n", "one.bands"), "lines")
@@ -74,7 +79,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     listed = entries.join(lists.select(F.col("row").alias("id")).distinct(), "id", "left_semi").select("id", F.col("place.row").alias("row"), F.col("place.pos").alias("pos"))
     listed = stored(listed, "listed")
     sets = stored(lines.select("row", "pos", "norm").join(broadcast_if_small(listed, SMALL), ["row", "pos"]).select(
-        F.col("id").alias("row"), F.array_distinct(shingles(F.col("norm"))).alias("items")), "sets")
+        F.col("id").alias("row"), shingles(F.col("norm")).alias("items")), "sets")
     found = stored(components(list_links(lists, sets, PERCENT)), "components")
     several = entries.select("id", "h1", "h2", "place", "times").join(found.withColumnRenamed("node", "id"), "id", "left").filter(
         "times > 1 or component is not null").withColumn("component", F.coalesce("component", "id"))
