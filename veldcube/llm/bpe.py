@@ -9,6 +9,7 @@ from __future__ import annotations
 import heapq
 import json
 import mmap
+import re
 import struct
 import unicodedata
 import uuid
@@ -30,7 +31,7 @@ from veldcube.llm.common import shared_path
 LEXICON_WORDS = 60_000
 #: Words that a task counts before it hands its counts on, and results that it keeps at hand.
 COUNTED_WORDS = 200_000
-CACHED_WORDS = 200_000
+CACHED_WORDS = 350_000
 #: Characters that are encoded before a batch is passed on.
 CHUNK_CHARS = 1_500_000
 #: Words longer than this are merged with a heap.
@@ -38,6 +39,9 @@ LONG_WORD = 40
 #: Fixed value: white space of the vocabulary's normaliser.
 BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
+#: The lower-case letters and the numbers below U+0100.
+LATIN = {r"\p{L}": "a-zªµºß-öø-ÿ", r"\p{N}": "0-9²³¹¼-¾"}
+
 
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte in vocabularies of byte-level tokenizers."""
@@ -64,7 +68,8 @@ class Vocabulary:
         self.inner = [vocab[s] for s in symbols]
         self.last = [vocab[s + end] for s in symbols]
         pairs = [x.split(" ") if isinstance(x, str) else x for x in model["merges"]]
-        self.merges = {(vocab[a] << 20) | vocab[b]: (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        self.ranks = {(vocab[a] << 20) | vocab[b]: rank for rank, (a, b) in enumerate(pairs)}
+        self.merged = [vocab[a + b] for a, b in pairs]
         self.tokens = [""] * (max([*vocab.values(), *self.specials.values()]) + 1)
         for token, i in [*vocab.items(), *self.specials.items()]:
             self.tokens[i] = token
@@ -75,38 +80,34 @@ class Vocabulary:
         return self._merge_long(ids) if len(ids) > LONG_WORD else self._merge_short(ids)
 
     def _merge_short(self, ids: list[int]) -> list[int]:
-        merges = self.merges
-        found = [merges.get((a << 20) | b) for a, b in zip(ids, ids[1:], strict=False)]
-        while True:
-            best = None
-            for i, x in enumerate(found):
-                if x is not None and (best is None or x[0] < best[0]):
-                    best, at = x, i
-            if best is None:
-                return ids
-            ids[at : at + 2] = [best[1]]
-            del found[at]
+        rank, none = self.ranks.get, len(self.merged)
+        ranks = [rank((a << 20) | b, none) for a, b in zip(ids, ids[1:], strict=False)]
+        while ranks and (best := min(ranks)) < none:
+            at = ranks.index(best)
+            new = ids[at] = self.merged[best]
+            del ids[at + 1], ranks[at]
             if at:
-                found[at - 1] = merges.get((ids[at - 1] << 20) | best[1])
-            if at < len(found):
-                found[at] = merges.get((best[1] << 20) | ids[at + 1])
+                ranks[at - 1] = rank((ids[at - 1] << 20) | new, none)
+            if at < len(ranks):
+                ranks[at] = rank((new << 20) | ids[at + 1], none)
+        return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
-        merges, n = self.merges, len(ids)
+        rank, n = self.ranks.get, len(ids)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        heap = [(*x, i, ids[i], ids[i + 1]) for i in range(n - 1) if (x := merges.get((ids[i] << 20) | ids[i + 1]))]
+        heap = [(r, i, ids[i], ids[i + 1]) for i in range(n - 1) if (r := rank((ids[i] << 20) | ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, new, i, a, b = heapq.heappop(heap)
+            best, i, a, b = heapq.heappop(heap)
             j = after[i]
             if ids[i] != a or j < 0 or ids[j] != b:
                 continue
-            ids[i], ids[j], after[i] = new, -1, after[j]
+            ids[i], ids[j], after[i] = self.merged[best], -1, after[j]
             if after[j] >= 0:
                 before[after[j]] = i
             for left, right in ((before[i], i), (i, after[i])):
-                if left >= 0 and right >= 0 and (x := merges.get((ids[left] << 20) | ids[right])):
-                    heapq.heappush(heap, (*x, left, ids[left], ids[right]))
+                if left >= 0 and right >= 0 and (r := rank((ids[left] << 20) | ids[right])) is not None:
+                    heapq.heappush(heap, (r, left, ids[left], ids[right]))
         return [x for x in ids if x >= 0]
 
 
@@ -115,6 +116,10 @@ class Words:
 
     def __init__(self, vocabulary: Vocabulary):
         self.find = regex.compile(vocabulary.pattern).findall
+        narrow = vocabulary.pattern
+        for kind, characters in LATIN.items():
+            narrow = narrow.replace(kind, characters)
+        self.find_latin = re.compile(narrow).findall  # the same cuts, for texts below U+0100
         self.specials = vocabulary.specials
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True))) + ")").split if self.specials else None
 
@@ -129,7 +134,12 @@ class Words:
     def plain(self, text: str) -> list[str]:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")  # lower-cased letter by letter
-        return self.find(text.lower())
+        text = text.lower()
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.find(text)
+        return self.find_latin(text)
 
 
 def compile_lexicon(words: dict[bytes, list[int]]) -> bytes:
@@ -255,24 +265,45 @@ def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text
 
 
 class Encoder:
+    """Encodes texts; keeps the results of recent words, and those of lexicon words as long as it lives."""
+
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
         self.cut, self.vocabulary, self.lexicon = Words(vocabulary), vocabulary, lexicon
+        self.frequent: dict[str | int, bytes] = {}
         self.known: dict[str | int, bytes] = {}
 
     def missing(self, word: str | int) -> bytes:
         if isinstance(word, int):
-            found = array("i", [word]).tobytes()
+            return array("i", [word]).tobytes()
+        raw = word.encode("utf-8", "surrogatepass")
+        found = self.lexicon.get(raw)
+        if found is not None:
+            self.frequent[word] = found
         else:
-            raw = word.encode("utf-8", "surrogatepass")
-            found = self.lexicon.get(raw) or array("i", self.vocabulary.merge(raw)).tobytes()
+            found = array("i", self.vocabulary.merge(raw)).tobytes()
         if len(self.known) >= CACHED_WORDS:
-            self.known.clear()
+            self.known = dict(self.frequent)
         self.known[word] = found
         return found
 
     def __call__(self, text: str) -> bytes:
         get, missing = self.known.get, self.missing
-        return b"".join([get(w) or missing(w) for w in self.cut(text)])
+        words = self.cut(text)
+        found = [get(w) for w in words]
+        if None in found:
+            found = [missing(w) if x is None else x for w, x in zip(words, found, strict=True)]
+        return b"".join(found)
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def worker_encoder(name: str, vocabulary: Vocabulary) -> Encoder:
+    """This worker's encoder with the published lexicon `name`; later tasks find its results."""
+    if name not in _encoders:
+        _encoders.clear()
+        _encoders[name] = Encoder(vocabulary, Lexicon(SparkFiles.get(name)))
+    return _encoders[name]
 
 
 def ids_column(encoded: list[bytes]) -> pa.ListArray:
@@ -322,7 +353,7 @@ def encode(docs: DataFrame, path: str | None = None, outputs: tuple[str, ...] =
     shipped = spark.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shipped.value, Lexicon(SparkFiles.get(name)))
+        encoder = worker_encoder(name, shipped.value)
         tokens = pa.array(shipped.value.tokens, pa.string())
 
         def result(rows: pa.RecordBatch, encoded: list[bytes]) -> pa.RecordBatch:
