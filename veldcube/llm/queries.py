@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veldcube.llm import bpe, exact_dedup, language_id, line_dedup, mixing, ngram_join
+from veldcube.llm import bpe, embedding_dedup, exact_dedup, language_id, line_dedup, mixing, ngram_join
 from veldcube.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_report(table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ QUERIES = {
     "op2_ngram_join": op2_ngram_join,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_line_dedup": op5_line_dedup,
+    "op7_embedding_dedup": op7_embedding_dedup,
     "op9_language_id": op9_language_id,
     "op10_bpe_codec": op10_bpe_codec,
 }
