@@ -80,7 +80,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     listed = stored(listed, "listed")
     sets = stored(lines.select("row", "pos", "norm").join(broadcast_if_small(listed, SMALL), ["row", "pos"]).select(
         F.col("id").alias("row"), shingles(F.col("norm")).alias("items")), "sets")
-    found = stored(components(list_links(lists, sets, PERCENT)), "components")
+    found = stored(components(list_links(lists, lambda met: sets, PERCENT)), "components")
     several = entries.select("id", "h1", "h2", "place", "times").join(found.withColumnRenamed("node", "id"), "id", "left").filter(
         "times > 1 or component is not null").withColumn("component", F.coalesce("component", "id"))
     several = stored(several, "several")

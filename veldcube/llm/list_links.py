@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,12 +25,12 @@ def _enough(matched: DataFrame) -> DataFrame:
     return matched.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("needed").alias("needed")).filter("shared >= needed").select("a", "b")
 
 
-def list_links(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def list_links(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """Links (a, b) whose components are those of all similar pairs that share lists.
 
     `lists` has a row (list, row, n, matches, common) for every member of a list: the size of its set,
-    how many lists a partner must share with it, and how common its items are; `sets` has the items
-    of every member. Each list is first joined as a star around its most common member, which near
+    how many lists a partner must share with it, and how common its items are; `sets_of` gives the
+    sets (row, items) of the rows it is handed, which are those of candidate pairs only. Each list is first joined as a star around its most common member, which near
     copies of one text have in common. Once the stars' components are known, only pairs of different
     components can add anything, and all of those are formed: members outside a list's main component
     against the whole list.
@@ -53,7 +55,8 @@ def list_links(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         matched = members.withColumnRenamed("row", "b").join(left, "list").filter(f"component != other and {again} and {fits}")
         pairs = stored(_enough(matched.select(
             F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("matches", "l").alias("needed"))), "pairs")
-        found = stored(verified(pairs, sets, percent), "links")
+        met = stored(pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct(), "met")
+        found = stored(verified(pairs, sets_of(met), percent), "links")
         links = found if links is None else links.union(found)
         if turn < STAR_ROUNDS:
             labels = stored(components(links), "components")

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veldcube.functions.session import broadcast_if_small
 from veldcube.llm.common import components, stored
 from veldcube.llm.list_links import list_links
 
@@ -21,6 +22,8 @@ MAX_MATCHES = 8
 #: Cost of comparing one shingle in a verification, in units of one posting read.
 VERIFY_COST = 0.05
 CHUNK_BYTES = 1_000_000
+#: Side tables of 8 bytes a row up to so many rows are broadcast; larger ones are joined by shuffle.
+SMALL = 1_000_000
 
 _RANDOM = np.random.default_rng(20240607)
 _BYTE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -212,14 +215,14 @@ def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
 def similar_links(rows: DataFrame, sketch: np.ndarray, classes: DataFrame, words: int, percent: int) -> DataFrame:
     """Links between class representatives; a list holds those that have a shingle in their prefix."""
     reps = classes.select(F.col("node").alias("row")).distinct()
-    posted = (
-        prefixes(rows, sketch, words, percent).join(reps, "row").filter("n > 0")
-        .select("row", "n", "matches", "common", F.explode("prefix").alias("list")))
-    postings = stored(posted, "postings")
-    shared = postings.groupBy("list").agg(F.count("*").alias("size")).filter("size > 1").select("list")
-    lists = stored(postings.join(shared, "list"), "lists")
-    sets = stored(shingle_sets(rows.join(lists.select("row").distinct(), "row", "left_semi"), words), "sets")
-    return list_links(lists, sets, percent)
+    chosen = stored(prefixes(rows, sketch, words, percent).filter("n > 0").join(reps, "row"), "prefixes")
+    placed = chosen.select(F.explode("prefix").alias("list"), "row")
+    shared = stored(placed.groupBy("list").agg(F.count("*").alias("size")).filter("size > 1").select("list"), "shared")
+    lists = stored(
+        placed.join(broadcast_if_small(shared, SMALL), "list").join(chosen.drop("prefix"), "row")
+        .select("list", "row", "n", "matches", "common"), "lists")
+    sets_of = lambda met: stored(shingle_sets(rows.join(broadcast_if_small(met, SMALL), "row", "left_semi"), words), "sets")
+    return list_links(lists, sets_of, percent)
 
 
 def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
