@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veldcube.llm import bpe, embedding_dedup, exact_dedup, language_id, line_dedup, mixing, ngram_join
+from veldcube.llm import bpe, embedding_dedup, exact_dedup, html_text, language_id, line_dedup, mixing, ngram_join, warc
 from veldcube.llm.common import table
 
 
@@ -24,10 +24,18 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_report(table(spark, sf_dir, "pages"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_report(table(spark, sf_dir, "documents"))
 
@@ -41,11 +49,14 @@ QUERIES = {
     "op2_ngram_join": op2_ngram_join,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_line_dedup": op5_line_dedup,
+    "op6_html_text": op6_html_text,
     "op7_embedding_dedup": op7_embedding_dedup,
+    "op8_warc": op8_warc,
     "op9_language_id": op9_language_id,
     "op10_bpe_codec": op10_bpe_codec,
 }
 SQL = {
     "op1_mix_sources": mixing.MIX_REPORT_SQL,
     "op4_exact_dedup": exact_dedup.EXACT_SQL,
+    "op8_warc": warc.WARC_SQL,
 }
