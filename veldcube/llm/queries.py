@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veldcube.llm import bpe, embedding_dedup, exact_dedup, html_text, language_id, line_dedup, mixing, ngram_join, warc
+from veldcube.llm import bpe, embedding_dedup, exact_dedup, html_text, language_id, line_dedup, mixing, ngram_join, secret_scan, warc
 from veldcube.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_report(table(spark, sf_dir, "documents"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_report(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_report(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_ngram_join": op2_ngram_join,
+    "op3_secret_scan": op3_secret_scan,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_html_text": op6_html_text,
