@@ -3,18 +3,48 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from veldcube.llm import bpe, language_id, line_dedup, mixing, ngram_join
 from veldcube.llm.common import stored
-from veldcube.llm.mixing import mixed_documents
 
+#: The stages hold models and similarity joins, which SQL cannot express.
 ORACLE_SQL = None
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixed_documents(docs)
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told."""
+    return language_id.known_language(docs)
 
 
-STAGES = [("mixing", mix)]
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, each line nearly alike elsewhere in its first place only."""
+    kept = line_dedup.deduplicated(docs)
+    return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that links of five-word shingles make."""
+    return ngram_join.one_of_each(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it."""
+    return mixing.mixed_documents(docs)
+
+
+def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document and the text they decode to."""
+    return bpe.encode(docs)
+
+
+STAGES = [
+    ("language ID", identify_language),
+    ("line dedup", drop_repeated_lines),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("source mixing", mix_sources),
+    ("BPE encoding", encode_tokens),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
