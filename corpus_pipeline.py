@@ -18,8 +18,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, each line nearly alike elsewhere in its first place only."""
-    kept = line_dedup.deduplicated(docs)
+    """Each line that is nearly alike elsewhere in its first place only; documents that consist of
+    such lines alone, which are copies, go."""
+    kept = line_dedup.deduplicated(docs, n_removed="__removed").filter("not (__removed > 0 and text = '')").drop("__removed")
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
