@@ -13,51 +13,66 @@ from veldcube.llm.common import components, stored
 STAR_ROUNDS = 2
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets (row, items) share `percent` of their union at least."""
-    of = lambda x: sets.select(F.col("row").alias(x), F.col("items").alias(f"s{x}"))
-    both = pairs.join(of("a"), "a").join(of("b"), "b").withColumn("shared", F.size(F.array_intersect("sa", "sb")))
-    return both.filter(100 * F.col("shared") >= percent * (F.size("sa") + F.size("sb") - F.col("shared"))).select("a", "b")
+def similar(a: str, b: str, percent: int):
+    """Whether two arrays of distinct items share `percent` of their union."""
+    shared = F.size(F.array_intersect(a, b))
+    return 100 * shared >= percent * (F.size(a) + F.size(b) - shared)
 
 
-def _enough(matched: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share as many lists as both sides call for."""
-    return matched.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("needed").alias("needed")).filter("shared >= needed").select("a", "b")
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets (row, items) are similar."""
+    of = lambda x: sets.select(F.col("row").alias(x), F.col("items").alias(f"s{x}"))
+    return pairs.join(of("a"), "a").join(of("b"), "b").filter(similar("sa", "sb", percent)).select("a", "b")
 
 
-def list_links(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
-    """Links (a, b) whose components are those of all similar pairs that share lists.
+def list_links(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, carry_sets: bool = False) -> DataFrame:
+    """Links (a, b) whose components are those of all similar pairs that share enough lists.
 
     `lists` has a row (list, row, n, matches, common) for every member of a list: the size of its set,
-    how many lists a partner must share with it, and how common its items are; `sets_of` gives the
-    sets (row, items) of the rows it is handed, which are those of candidate pairs only. Each list is first joined as a star around its most common member, which near
-    copies of one text have in common. Once the stars' components are known, only pairs of different
-    components can add anything, and all of those are formed: members outside a list's main component
-    against the whole list.
+    how many lists a partner must share with it, and how common its items are. `sets_of` gives the
+    sets (row, items) of the rows it is handed, which are those of candidates only.
+
+    Each list is first joined as a star around its most common member, which near copies of one text
+    have in common; all pairs of that member are then formed, and it leaves the list. Lists that have
+    one member or one component left are done. After the star rounds every pair of different components
+    that is left in a list is formed: members outside the list's main component against the list. The
+    lists that a pair shares are counted over all rounds, and a pair is verified when they are enough.
+    With `carry_sets`, for small sets and matches of 1, that last join compares the sets itself, so
+    that pairs that are not similar are no rows.
     """
+    spark = lists.sparkSession
     fits = f"100 * least(n, m) >= {percent} * greatest(n, m)"
     columns = (("row", "a"), ("n", "m"), ("matches", "l"), ("component", "other"))
-    links, labels = None, None
+    members = lists.withColumn("component", F.col("row"))
+    links = spark.createDataFrame([], "a long, b long")
+    waiting = spark.createDataFrame([], "a long, b long, shared long, needed int")
     for turn in range(STAR_ROUNDS + 1):
-        if labels is None:
-            members = apart = lists.withColumn("component", F.col("row"))
-        else:
-            members = lists.join(labels.withColumnRenamed("node", "row"), "row", "left").withColumn("component", F.coalesce("component", "row"))
-            parts = members.groupBy("list", "component").agg(F.count("*").alias("here"))
-            main = parts.groupBy("list").agg(F.max_by("component", F.struct("here", "component")).alias("main"), F.count("*").alias("parts"))
-            members = stored(members.join(main.filter("parts > 1").drop("parts"), "list"), "members")
-            apart = members.filter("component != main")
-        if turn < STAR_ROUNDS:
-            centre = apart.groupBy("list").agg(F.max(F.struct("common", (-F.col("row")).alias("late"), "row", "n", "matches", "component")).alias("c"))
-            left, again = centre.select("list", *[F.col(f"c.{x}").alias(y) for x, y in columns]), "b != a"
+        stars = turn < STAR_ROUNDS
+        if stars:
+            order = F.struct("common", (-F.col("row")).alias("late"), "row", "n", "matches", "component")
+            centre = members.groupBy("list").agg(F.max(order).alias("c"))
+            left = centre.select("list", *[F.col(f"c.{x}").alias(y) for x, y in columns])
+            met = f"b != a and component != other and {fits}"
         else:
-            left, again = apart.select("list", *[F.col(x).alias(y) for x, y in columns]), "(component = main or a < b)"
-        matched = members.withColumnRenamed("row", "b").join(left, "list").filter(f"component != other and {again} and {fits}")
-        pairs = stored(_enough(matched.select(
-            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("matches", "l").alias("needed"))), "pairs")
-        met = stored(pairs.select(F.col("a").alias("row")).union(pairs.select("b")).distinct(), "met")
-        found = stored(verified(pairs, sets_of(met), percent), "links")
-        links = found if links is None else links.union(found)
-        if turn < STAR_ROUNDS:
-            labels = stored(components(links), "components")
+            if carry_sets:
+                sets = sets_of(members.select("row").distinct())
+                members = members.join(sets, "row")
+            left = members.filter("component != main").select("list", *[F.col(x).alias(y) for x, y in columns], *([F.col("items").alias("sa")] if carry_sets else []))
+            met = f"component != other and (component = main or a < b) and {fits}"
+        joined = members.withColumnRenamed("row", "b").join(left, "list").filter(met)
+        if not stars and carry_sets:
+            return links.union(stored(joined.filter(similar("items", "sa", percent)).select("a", "b"), "links"))
+        matched = joined.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(1).cast("long").alias("shared"), F.least("matches", "l").cast("int").alias("needed"))
+        counted = stored(matched.union(waiting).groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("needed").alias("needed")), "pairs")
+        ready, waiting = counted.filter("shared >= needed").select("a", "b"), counted.filter("shared < needed")
+        rows = stored(ready.select(F.col("a").alias("row")).union(ready.select("b")).distinct(), "met")
+        links = links.union(stored(verified(ready, sets_of(rows), percent), "links"))
+        if not stars:
+            return links
+        labels = components(links).withColumnRenamed("node", "row")
+        rest = members.drop("component", "main").join(left.select("list", F.col("a").alias("centre")), "list").filter("row != centre").drop("centre")
+        placed = stored(rest.join(labels, "row", "left").withColumn("component", F.coalesce("component", "row")), "members")
+        parts = placed.groupBy("list", "component").agg(F.count("*").alias("here"))
+        main = parts.groupBy("list").agg(F.max_by("component", F.struct("here", "component")).alias("main"), F.count("*").alias("parts"))
+        members = stored(placed.join(main.filter("parts > 1").drop("parts"), "list"), "members")
     return links
