@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,15 +14,15 @@ from veldcube.functions.session import broadcast_if_small
 from veldcube.llm.common import components, stored
 from veldcube.llm.list_links import list_links
 
-#: log2 of the counters of the frequency sketch, 4 bytes each.
-SKETCH_BITS = 20
+#: log2 of the counters of the frequency sketch. It orders shingles only: a coarse one costs time, never links.
+SKETCH_BITS = 22
 #: Counters that travel as one row while sketches are added up.
-SKETCH_ROW = 1 << 14
+SKETCH_ROW = 1 << 15
 #: Longest extension of a prefix that is weighed.
 MAX_MATCHES = 8
 #: Cost of comparing one shingle in a verification, in units of one posting read.
 VERIFY_COST = 0.05
-CHUNK_BYTES = 1_000_000
+CHUNK_BYTES = 300_000
 #: Side tables of 8 bytes a row up to so many rows are broadcast; larger ones are joined by shuffle.
 SMALL = 1_000_000
 
@@ -104,7 +105,7 @@ def _lists(sets: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
 
 
-def _pieces(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
+def _pieces(batch: pa.RecordBatch, rows: int = 200) -> Iterator[pa.RecordBatch]:
     return (batch.slice(i, rows) for i in range(0, batch.num_rows, rows))
 
 
@@ -113,12 +114,13 @@ def set_sizes(rows: DataFrame, words: int) -> DataFrame:
     pieces (slot, counts) of the tasks' frequency sketches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, counts, mask = Shingler(words), np.zeros(1 << SKETCH_BITS, np.int32), np.uint64((1 << SKETCH_BITS) - 1)
+        shingler, counts, mask = Shingler(words), np.zeros(1 << SKETCH_BITS, np.uint16), np.uint64((1 << SKETCH_BITS) - 1)
         names = ["row", "n", "h1", "h2", "slot", "counts"]
         for batch in batches:
             for piece in _pieces(batch):
                 sets = list(shingler(piece.column(1).to_pylist()))
-                np.add.at(counts, (np.concatenate(sets) & mask).astype(np.int64), 1)
+                at, times = np.unique((np.concatenate(sets) & mask).astype(np.int64), return_counts=True)
+                counts[at] = np.minimum(counts[at].astype(np.int64) + times, 65_535)
                 h1 = [int(_signed(np.bitwise_xor.reduce(_mixed(s), keepdims=True))[0]) for s in sets]
                 h2 = [int(_signed(np.add.reduce(_mixed(s ^ np.uint64(0x5851F42D4C957F2D)), keepdims=True))[0]) for s in sets]
                 m = len(sets)
@@ -130,7 +132,7 @@ def set_sizes(rows: DataFrame, words: int) -> DataFrame:
             if part.any():
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()),
-                     pa.array([slot], pa.int32()), pa.array([part.tobytes()], pa.binary())], names)
+                     pa.array([slot], pa.int32()), pa.array([zlib.compress(part.tobytes(), 1)], pa.binary())], names)
 
     return rows.select("row", "text").mapInArrow(run, "row long, n long, h1 long, h2 long, slot int, counts binary")
 
@@ -139,20 +141,22 @@ def add_sketches(parts: DataFrame) -> np.ndarray:
     """The sum of all tasks' sketches; its size is fixed. Sums are formed in two steps, so that no
     task meets the pieces of all tasks."""
 
-    def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(SKETCH_ROW, np.int64)
-        for x in table.column("counts"):
-            part = np.frombuffer(x.as_buffer(), np.int32)
-            total[: len(part)] += part
-        small = np.minimum(total, 2**31 - 1).astype(np.int32)
-        return pa.table({"slot": table.column("slot").slice(0, 1), "counts": pa.array([small.tobytes()], pa.binary())})
+    def adder(kind: type) -> Callable[[pa.Table], pa.Table]:
+        def add(table: pa.Table) -> pa.Table:
+            total = np.zeros(SKETCH_ROW, np.int64)
+            for x in table.column("counts"):
+                total += np.frombuffer(zlib.decompress(x.as_buffer()), kind)
+            packed = zlib.compress(np.minimum(total, 2**31 - 1).astype(np.int32).tobytes(), 1)
+            return pa.table({"slot": table.column("slot").slice(0, 1), "counts": pa.array([packed], pa.binary())})
+
+        return add
 
     salted = parts.select("slot", "counts", (F.rand(3) * 32).cast("int").alias("salt"))
-    once = salted.groupBy("slot", "salt").applyInArrow(lambda t: add(t), "slot int, counts binary")
-    summed = once.groupBy("slot").applyInArrow(add, "slot int, counts binary").collect()
+    once = salted.groupBy("slot", "salt").applyInArrow(adder(np.uint16), "slot int, counts binary")
+    summed = once.groupBy("slot").applyInArrow(adder(np.int32), "slot int, counts binary").collect()
     sketch = np.zeros(1 << SKETCH_BITS, np.int32)
     for r in summed:
-        sketch[r["slot"] : r["slot"] + SKETCH_ROW] = np.frombuffer(r["counts"], np.int32)[: 1 << SKETCH_BITS]
+        sketch[r["slot"] : r["slot"] + SKETCH_ROW] = np.frombuffer(zlib.decompress(r["counts"]), np.int32)
     return sketch
 
 
@@ -183,7 +187,7 @@ def prefixes(rows: DataFrame, sketch: np.ndarray, words: int, percent: int) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen, mask = Shingler(words), shipped.value, np.uint64((1 << SKETCH_BITS) - 1)
-        floor = float(np.median(seen))
+        floor = float(np.median(seen[::64]))
         for batch in batches:
             for piece in _pieces(batch):
                 sizes, matches, common, kept = [], [], [], []
