@@ -1,10 +1,11 @@
 import random
+import re
 from statistics import median
 
 import numpy as np
 import pytest
 
-from veldcube.operators.order_stats import exact_percentile
+from veldcube.operators.order_stats import edge_bucket, exact_percentiles, quantile_edges
 
 
 @pytest.fixture(scope="module")
@@ -18,18 +19,39 @@ def rows():
     return out
 
 
-@pytest.mark.parametrize("fraction", [0.5, 0.25, 0.02, 0.98, 0.0, 1.0])
-def test_split_path_equals_numpy_and_builtin(spark, rows, fraction):
+def exact_percentile(df, keys, value, out, fraction=0.5, value_range=(-1.0, 1.0)):
+    return exact_percentiles(df, keys, value, {out: fraction}, value_range)
+
+
+@pytest.mark.parametrize("value_range", [(-1.0, 1.0), None])
+def test_several_fractions_equal_numpy(spark, rows, value_range):
     df = spark.createDataFrame(rows, "k string, x double")
-    split = {r.k: r.p for r in exact_percentile(df, ["k"], "x", "p", fraction).collect()}
-    plain = {r.k: r.p for r in exact_percentile(df, ["k"], "x", "p", fraction, group_bound=10_000).collect()}
+    fractions = {"a": 0.5, "b": 0.25, "c": 0.02, "d": 0.98, "e": 0.0, "f": 1.0}
+    got = {r.k: r for r in exact_percentiles(df, ["k"], "x", fractions, value_range).collect()}
     for k in {r[0] for r in rows}:
         values = [v for n, v in rows if n == k and v is not None]
-        if not values:
-            assert split[k] is None and plain[k] is None
-        else:
-            assert split[k] == pytest.approx(np.quantile(values, fraction), abs=1e-12)
-            assert plain[k] == pytest.approx(split[k], abs=1e-12)
+        for out, fraction in fractions.items():
+            if not values:
+                assert got[k][out] is None
+            else:
+                assert got[k][out] == pytest.approx(np.quantile(values, fraction), abs=1e-12)
+
+
+def test_one_plan_for_any_size(spark, rows, tmp_path):
+    """Same operators for few and for many rows: nothing but the data differs."""
+    shape = lambda df: re.findall(r"\b(?:\w*)(Exchange|Window|Sort|HashAggregate|Join|Union)\b", exact_percentile(df, ["k"], "x", "p")._jdf.queryExecution().sparkPlan().toString())
+    few = spark.createDataFrame(rows, "k string, x double")
+    many = spark.range(3_000_000).selectExpr("cast(id % 3 as string) k", "rand(1) x")
+    few.write.parquet(a := str(tmp_path / "few"))
+    many.write.parquet(b := str(tmp_path / "many"))
+    assert shape(spark.read.parquet(a)) == shape(spark.read.parquet(b))
+
+
+def test_buckets_from_the_data_are_balanced(spark):
+    df = spark.range(20_000).selectExpr("1 / (rand(5) - 0.5) x")  # heavy tails
+    edges = quantile_edges(df, "x")
+    sizes = [r["count"] for r in df.groupBy(edge_bucket(df.x, edges).alias("b")).count().collect()]
+    assert max(sizes) <= 2 * 20_000 / (len(edges) + 1)
 
 
 def test_null_keys_are_a_group(spark):
@@ -47,3 +69,13 @@ def test_no_group_goes_through_one_window_by_key_alone(spark, rows):
 def test_median_of_even_count(spark):
     df = spark.createDataFrame([("a", 0.1), ("a", 0.4), ("a", 0.2), ("a", 0.9)], "k string, x double")
     assert exact_percentile(df, ["k"], "x", "p").first().p == pytest.approx(median([0.1, 0.4, 0.2, 0.9]))
+
+
+def test_composite_reads_the_observations_once(spark, sf_dir):
+    from veldcube.plans.cube import Cube
+
+    df = Cube(spark, sf_dir).cells
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    scans = re.findall(r"FileScan parquet \[[^\]]*l_orderkey", plan)
+    assert len(scans) == 1 and "ReusedExchange" in plan

@@ -3,9 +3,10 @@ import json
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 
 from veldcube.operators import incremental, quality
-from veldcube.sources import dims, geojson, products, tiles
+from veldcube.sources import adapter, dims, geojson, products, tiles
 from veldcube.streaming import refresh
 
 
@@ -120,3 +121,31 @@ def test_stream_refresh_is_incremental_and_repeatable(spark, folder):
     assert run(2000) is None and means() == got
     annual = products.scan_product(spark, f"{folder}/out", "ndvi_annual", "year int, mean_ndvi double, n_months int, is_complete boolean, aoi string, sensor string, resolution int")
     assert [(r.year, r.n_months, r.is_complete) for r in annual.collect()] == [(2000, 12, True)]
+
+
+def test_month_that_arrives_in_two_runs_keeps_all_cells(spark, folder):
+    grid = dims.grid_dim(spark, {**dims.BLOCK_GRID, "n_rows": 2, "n_cols": 2})
+    for part in ([(0, 0, 0.1), (1, 1, 0.1)], [(0, 1, 0.5), (1, 0, 0.5), (1, 1, 0.3)]):
+        rows = [(r, c, v, "ASIA", "s2", 500, 2000, 1) for r, c, v in part]
+        spark.createDataFrame(rows, refresh.CELLS).write.mode("append").parquet(f"{folder}/in")
+        refresh.run_refresh(spark, f"{folder}/in", f"{folder}/out", f"{folder}/marks", grid)
+    cells = products.scan_product(spark, f"{folder}/out", "cell_month", refresh.CELLS)
+    assert {(r.row_idx, r.col_idx): r.value for r in cells.collect()} == {(0, 0): 0.1, (0, 1): 0.5, (1, 0): 0.5, (1, 1): 0.3}
+    monthly = products.scan_product(spark, f"{folder}/out", "ndvi_monthly", refresh.MONTHLY).collect()
+    assert [(round(r.mean_ndvi, 6), r.n_valid_px) for r in monthly] == [(0.35, 4)]
+    log = products.scan_run_log(spark, f"{folder}/out/run_log").orderBy("run_timestamp").collect()
+    assert [(r.new_months_fetched, r.status) for r in log] == [(1, "success"), (0, "success")]
+
+
+def test_strip_grid_follows_the_keys(spark):
+    keys = spark.createDataFrame([(k,) for k in (0, 63, 64, 1_279_999, 1_280_000, 5_000_000)], "k long")
+    row, col = adapter.strip_cell(keys.k, F.lit(7))
+    cells = keys.select("k", row.alias("r"), col.alias("c")).collect()
+    grid = adapter.strip_grid(dims.grid_dim(spark, dims.STRIP_GRID), keys, "k").first()
+    assert all(0 <= x.c < grid.n_cols and 0 <= x.r < grid.n_rows for x in cells)
+    # A strip ends in an empty column, so that its last column does not touch the next strip.
+    assert {x.k: x.c for x in cells}[1_280_000] - {x.k: x.c for x in cells}[1_279_999] == 9
+    few = adapter.strip_grid(dims.grid_dim(spark, dims.STRIP_GRID), keys.where("k < 100"), "k").first()
+    assert few.n_cols == 8 and few.dx == 0.0005
+    far = adapter.strip_grid(dims.grid_dim(spark, dims.STRIP_GRID), spark.range(1).selectExpr("10000000000000 k"), "k").first()
+    assert far.n_cols * far.dx <= 6.0 + 1e-9

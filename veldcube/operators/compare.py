@@ -12,13 +12,13 @@ from veldcube.functions import fixed
 from veldcube.functions.columns import cell_area_approx
 from veldcube.functions.session import cut_lineage
 from veldcube.operators import patches, spatial
-from veldcube.operators.order_stats import ONE_TASK_ROWS, exact_median
+from veldcube.operators.order_stats import exact_median, exact_percentiles
 
 
-def compare_cells(new: DataFrame, old: DataFrame, group: list[str], cell: list[str], group_bound: int | None = None) -> DataFrame:
+def compare_cells(new: DataFrame, old: DataFrame, group: list[str], cell: list[str]) -> DataFrame:
     """Per group: each side's statistics and agreement on the cells valid in both.
 
-    Agreement is NULL below ten common cells. `group_bound` as in `exact_median`.
+    Agreement is NULL below ten common cells.
     """
     key = [*group, *cell]
     both = new.select(*key, F.col("value").alias("a")).join(old.select(*key, F.col("value").alias("b")), key, "full")
@@ -38,10 +38,7 @@ def compare_cells(new: DataFrame, old: DataFrame, group: list[str], cell: list[s
         F.when(n >= fixed.MIN_OVERLAP, F.avg(F.when(F.col("d") > 0.05, 100.0).when(shared, 0.0))).alias("pct_diff_gt_005"),
         F.when(n >= fixed.MIN_OVERLAP, F.avg(F.when(F.col("d") > 0.10, 100.0).when(shared, 0.0))).alias("pct_diff_gt_010"),
     ]
-    if group_bound is not None and group_bound <= ONE_TASK_ROWS:
-        middle = F.when(n >= fixed.MIN_OVERLAP, F.percentile("d", F.lit(0.5))).alias("median_abs_diff")
-        return both.groupBy(*group).agg(*stats, middle)
-    middle = exact_median(both, group, "d", "m", group_bound, 0.0, 2.0)
+    middle = exact_median(both, group, "d", "m", (0.0, 2.0))
     return both.groupBy(*group).agg(*stats).join(middle, group).withColumn(
         "median_abs_diff", F.when(F.col("n_overlapping") >= fixed.MIN_OVERLAP, F.col("m"))
     ).drop("m")
@@ -229,13 +226,12 @@ def distance_groups(pairs: DataFrame, group: list[str]) -> DataFrame:
 
 
 def distance_stats(distances: DataFrame, group: list[str]) -> DataFrame:
-    """Mean, median and maximum distance per group and member. Equal distances are counted first."""
-    d = F.col("distance")
-    per = distances.where(d.isNotNull()).groupBy(*group, "member", "distance").agg(F.count(F.lit(1)).alias("n"))
-    return per.groupBy(*group, "member").agg(
-        F.sum("n").alias("n_cells"), (F.sum(d * F.col("n")) / F.sum("n")).alias("mean_distance"),
-        F.percentile("distance", F.lit(0.5), F.col("n")).alias("median_distance"), F.max(d).alias("max_distance"),
-    )
+    """Mean, median and maximum distance per group and member."""
+    key, known = [*group, "member"], distances.where("distance IS NOT NULL")
+    sums = known.groupBy(*key).agg(
+        F.count(F.lit(1)).alias("n_cells"), F.avg("distance").alias("mean_distance"), F.max("distance").alias("max_distance"))
+    middle = exact_percentiles(known, key, "distance", {"median_distance": 0.5}, None)
+    return sums.join(middle, key)
 
 
 def distance_histogram(distances: DataFrame, group: list[str]) -> DataFrame:

@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 
 from veldcube.functions import fixed
 from veldcube.functions.columns import normalized_difference, scale_ndvi, scl_visible
-from veldcube.operators.order_stats import exact_median, gathered
+from veldcube.operators.order_stats import exact_median
 
 CELL = ["aoi", "sensor", "resolution", "row_idx", "col_idx"]
 CELL_MONTH = ["aoi", "sensor", "resolution", "year", "month", "row_idx", "col_idx"]
-# What rows are gathered by: sensor and resolution are constant within one source.
-GATHER = ["aoi", "year", "month", "row_idx", "col_idx"]
 # Scenes may repeat; this order makes "first" and "latest" the same on every run.
 SCENE_ORDER = ["acq_ts", "b8", "b4", "scl", "burn_date", "burn_qa"]
 
@@ -54,21 +52,19 @@ def visible_ndvi(obs: DataFrame, legacy: bool = False) -> DataFrame:
     return with_ndvi(seen).withColumn("value", F.when(visible, F.col("ndvi")))
 
 
-def monthly_median_composite(obs: DataFrame, group_bound: int | None = None, legacy_mask: bool = False) -> DataFrame:
-    return exact_median(visible_ndvi(obs, legacy_mask), CELL_MONTH, "value", "value", group_bound, gather_by=GATHER)
+def monthly_median_composite(obs: DataFrame, legacy_mask: bool = False) -> DataFrame:
+    return exact_median(visible_ndvi(obs, legacy_mask), CELL_MONTH, "value", "value")
 
 
-def modis_median_composite(obs: DataFrame, group_bound: int | None = None) -> DataFrame:
+def modis_median_composite(obs: DataFrame) -> DataFrame:
     scaled = with_scaled_ndvi(obs)
     good = F.col("summary_qa") <= fixed.MAX_SUMMARY_QA
-    return exact_median(
-        scaled.withColumn("value", F.when(good, F.col("ndvi"))), CELL_MONTH, "value", "value", group_bound, gather_by=GATHER
-    )
+    return exact_median(scaled.withColumn("value", F.when(good, F.col("ndvi"))), CELL_MONTH, "value", "value")
 
 
-def monthly_mosaic_composite(obs: DataFrame, group_bound: int | None = None, legacy_mask: bool = True) -> DataFrame:
+def monthly_mosaic_composite(obs: DataFrame, legacy_mask: bool = True) -> DataFrame:
     """Latest visible value on top; keeps no state beyond one value per cell and month."""
-    seen = gathered(visible_ndvi(obs, legacy_mask).select(*CELL_MONTH, "value", *SCENE_ORDER), GATHER, group_bound)
+    seen = visible_ndvi(obs, legacy_mask)
     order = F.when(F.col("value").isNotNull(), F.struct(*SCENE_ORDER))
     return seen.groupBy(*CELL_MONTH).agg(F.max_by("value", order).alias("value"))
 
@@ -76,23 +72,22 @@ def monthly_mosaic_composite(obs: DataFrame, group_bound: int | None = None, leg
 BURN_BANDS = ["burn_date", "first_day", "last_day", "burn_qa"]
 
 
-def _burn_composite(obs: DataFrame, pick, group_bound: int | None) -> DataFrame:
+def _burn_composite(obs: DataFrame, pick) -> DataFrame:
     keys = [k for k in CELL_MONTH if k != "sensor"]
-    columns = list(dict.fromkeys([*keys, *BURN_BANDS, *SCENE_ORDER]))
-    best = gathered(obs.select(*columns), GATHER, group_bound).groupBy(*keys).agg(pick(F.struct(*BURN_BANDS), F.struct(*SCENE_ORDER)).alias("b"))
+    best = obs.groupBy(*keys).agg(pick(F.struct(*BURN_BANDS), F.struct(*SCENE_ORDER)).alias("b"))
     return best.select(
         "aoi", F.lit("burned_area").alias("sensor"), *keys[1:], *[F.col(f"b.{c}").alias(c) for c in BURN_BANDS]
     )
 
 
-def first_image_composite(obs: DataFrame, group_bound: int | None = None) -> DataFrame:
+def first_image_composite(obs: DataFrame) -> DataFrame:
     """Burn date of the first image of the month; a month without images gives no row."""
-    return _burn_composite(obs, F.min_by, group_bound)
+    return _burn_composite(obs, F.min_by)
 
 
-def last_image_composite(obs: DataFrame, group_bound: int | None = None) -> DataFrame:
+def last_image_composite(obs: DataFrame) -> DataFrame:
     """The latest image instead: the second source that comparisons are run against."""
-    return _burn_composite(obs, F.max_by, group_bound)
+    return _burn_composite(obs, F.max_by)
 
 
 def latest_available_month(obs: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from veldcube.functions import fixed
 from veldcube.functions.columns import normal_cdf_complement_two_sided
 from veldcube.operators.monthly import SERIES
-from veldcube.operators.order_stats import exact_percentile
+from veldcube.operators.order_stats import exact_percentiles
 
 # Largest cv that counts as stable, per class, and its wording.
 CV_LABELS = [
@@ -102,11 +102,10 @@ def normalised_delta(cells: DataFrame) -> DataFrame:
     )
 
 
-def symmetric_delta_range(deltas: DataFrame, group: list[str], value: str, group_bound: int | None = None) -> DataFrame:
+def symmetric_delta_range(deltas: DataFrame, group: list[str], value: str) -> DataFrame:
     """Largest magnitude of the 2nd and 98th percentile of the deltas."""
-    low = exact_percentile(deltas, group, value, "p02", 0.02, group_bound, -2.0, 2.0)
-    high = exact_percentile(deltas, group, value, "p98", 0.98, group_bound, -2.0, 2.0)
-    return low.join(high, group).select(*group, F.greatest(F.abs("p02"), F.abs("p98")).alias("max_abs"))
+    tails = exact_percentiles(deltas, group, value, {"p02": 0.02, "p98": 0.98}, None)
+    return tails.select(*group, F.greatest(F.abs("p02"), F.abs("p98")).alias("max_abs"))
 
 
 def burned_percentage(ba: DataFrame, areas: DataFrame) -> DataFrame:

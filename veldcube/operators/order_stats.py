@@ -1,4 +1,4 @@
-"""Exact medians, percentiles and ranks that hold up when one group is very large."""
+"""Exact medians and percentiles that hold up when one group is very large."""
 
 from __future__ import annotations
 
@@ -7,9 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A group of at most this many rows fits one task; larger ones are split by value.
-ONE_TASK_ROWS = 4_000_000
-VALUE_BUCKETS = 4096
+# Buckets that a group's values are split over: equal steps of a fixed range, or quantiles of the data.
+STEPS = 4096
+QUANTILES = 128
 
 
 def same_keys(left: str, right: str, keys: list[str]) -> Column:
@@ -18,83 +18,84 @@ def same_keys(left: str, right: str, keys: list[str]) -> Column:
     )
 
 
-def gathered(df: DataFrame, keys: list[str], group_bound: int | None) -> DataFrame:
-    """Rows hash-partitioned by group before an aggregate whose partial state is no smaller than its
-    rows (a percentile, a pick by order), if every group is proven to fit one task. Otherwise the
-    rows stay where they are and the aggregate combines them before its own shuffle.
+def quantile_edges(df: DataFrame, value: str) -> list[float]:
+    """Edges that cut all values of `df` into parts of about equal size; one small row reaches the driver."""
+    cuts = [i / QUANTILES for i in range(1, QUANTILES)]
+    found = df.agg(F.percentile_approx(value, cuts, 20 * QUANTILES).alias("edges")).first()["edges"]
+    return sorted(set(found or []))
 
-    `keys` may be a subset of the grouping columns. Leave out columns that are constant in the plan:
-    a folded constant does not match the aggregate's key, which would then shuffle a second time.
-    """
-    return df.repartition(*keys) if group_bound is not None and group_bound <= ONE_TASK_ROWS else df
+
+def edge_bucket(v: Column, edges: list[float], first: int = 0) -> Column:
+    """Number of edges at or below a value, by bisection."""
+    if not edges:
+        return F.lit(first)
+    middle = len(edges) // 2
+    return F.when(v < edges[middle], edge_bucket(v, edges[:middle], first)).otherwise(
+        edge_bucket(v, edges[middle + 1 :], first + middle + 1)
+    )
 
 
-def exact_percentile(
+def exact_percentiles(
     df: DataFrame,
     keys: list[str],
     value: str,
-    out: str,
-    fraction: float = 0.5,
-    group_bound: int | None = None,
-    low: float = -1.0,
-    high: float = 1.0,
-    gather_by: list[str] | None = None,
+    fractions: dict[str, float],
+    value_range: tuple[float, float] | None = (-1.0, 1.0),
 ) -> DataFrame:
-    """Percentile with linear interpolation per group; NULL values do not count.
-
-    `group_bound` is a proven upper bound on the rows of any one group. Under ONE_TASK_ROWS the rows
-    are shuffled once and the built-in aggregate runs behind the shuffle: its partial state would be
-    as large as the rows, so building it before the shuffle only costs. Otherwise the group is split: values are counted per
-    (group, bucket of the value range, value), so a hot group spreads over many tasks; the running
-    count over its few thousand buckets finds the bucket of each rank, and only those buckets are
-    ordered. [low, high] steers the balance, not the result.
+    """Percentiles with linear interpolation per group, a column for each entry of `fractions`; NULL
+    values do not count.
+
+    A group is split over value buckets, so a hot one spreads over many tasks. Rows are shuffled once, by
+    group and bucket; from that one shuffle the buckets are counted, the running counts of a group's
+    buckets locate the ranks, and the buckets that hold one are ordered. `value_range` is the range that the
+    value has by definition; without one the buckets are quantiles of the data, which another pass over
+    the input finds. Either steers the balance only, not the result.
     """
-    if group_bound is not None and group_bound <= ONE_TASK_ROWS:
-        return gathered(df.select(*keys, value), gather_by or keys, group_bound).groupBy(*keys).agg(F.percentile(value, F.lit(fraction)).alias(out))
-
-    share = F.least(F.greatest((F.col("v") - low) / (high - low), F.lit(0.0)), F.lit(1.0))
-    values = (
-        df.select(*keys, F.col(value).alias("v"))
-        .withColumn("bucket", F.floor(share * (VALUE_BUCKETS - 1)).cast("int"))
-        .groupBy(*keys, "bucket", "v")
-        .agg(F.count("v").alias("n"))
-    )
+    v = F.col("v")
+    if value_range is None:
+        bucket = edge_bucket(v, quantile_edges(df, value))
+    else:
+        low, high = value_range
+        share = F.least(F.greatest((v - low) / (high - low), F.lit(0.0)), F.lit(1.0))
+        bucket = F.floor(share * (STEPS - 1)).cast("int")
+    # The two readers of this shuffle have the same plan below it, so it runs once. NULL values have a
+    # bucket of their own, which holds no rank; leaving them out of one reader would split the shuffle in two.
+    rows = df.select(*keys, F.col(value).alias("v")).withColumn("bucket", F.when(v.isNotNull(), bucket)).repartition(*keys, "bucket")
     by_group = Window.partitionBy(*keys)
     running = by_group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     buckets = (
-        values.groupBy(*keys, "bucket")
-        .agg(F.sum("n").alias("n"))
+        rows.groupBy(*keys, "bucket")
+        .agg(F.count("v").alias("n"))
         .withColumn("total", F.sum("n").over(by_group))
         .withColumn("before", F.sum("n").over(running) - F.col("n"))
-        .withColumn("position", (F.col("total") - 1) * F.lit(float(fraction)))
-        .withColumn("lo_rank", F.floor("position") + 1)
-        .withColumn("hi_rank", F.ceil("position") + 1)
     )
-    wanted = buckets.where(
-        (F.col("n") > 0) & (F.col("before") < F.col("hi_rank")) & (F.col("before") + F.col("n") >= F.col("lo_rank"))
-    ).drop("n", "total")
+    position = {out: (F.col("total") - 1) * F.lit(float(f)) for out, f in fractions.items()}
+    holds = [
+        (F.col("before") < F.ceil(p) + 1) & (F.col("before") + F.col("n") >= F.floor(p) + 1) for p in position.values()
+    ]
+    wanted = buckets.where((F.col("n") > 0) & reduce(lambda a, b: a | b, holds)).drop("n")
     in_bucket = Window.partitionBy(*keys, "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    condition = same_keys("v", "w", keys) & (F.col("v.bucket") == F.col("w.bucket"))
-    picked = (
-        values.alias("v")
+    condition = same_keys("v", "w", [*keys, "bucket"])
+    ranked = (
+        rows.alias("v")
         .join(wanted.alias("w"), condition)
-        .select(*[F.col(f"v.{k}").alias(k) for k in keys], "v.bucket", "v.v", "v.n",
-                "w.before", "w.position", "w.lo_rank", "w.hi_rank")
-        .withColumn("upto", F.col("before") + F.sum("n").over(in_bucket))
-        .withColumn("from", F.col("upto") - F.col("n") + 1)
-    )
-    found = picked.groupBy(*keys).agg(
-        F.max(F.when(F.col("lo_rank").between(F.col("from"), F.col("upto")), F.col("v"))).alias("lo_v"),
-        F.max(F.when(F.col("hi_rank").between(F.col("from"), F.col("upto")), F.col("v"))).alias("hi_v"),
-        F.first(F.col("position") - F.floor("position")).alias("part"),
-    ).select(*keys, (F.col("lo_v") + (F.col("hi_v") - F.col("lo_v")) * F.col("part")).alias(out))
-    empty = (
-        buckets.where("total = 0").select(*keys, F.lit(None).cast("double").alias(out)).distinct()
+        .select(*[F.col(f"v.{k}").alias(k) for k in keys], "v.bucket", "v.v", "w.before", "w.total")
+        .withColumn("rank", F.col("before") + F.row_number().over(in_bucket))
     )
+    picked, result = [F.max("total").alias("total")], []
+    for i, (out, p) in enumerate(position.items()):
+        picked += [
+            F.max(F.when(F.col("rank") == F.floor(p) + 1, F.col("v"))).alias(f"lo{i}"),
+            F.max(F.when(F.col("rank") == F.ceil(p) + 1, F.col("v"))).alias(f"hi{i}"),
+        ]
+        result.append((F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * (p - F.floor(p))).alias(out))
+    found = ranked.groupBy(*keys).agg(*picked).select(*keys, *result)
+    none = [F.lit(None).cast("double").alias(out) for out in fractions]
+    empty = buckets.where("total = 0").select(*keys, *none).distinct()
     return found.unionByName(empty)
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str, out: str, group_bound: int | None = None,
-                 low: float = -1.0, high: float = 1.0, gather_by: list[str] | None = None) -> DataFrame:
-    return exact_percentile(df, keys, value, out, 0.5, group_bound, low, high, gather_by)
-
+def exact_median(
+    df: DataFrame, keys: list[str], value: str, out: str, value_range: tuple[float, float] | None = (-1.0, 1.0)
+) -> DataFrame:
+    return exact_percentiles(df, keys, value, {out: 0.5}, value_range)

@@ -86,7 +86,10 @@ def snapshot(df: DataFrame, name: str, key: list[str], metrics: list[str], n: in
 
 
 def check_regression(snap: DataFrame, df: DataFrame, key: list[str], metrics: list[str]) -> DataFrame:
-    """Snapshot values against the current table. Rows that are gone and NULL values are not compared."""
+    """Snapshot values against the current table, floating-point columns only. Rows that are gone and NULL
+    values are not compared."""
+    floats = {n for n, t in df.dtypes if t in ("double", "float")}
+    metrics = [m for m in metrics if m in floats]
     ident = F.concat_ws("|", *[F.col(c).cast("string") for c in key])
     now = df.select(ident.alias("row_key"), *metrics)
     lines = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("current")) for m in metrics])

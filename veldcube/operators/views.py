@@ -127,24 +127,22 @@ def monthly_anomaly_grid(cells: DataFrame, year: int | None = None, month: int |
 
 
 def compact_grid(cells: DataFrame, grid: DataFrame, value: str = "value") -> DataFrame:
-    """One record per grid row: its latitude, the row's values by column (4 decimals, NULL where
-    missing) and its valid count. Longitudes come from `grid_longitudes`. A record holds one grid row,
-    so a large area never has to fit one task."""
+    """One record per month and grid row, rows without a cell included: its latitude, the longitudes of the
+    columns, the values by column (4 decimals, NULL where missing) and the row's valid count. A record
+    holds one grid row, so a large area never has to fit one task."""
     key = [*MONTH, "row_idx"]
-    rows = cells.groupBy(*key).agg(
+    seen = cells.groupBy(*key).agg(
         F.map_from_entries(F.collect_list(F.struct("col_idx", F.bround(value, 4)))).alias("m"),
         F.count(value).cast("int").alias("n_valid"),
     )
-    placed = rows.join(grid.select("aoi", "resolution", "north", "dy", "n_cols"), ["aoi", "resolution"])
+    months = seen.select(*MONTH).distinct()
+    spine = months.join(grid, ["aoi", "resolution"]).withColumn("row_idx", F.explode(F.sequence(F.lit(0), F.col("n_rows") - 1)))
+    placed = spine.join(seen, key, "left").withColumn("m", F.coalesce("m", F.expr("map_from_arrays(array(), array())").cast("map<int,double>")))
     return placed.select(
         *key, F.bround(F.col("north") + (F.col("row_idx") + 0.5) * F.col("dy"), 6).alias("lat"),
-        F.expr("transform(sequence(0, n_cols - 1), j -> try_element_at(m, j))").alias("values"), "n_valid",
-    )
-
-
-def grid_longitudes(grid: DataFrame) -> DataFrame:
-    return grid.select(
-        "aoi", "resolution", F.expr("transform(sequence(0, n_cols - 1), j -> bround(west + (j + 0.5D) * dx, 6))").alias("lons")
+        F.expr("transform(sequence(0, n_cols - 1), j -> try_element_at(m, j))").alias("values"),
+        F.expr("transform(sequence(0, n_cols - 1), j -> bround(west + (j + 0.5D) * dx, 6))").alias("lons"),
+        F.coalesce("n_valid", F.lit(0)).alias("n_pixels"),
     )
 
 

@@ -16,7 +16,7 @@ COUNTS = "count(*) FILTER (member = 'overlap') AS n_overlap, count(*) FILTER (me
 
 
 def _v1(c):
-    return compare.compare_cells(c.cells, c.old_cells, MONTH, AT, c.bound)
+    return compare.compare_cells(c.cells, c.old_cells, MONTH, AT)
 
 
 @query("v1_compare_cells", "v1", "mean_new std_new min_new max_new mean_old std_old min_old max_old correlation mean_abs_diff "
@@ -31,7 +31,6 @@ corr(a, b) FILTER (d IS NOT NULL) AS correlation, avg(d) AS mean_abs_diff, 100.0
 100.0::DOUBLE * count(*) FILTER (d > 0.10) / count(d) AS pct_diff_gt_010, median(d) AS median_abs_diff FROM cell_pairs GROUP BY {S}""",
        "mean_new std_new min_new max_new mean_old std_old min_old max_old correlation mean_abs_diff median_abs_diff pct_diff_gt_005 pct_diff_gt_010")
 def _(c):
-    # No bound on a whole area's cells: the median takes the split path.
     return compare.compare_cells(c.cells, c.old_cells, KEY, ["year", "month", *AT])
 
 

@@ -41,7 +41,7 @@ def _(c):
 @query("c4_modis_median_composite", f"""SELECT {', '.join(CM)},
 median(CASE WHEN summary_qa <= 1 THEN ndvi_raw * CAST(0.0001 AS DOUBLE) END) AS value FROM obs GROUP BY ALL""", "value")
 def _(c):
-    return composite.modis_median_composite(c.obs, c.bound)
+    return composite.modis_median_composite(c.obs)
 
 
 @query("c5_monthly_median_composite", "cells", "value")

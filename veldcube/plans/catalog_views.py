@@ -89,16 +89,16 @@ def _(c):
     return views.monthly_anomaly_grid(c.cells)
 
 
-@query("q12_compact_grid", f"""SELECT {SY}, row_idx, -14.0 + (row_idx + 0.5::DOUBLE) * (-0.005::DOUBLE) AS lat, CAST(count(value) AS INT) AS n_valid,
-string_agg(coalesce(CAST(CAST(round(value * 10000) AS BIGINT) AS VARCHAR), 'null'), ',' ORDER BY col_idx) AS ten_thousandths FROM (
-SELECT {SY}, row_idx, r.range AS col_idx, value FROM (SELECT DISTINCT {SY}, row_idx FROM cells) CROSS JOIN range(8) r
-LEFT JOIN cells c USING ({SY}, row_idx) WHERE c.col_idx = r.range
-UNION ALL SELECT {SY}, row_idx, r.range AS col_idx, NULL AS value FROM (SELECT DISTINCT {SY}, row_idx FROM cells) d CROSS JOIN range(8) r
-WHERE NOT EXISTS (SELECT 1 FROM cells c WHERE c.aoi = d.aoi AND c.sensor = d.sensor AND c.resolution = d.resolution AND c.year = d.year
-AND c.month = d.month AND c.row_idx = d.row_idx AND c.col_idx = r.range)) GROUP BY ALL""", "lat")
+@query("q12_compact_grid", f"""SELECT {SY}, d.row_idx, -14.0 + (d.row_idx + 0.5::DOUBLE) * (-0.005::DOUBLE) AS lat, CAST(count(value) AS INT) AS n_pixels,
+string_agg(coalesce(CAST(CAST(round(value * 10000) AS BIGINT) AS VARCHAR), 'null'), ',' ORDER BY r.range) AS ten_thousandths,
+string_agg(CAST(CAST(round((26.0 + (r.range + 0.5) * 0.005) * 1000000) AS BIGINT) AS VARCHAR), ',' ORDER BY r.range) AS millionths_east
+FROM (SELECT DISTINCT {SY} FROM cells) m CROSS JOIN (SELECT CAST(range AS INT) AS row_idx FROM range(8)) d CROSS JOIN range(8) r
+LEFT JOIN (SELECT {SY}, row_idx, col_idx, value FROM cells) c ON c.aoi = m.aoi AND c.sensor = m.sensor AND c.resolution = m.resolution
+AND c.year = m.year AND c.month = m.month AND c.row_idx = d.row_idx AND c.col_idx = r.range GROUP BY ALL""".replace(f"SELECT {SY}, d.row_idx", "SELECT m.aoi, m.sensor, m.resolution, m.year, m.month, d.row_idx", 1), "lat")
 def _(c):
     text = F.array_join(F.transform("values", lambda v: F.round(v * 10000).cast("long").cast("string")), ",", "null")
-    return views.compact_grid(c.cells, c.grid).withColumn("ten_thousandths", text).drop("values")
+    east = F.array_join(F.transform("lons", lambda v: F.round(v * 1000000).cast("long").cast("string")), ",")
+    return views.compact_grid(c.cells, c.grid).withColumn("ten_thousandths", text).withColumn("millionths_east", east).drop("values", "lons")
 
 
 @query("q13_ba_summary", """SELECT *, burned_km2 - ba_mean AS vs_baseline,
@@ -234,7 +234,7 @@ def _(c):
 @query("d5_symmetric_delta_range", f"""SELECT {S}, greatest(abs(quantile_cont(delta_ndvi, 0.02)), abs(quantile_cont(delta_ndvi, 0.98))) AS max_abs
 FROM norm_delta GROUP BY ALL""", "max_abs")
 def _(c):
-    return documented.symmetric_delta_range(documented.normalised_delta(c.cells), ["aoi", "sensor", "resolution"], "delta_ndvi", c.bound)
+    return documented.symmetric_delta_range(documented.normalised_delta(c.cells), ["aoi", "sensor", "resolution"], "delta_ndvi")
 
 
 @query("d6_burned_percentage", """SELECT aoi, year, month, CASE WHEN burned_km2 <= 1 THEN 0 ELSE burned_km2 / area_km2 * 100 END AS pct_burned

@@ -1,4 +1,9 @@
-"""Lazily composed tables over one data folder: every attribute is a plan, nothing is computed here."""
+"""Lazily composed tables over one data folder.
+
+Attributes are plans, but for what several later products read: `stored_*`, `frp_components` and
+`frp_outline` are computed and stored when they are first asked for, and sides are counted before they
+are broadcast.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +15,6 @@ from pyspark.sql import types as T
 
 from veldcube.functions.session import cut_lineage
 from veldcube.operators import annual, compare, composite, monthly, patches, spatial, trend
-from veldcube.operators.order_stats import gathered
 from veldcube.sources import adapter, dims
 
 
@@ -32,11 +36,6 @@ class Cube:
     def rows(self) -> dict[str, int]:
         return adapter.row_counts(self.spark, self.sf_dir, "nation", "customer", "orders", "lineitem")
 
-    @property
-    def bound(self) -> int:
-        """Upper bound on the observations of any one group: a line has at most one order."""
-        return self.rows["lineitem"]
-
     @cached_property
     def obs(self) -> DataFrame:
         return adapter.scene_obs(self.spark, self.sf_dir, self.rows)
@@ -51,31 +50,32 @@ class Cube:
 
     @cached_property
     def strip_grid(self) -> DataFrame:
-        return dims.grid_dim(self.spark, dims.STRIP_GRID)
+        orders = adapter.read_table(self.spark, self.sf_dir, "orders")
+        return adapter.strip_grid(dims.grid_dim(self.spark, dims.STRIP_GRID), orders, "o_orderkey")
 
     @cached_property
     def cells(self) -> DataFrame:
-        return composite.monthly_median_composite(self.obs, self.bound)
+        return composite.monthly_median_composite(self.obs)
 
     @cached_property
     def old_cells(self) -> DataFrame:
-        return composite.monthly_mosaic_composite(self.obs, self.bound)
+        return composite.monthly_mosaic_composite(self.obs)
 
     @cached_property
     def burns(self) -> DataFrame:
-        return composite.first_image_composite(self.obs, self.bound)
+        return composite.first_image_composite(self.obs)
 
     @cached_property
     def old_burns(self) -> DataFrame:
-        return composite.last_image_composite(self.obs, self.bound)
+        return composite.last_image_composite(self.obs)
 
     @cached_property
     def strip_burns(self) -> DataFrame:
-        return composite.first_image_composite(self.strip_obs, self.bound)
+        return composite.first_image_composite(self.strip_obs)
 
     @cached_property
     def old_strip_burns(self) -> DataFrame:
-        return composite.last_image_composite(self.strip_obs, self.bound)
+        return composite.last_image_composite(self.strip_obs)
 
     @cached_property
     def monthly(self) -> DataFrame:
@@ -191,7 +191,7 @@ class Cube:
         """Burn date of the first, the last and any image per cell and month, in one pass."""
         order = F.struct(*composite.SCENE_ORDER)
         key = ["aoi", "year", "month", "row_idx", "col_idx"]
-        return gathered(self.obs.select(*key, *composite.SCENE_ORDER), key, self.bound).groupBy(*key).agg(
+        return self.obs.groupBy(*key).agg(
             F.min_by("burn_date", order).alias("first"), F.max_by("burn_date", order).alias("last"),
             F.max("burn_date").alias("any"),
         )

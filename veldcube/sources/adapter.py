@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from functools import lru_cache, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # Rows of the strip grid before it continues in further columns; keeps latitudes on the globe.
 STRIP_ROWS = 20_000
+# Columns of a strip, and those it takes with the empty one that keeps it apart from the next strip.
+STRIP_COLS, STRIP_STEP = 8, 9
 # Key and area name of this many rows are some tens of megabytes.
 LOOKUP_ROWS = 1_000_000
 
@@ -53,6 +55,22 @@ def order_aois(spark: SparkSession, sf_dir: str, rows: dict[str, int]) -> DataFr
     return small(placed, "orders")
 
 
+def strip_cell(key: Column, part: Column) -> tuple[Column, Column]:
+    """Row and column of an order line on the strip grid."""
+    strip = F.floor(key / 64)
+    return strip % STRIP_ROWS, part % STRIP_COLS + F.lit(STRIP_STEP) * F.floor(strip / STRIP_ROWS)
+
+
+def strip_grid(grid: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The strip grid with as many columns as the largest `key` needs; they get narrower rather than
+    leave the six degrees of a zone."""
+    last = keys.agg(F.coalesce(F.max(key), F.lit(0)).alias("last"))
+    wide = F.floor(F.floor(F.col("last") / 64) / STRIP_ROWS).cast("int") * STRIP_STEP + STRIP_COLS
+    return grid.crossJoin(F.broadcast(last)).withColumn("n_cols", wide).withColumn(
+        "dx", F.least(F.col("dx"), F.lit(6.0) / F.col("n_cols"))
+    ).drop("last")
+
+
 def scene_obs(
     spark: SparkSession,
     sf_dir: str,
@@ -67,9 +85,7 @@ def scene_obs(
     if grid == "block":
         row, col = key % 8, part % 8
     else:
-        strip = F.floor(key / 64)
-        row = strip % STRIP_ROWS
-        col = part % 8 + F.lit(8) * F.floor(strip / STRIP_ROWS)
+        row, col = strip_cell(key, part)
     day = F.dayofyear("l_shipdate")
     supp, number = F.col("l_suppkey"), F.col("l_linenumber")
     burned = (F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.08)

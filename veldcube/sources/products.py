@@ -28,7 +28,9 @@ def scan_product(
     """Partition-pruned read; a table that was never written is an empty frame of `schema`."""
     try:
         df = spark.read.schema(schema).parquet(f"{root}/{table}")
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         df = spark.createDataFrame([], schema)
     for name, value in (("aoi", aoi), ("sensor", sensor), ("resolution", resolution)):
         if value is not None and name in df.columns:
@@ -40,10 +42,6 @@ RUN_LOG = (
     "run_timestamp timestamp_ntz, new_months_fetched int, pass_a_ran boolean, pass_b_ran boolean, "
     "new_year_detected int, deploy_ran boolean, status string, error_message string"
 )
-BACKFILL_LOG = (
-    "aoi string, sensor string, resolution int, year int, month int, status string, filepath string, "
-    "elapsed_seconds double, timestamp timestamp_ntz"
-)
 
 
 def append_run_log(rows: DataFrame, path: str) -> None:

@@ -5,34 +5,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veldcube.functions.session import cut_lineage
 from veldcube.operators import annual as annual_ops
-from veldcube.operators import incremental, monthly, quality
+from veldcube.operators import incremental, monthly, quality, trend
 from veldcube.sources import products
 
 CELLS = "row_idx int, col_idx int, value double, aoi string, sensor string, resolution int, year int, month int"
 MONTHLY = "year int, month int, mean_ndvi double, n_valid_px int, aoi string, sensor string, resolution int"
+STATS = (
+    "year int, month int, n_valid long, lowest double, highest double, n_rows int, n_cols int, n_total int, "
+    "aoi string, sensor string, resolution int"
+)
 MONTH = [*monthly.SERIES, "year", "month"]
 
 
 def refresh_monthly(spark: SparkSession, root: str, batch: DataFrame, grid: DataFrame) -> None:
-    """Store the batch's good tiles and recompute the monthly rows of the months it touches.
+    """Merge the batch's good tiles into the stored months and recompute the monthly rows they touch.
 
-    Months are partitions on disk and are replaced whole, so a batch that runs twice changes nothing.
+    A month may arrive in parts: cells that the batch has replace the stored ones, all others stay. Tiles
+    are checked as they would be stored, against the stored tiles of their series. Months are partitions
+    on disk and are replaced whole, so a batch that runs twice changes nothing.
     """
-    good = quality.passed_tiles(quality.check_tiles(quality.tile_stats(batch, grid, "value")))
-    kept = batch.join(good, MONTH, "left_semi")
+    fresh = cut_lineage(batch)
+    months = fresh.select(*MONTH).distinct()
+    stored = products.scan_product(spark, root, "cell_month", CELLS).join(months, MONTH, "left_semi")
+    cell = [*MONTH, "row_idx", "col_idx"]
+    merged = cut_lineage(fresh.unionByName(stored.join(fresh, cell, "left_anti")))
+    peers = products.scan_product(spark, root, "tile_stats", STATS).join(months, MONTH, "left_anti")
+    stats = cut_lineage(quality.tile_stats(merged, grid, "value").select(*peers.columns))
+    # Cut, since the tables that it reads are about to be written.
+    good = cut_lineage(quality.passed_tiles(quality.check_tiles(stats.unionByName(peers))).join(months, MONTH, "left_semi"))
+    kept = merged.join(good, MONTH, "left_semi")
     if not products.write_product(kept, root, "cell_month", ["year", "month"]):
         return
-    touched = kept.select(*MONTH).distinct()
-    cells = products.scan_product(spark, root, "cell_month", CELLS).join(touched, MONTH, "left_semi")
-    products.write_product(monthly.ndvi_monthly(cells), root, "ndvi_monthly", ["year", "month"])
+    products.write_product(stats.join(good, MONTH, "left_semi"), root, "tile_stats", ["year", "month"])
+    products.write_product(monthly.ndvi_monthly(kept), root, "ndvi_monthly", ["year", "month"])
+    refresh_series(spark, root)
+
+
+def refresh_series(spark: SparkSession, root: str) -> None:
+    """What reads whole monthly series, a few hundred rows each: baselines and trends."""
+    table = products.scan_product(spark, root, "ndvi_monthly", MONTHLY)
+    products.write_product(monthly.ndvi_monthly_baselines(table), root, "ndvi_monthly_baselines")
+    products.write_product(trend.ndvi_trend_stats(table, monthly.ndvi_annual(table)), root, "ndvi_trend_stats")
 
 
 def refresh_annual(spark: SparkSession, root: str, grid: DataFrame) -> None:
     """The annual products use all years, so they are always recomputed in full."""
     table = products.scan_product(spark, root, "ndvi_monthly", MONTHLY)
     years = monthly.ndvi_annual(table)
-    products.write_product(monthly.ndvi_monthly_baselines(table), root, "ndvi_monthly_baselines")
     products.write_product(years, root, "ndvi_annual")
     cells = products.scan_product(spark, root, "cell_month", CELLS)
     means = annual_ops.annual_cell_mean(cells, years)
@@ -42,8 +63,9 @@ def refresh_annual(spark: SparkSession, root: str, grid: DataFrame) -> None:
 def run_refresh(spark: SparkSession, inbox: str, root: str, checkpoint: str, grid: DataFrame, last_annual_year: int = 0) -> int | None:
     """Process the files that arrived since the last run, then the annual tables if a year completed.
 
-    Returns the newly completed year, if any.
+    Every run adds a row to the run log. Returns the newly completed year, if any.
     """
+    before = products.scan_product(spark, root, "ndvi_monthly", MONTHLY).count()
     stream = spark.readStream.schema(CELLS).parquet(inbox)
     query = (
         stream.writeStream.foreachBatch(lambda batch, _: refresh_monthly(spark, root, batch, grid))
@@ -53,7 +75,14 @@ def run_refresh(spark: SparkSession, inbox: str, root: str, checkpoint: str, gri
     table = products.scan_product(spark, root, "ndvi_monthly", MONTHLY)
     combos = table.select(*monthly.SERIES).distinct()
     newest = incremental.complete_years(table, combos).agg(F.max("year").alias("year")).first()
-    if newest is None or newest.year is None or newest.year <= last_annual_year:
-        return None
-    refresh_annual(spark, root, grid)
-    return newest.year
+    year = newest.year if newest is not None and newest.year is not None and newest.year > last_annual_year else None
+    if year is not None:
+        refresh_annual(spark, root, grid)
+    added = table.count() - before
+    log = spark.range(1).select(
+        F.current_timestamp().cast("timestamp_ntz").alias("run_timestamp"), F.lit(added).cast("int").alias("new_months_fetched"),
+        F.lit(added > 0).alias("pass_a_ran"), F.lit(year is not None).alias("pass_b_ran"), F.lit(year).cast("int").alias("new_year_detected"),
+        F.lit(False).alias("deploy_ran"), F.lit("success").alias("status"), F.lit(None).cast("string").alias("error_message"),
+    )
+    products.append_run_log(log, f"{root}/run_log")
+    return year
