@@ -34,7 +34,8 @@ def normal(line: Column) -> Column:
 
 def shingles(norm: Column) -> Column:
     """Hashes of the distinct shingles of a line, in order."""
-    found = F.regexp_extract_all(norm, F.lit(rf"(?s)(?<![^ ])(?=([^ ].{{0,{SHINGLE - 1}}}))"), F.lit(1))
+    # Every match takes a word, so that the next one begins at a word again.
+    found = F.regexp_extract_all(norm, F.lit(rf"(?s)(?=(.{{1,{SHINGLE}}}))[^ ]+ *"), F.lit(1))
     return F.sort_array(F.array_distinct(F.transform(found, lambda s: F.xxhash64(s))))
 
 

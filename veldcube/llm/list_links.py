@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veldcube.llm.common import components, stored
+from veldcube.llm.common import stored
 
-#: Star rounds before the remaining pairs of different components are formed.
+#: Star rounds before the remaining pairs are formed.
 STAR_ROUNDS = 2
 
 
@@ -25,6 +25,14 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(of("a"), "a").join(of("b"), "b").filter(similar("sa", "sb", percent)).select("a", "b")
 
 
+def hubs(links: DataFrame) -> DataFrame:
+    """For every row that has links the one of its neighbours with the most links (row, component). Rows
+    that share a hub are in one component; near copies of a text share its star's centre."""
+    both = stored(links.union(links.select("b", "a")).distinct().toDF("row", "hub"), "both")
+    degrees = both.groupBy("hub").agg(F.count("*").alias("degree"))
+    return both.join(degrees, "hub").groupBy("row").agg(F.max_by("hub", F.struct("degree", "hub")).alias("component"))
+
+
 def list_links(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, carry_sets: bool = False) -> DataFrame:
     """Links (a, b) whose components are those of all similar pairs that share enough lists.
 
@@ -33,12 +41,12 @@ def list_links(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame], perc
     sets (row, items) of the rows it is handed, which are those of candidates only.
 
     Each list is first joined as a star around its most common member, which near copies of one text
-    have in common; all pairs of that member are then formed, and it leaves the list. Lists that have
-    one member or one component left are done. After the star rounds every pair of different components
-    that is left in a list is formed: members outside the list's main component against the list. The
-    lists that a pair shares are counted over all rounds, and a pair is verified when they are enough.
-    With `carry_sets`, for small sets and matches of 1, that last join compares the sets itself, so
-    that pairs that are not similar are no rows.
+    have in common; all pairs of that member are then formed, and it leaves the list. Rows with the same
+    hub are known to be connected. Lists that have one member or one hub left are done. After the star
+    rounds every pair of different hubs that is left in a list is formed: members outside the list's
+    main hub against the list. The lists that a pair shares are counted over all rounds, and a pair is verified when they are enough.
+    With `carry_sets`, for small sets and matches of 1, there is one star round, and that last join
+    compares the sets itself, so that pairs that are not similar are no rows.
     """
     spark = lists.sparkSession
     fits = f"100 * least(n, m) >= {percent} * greatest(n, m)"
@@ -46,8 +54,9 @@ def list_links(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame], perc
     members = lists.withColumn("component", F.col("row"))
     links = spark.createDataFrame([], "a long, b long")
     waiting = spark.createDataFrame([], "a long, b long, shared long, needed int")
-    for turn in range(STAR_ROUNDS + 1):
-        stars = turn < STAR_ROUNDS
+    rounds = 1 if carry_sets else STAR_ROUNDS
+    for turn in range(rounds + 1):
+        stars = turn < rounds
         if stars:
             order = F.struct("common", (-F.col("row")).alias("late"), "row", "n", "matches", "component")
             centre = members.groupBy("list").agg(F.max(order).alias("c"))
@@ -69,9 +78,8 @@ def list_links(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame], perc
         links = links.union(stored(verified(ready, sets_of(rows), percent), "links"))
         if not stars:
             return links
-        labels = components(links).withColumnRenamed("node", "row")
         rest = members.drop("component", "main").join(left.select("list", F.col("a").alias("centre")), "list").filter("row != centre").drop("centre")
-        placed = stored(rest.join(labels, "row", "left").withColumn("component", F.coalesce("component", "row")), "members")
+        placed = stored(rest.join(hubs(links), "row", "left").withColumn("component", F.coalesce("component", "row")), "members")
         parts = placed.groupBy("list", "component").agg(F.count("*").alias("here"))
         main = parts.groupBy("list").agg(F.max_by("component", F.struct("here", "component")).alias("main"), F.count("*").alias("parts"))
         members = stored(placed.join(main.filter("parts > 1").drop("parts"), "list"), "members")

@@ -34,10 +34,10 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs:
         ranked.withColumn("total", F.sum("source_size").over(everything))
         .withColumn("caps", F.coalesce(F.sum("cap").over(order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
         .withColumn("weights", F.sum("weight").over(order.rowsBetween(0, W.unboundedFollowing)))
-        .withColumn("level", F.when(F.col("cap").cast("double") / F.col("weight") > level, level))
-        .withColumn("level", F.min("level").over(everything))
+        .withColumn("open", F.when(F.col("cap").cast("double") / F.col("weight") > level, F.struct(F.row_number().over(order).alias("at"), level.alias("level"))))
+        .withColumn("level", F.min("open").over(everything)["level"])
     )
-    # The level of the first source below its limit is the least among those below theirs.
+    # The level is that of the first source that stays below its limit.
     target = F.when(F.col("level").isNull(), F.col("cap").cast("double")).otherwise(
         F.least(F.col("cap").cast("double"), F.col("level") * F.col("weight")))
     return levelled.select("source", "source_size", "weight", target.alias("target"))
@@ -108,8 +108,8 @@ with recursive sized as (
           rows between current row and unbounded following))::bigint as weights
   from ranked
 ), levelled as (
-  select *, min(case when cap::double / weight > (total - caps)::double / weights
-                     then (total - caps)::double / weights end) over () as level
+  select *, (select arg_min((total - caps)::double / weights, row(cap::double / weight, i)) from levels
+             where cap::double / weight > (total - caps)::double / weights) as level
   from levels
 ), targets as (
   select source, source_size, total,
