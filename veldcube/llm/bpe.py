@@ -31,7 +31,7 @@ from veldcube.llm.common import shared_path
 LEXICON_WORDS = 60_000
 #: Words that a task counts before it hands its counts on, and results that it keeps at hand.
 COUNTED_WORDS = 200_000
-CACHED_WORDS = 350_000
+CACHED_WORDS = 800_000
 #: Characters that are encoded before a batch is passed on.
 CHUNK_CHARS = 1_500_000
 #: Words longer than this are merged with a heap.
@@ -229,13 +229,15 @@ def word_counts(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text")
         cut, counts = Words(shipped.value), Counter()
 
         def flush() -> pa.RecordBatch:
+            for special in cut.specials.values():
+                counts.pop(special, None)
             batch = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())], ["word", "n"])
             counts.clear()
             return batch
 
         for batch in batches:
             for text in batch.column(0):
-                counts.update(x for x in cut(text.as_py() or "") if isinstance(x, str))
+                counts.update(cut(text.as_py() or ""))
                 if len(counts) >= COUNTED_WORDS:
                     yield flush()
         yield flush()
