@@ -188,8 +188,8 @@ def ndvi_annual_delta(cell_means: DataFrame, annual: DataFrame, grid: DataFrame)
 def burn_count(burns: DataFrame) -> DataFrame:
     """Years with any burn per cell, and the number of years the area has images for."""
     key = ["aoi", "resolution", "row_idx", "col_idx"]
-    years = burns.groupBy("aoi", "resolution").agg(F.count_distinct("year").cast("int").alias("n_years"))
     per_year = burns.groupBy(*key, "year").agg(F.max(F.when(F.col("burn_date") > 0, 1).otherwise(0)).alias("burned"))
+    years = per_year.groupBy("aoi", "resolution").agg(F.count_distinct("year").cast("int").alias("n_years"))
     return per_year.groupBy(*key).agg(F.sum("burned").cast("int").alias("burn_count")).join(years, ["aoi", "resolution"])
 
 

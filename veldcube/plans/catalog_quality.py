@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from veldcube.operators import incremental, monthly, quality
 from veldcube.plans.registry import query
-from veldcube.sources import adapter
+from veldcube.sources import adapter, dims
 
 S = "aoi, sensor, resolution"
 SY = f"{S}, year, month"
@@ -15,15 +15,18 @@ MONTH = [*KEY, "year", "month"]
 
 
 def _tables(c):
+    """All monthly products, each composite being worked out once."""
+    cells, burns = c.stored_cells, c.stored_burns
+    by_class = monthly.ndvi_monthly_by_class(cells, dims.land_cover_cells(c.spark), dims.aoi_classes(c.spark))
     return {
-        "ndvi_monthly": c.monthly, "ndvi_monthly_by_class": c.by_class, "ba_monthly": c.ba_monthly,
-        "ba_daily": c.ba_daily, "ndvi_anomaly_monthly": c.anomaly,
+        "ndvi_monthly": monthly.ndvi_monthly(cells), "ndvi_monthly_by_class": by_class, "ba_monthly": monthly.ba_monthly(burns, c.grid),
+        "ba_daily": monthly.ba_daily(burns), "ndvi_anomaly_monthly": monthly.ndvi_anomaly_monthly(by_class, monthly.class_baselines(by_class)),
     }
 
 
 def _whole_years(c):
     """Every month from January of the first to December of the last year of each series."""
-    ranges = c.monthly.groupBy(*KEY).agg(
+    ranges = c.stored_monthly.groupBy(*KEY).agg(
         F.make_date(F.min("year"), F.lit(1), F.lit(1)).alias("start"), F.make_date(F.max("year"), F.lit(12), F.lit(1)).alias("end")
     )
     return incremental.month_spine(ranges)
@@ -31,7 +34,7 @@ def _whole_years(c):
 
 @query("k2_check_new_months", f"""SELECT {SY}, 'new_month_present' AS "check", 'fail' AS severity FROM month_ends ANTI JOIN a1 USING ({SY})""")
 def _(c):
-    return quality.check_new_months(_whole_years(c), c.monthly)
+    return quality.check_new_months(_whole_years(c), c.stored_monthly)
 
 
 @query("k2_check_new_months_by_class", f"""SELECT {SY}, 'new_month_present' AS "check", 'warn' AS severity FROM month_ends ANTI JOIN a7 USING ({SY})""")
@@ -123,8 +126,8 @@ def _(c):
 @query("k12_delta_expectation", f"""SELECT {S}, year_a, year_b, gain_km2, loss_km2, coalesce(abs(gain_km2 - 9.0) / 9.0 <= 0.2, false) AS gain_ok,
 coalesce(abs(loss_km2 - 9.0) / 9.0 <= 0.2, false) AS loss_ok FROM b13 WHERE year_b = year_a + 1""", "gain_km2 loss_km2")
 def _(c):
-    years = c.annual.where("is_complete").select(*KEY, F.col("year").alias("year_a"), (F.col("year") + 1).alias("year_b"))
-    both = years.join(c.annual.where("is_complete").select(*KEY, F.col("year").alias("year_b")), [*KEY, "year_b"], "left_semi")
+    years = c.stored_annual.where("is_complete").select(*KEY, F.col("year").alias("year_a"), (F.col("year") + 1).alias("year_b"))
+    both = years.join(c.stored_annual.where("is_complete").select(*KEY, F.col("year").alias("year_b")), [*KEY, "year_b"], "left_semi")
     expected = both.select(*KEY, "year_a", "year_b", F.lit(9.0).alias("exp_gain_km2"), F.lit(9.0).alias("exp_loss_km2"))
     return quality.delta_expectation(c.delta, expected)
 
@@ -179,13 +182,13 @@ def _(c):
 @query("i5_complete_years", f"""SELECT year FROM (SELECT DISTINCT {S}, year FROM months WHERE month = 12) GROUP BY year
 HAVING count(*) = (SELECT count(*) FROM (SELECT DISTINCT {S} FROM months))""")
 def _(c):
-    return incremental.complete_years(c.months, c.months.select(*KEY).distinct())
+    return incremental.complete_years(c.stored_months, c.stored_months.select(*KEY).distinct())
 
 
 @query("i6_new_complete_year", f"""SELECT year FROM (SELECT max(year) AS year FROM (SELECT year FROM (SELECT DISTINCT {S}, year FROM months WHERE month = 12) GROUP BY year
 HAVING count(*) = (SELECT count(*) FROM (SELECT DISTINCT {S} FROM months)))) WHERE year > (
 SELECT coalesce(max(new_year_detected), 0) FROM run_log WHERE pass_b_ran)""")
 def _(c):
-    complete = incremental.complete_years(c.months, c.months.select(*KEY).distinct())
+    complete = incremental.complete_years(c.stored_months, c.stored_months.select(*KEY).distinct())
     return incremental.new_complete_year(complete, adapter.run_log(c.spark, c.sf_dir))
 

@@ -75,7 +75,7 @@ def _(c):
 @query("q9_annual_grid", f"""SELECT {S}, year, row_idx, col_idx, avg(value) AS value, months_available FROM cells JOIN (
 SELECT {S}, year, CAST(count(DISTINCT month) AS INT) AS months_available FROM cells GROUP BY ALL) USING ({S}, year) GROUP BY ALL""", "value")
 def _(c):
-    return views.annual_grid(c.cells)
+    return views.annual_grid(c.stored_cells)
 
 
 @query("q11_monthly_anomaly_grid", f"""SELECT {SY}, row_idx, col_idx, delta, n_baseline_years, baseline_start, baseline_end, baseline_years FROM (
@@ -86,7 +86,7 @@ max(b.year) AS baseline_end, string_agg(b.year, ',' ORDER BY b.year) AS baseline
 ON a.aoi = b.aoi AND a.sensor = b.sensor AND a.resolution = b.resolution AND a.month = b.month AND b.year < a.year GROUP BY ALL)
 USING ({SY})""", "delta")
 def _(c):
-    return views.monthly_anomaly_grid(c.cells)
+    return views.monthly_anomaly_grid(c.stored_cells)
 
 
 @query("q12_compact_grid", f"""SELECT {SY}, d.row_idx, -14.0 + (d.row_idx + 0.5::DOUBLE) * (-0.005::DOUBLE) AS lat, CAST(count(value) AS INT) AS n_pixels,

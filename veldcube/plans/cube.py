@@ -57,6 +57,24 @@ class Cube:
     def cells(self) -> DataFrame:
         return composite.monthly_median_composite(self.obs)
 
+    @cached_property
+    def stored_cells(self) -> DataFrame:
+        """The composite as a table, for products that read it in several ways."""
+        return cut_lineage(self.cells)
+
+    @cached_property
+    def stored_burns(self) -> DataFrame:
+        return cut_lineage(self.burns)
+
+    @cached_property
+    def stored_annual(self) -> DataFrame:
+        """The annual series, from the stored composite."""
+        return monthly.ndvi_annual(monthly.ndvi_monthly(self.stored_cells))
+
+    @cached_property
+    def stored_months(self) -> DataFrame:
+        return cut_lineage(self.months)
+
     @cached_property
     def old_cells(self) -> DataFrame:
         return composite.monthly_mosaic_composite(self.obs)
@@ -142,11 +160,11 @@ class Cube:
 
     @cached_property
     def cell_means(self) -> DataFrame:
-        return annual.annual_cell_mean(self.cells, self.annual)
+        return annual.annual_cell_mean(self.stored_cells, self.stored_annual)
 
     @cached_property
     def delta(self) -> DataFrame:
-        return annual.ndvi_annual_delta(self.cell_means, self.annual, self.grid)
+        return annual.ndvi_annual_delta(self.cell_means, self.stored_annual, self.grid)
 
     @cached_property
     def burn_counts(self) -> DataFrame:
