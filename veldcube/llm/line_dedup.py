@@ -42,14 +42,15 @@ def shingles(norm: Column) -> Column:
 def bands(hashes: Column) -> Column:
     """One value per band of the MinHash signature of a line with sorted shingle hashes: the ROWS
     first hashes in the circular order that begins at the band's own point."""
-    step = 2**64 // BANDS
+    starts = [-(2**63) + b * (2**64 // BANDS) for b in range(BANDS)]
 
-    def band(b: int) -> Column:
-        start = F.lit(-(2**63) + b * step)
-        first = F.slice(F.concat(F.filter(hashes, lambda h: h >= start), F.slice(hashes, 1, ROWS)), 1, ROWS)
-        return F.xxhash64(F.lit(b), first)
+    def read(placed: Column) -> Column:
+        # Sorted in among the hashes, the points tell where their bands begin.
+        first = [F.array_position(placed["marked"], start) - F.lit(b) for b, start in enumerate(starts)]
+        return F.array(*[F.xxhash64(F.lit(b), F.slice(placed["circle"], at.cast("int"), ROWS)) for b, at in enumerate(first)])
 
-    return F.array(*[band(b) for b in range(BANDS)])
+    marked = F.sort_array(F.concat(hashes, F.array(*[F.lit(x) for x in starts])))
+    return let(F.struct(marked.alias("marked"), F.concat(hashes, F.slice(hashes, 1, ROWS)).alias("circle")), read)
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
