@@ -8,6 +8,7 @@ from veldcube.plans import (  # noqa: F401
     catalog_tables,
     catalog_views,
 )
+from veldcube.plans import catalog_masked  # noqa: F401  (builds on the others)
 from veldcube.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]

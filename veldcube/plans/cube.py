@@ -276,3 +276,25 @@ class Cube:
         """Months present per series, of both sensors."""
         key = ["aoi", "sensor", "resolution", "year", "month"]
         return self.monthly.select(*key).unionByName(self.ba_monthly.withColumn("sensor", F.lit("burned_area")).select(*key))
+
+
+class MaskedCube(Cube):
+    """The same products over the cells inside the area polygons; classes come from their polygons."""
+
+    @cached_property
+    def cells(self) -> DataFrame:
+        return spatial.mask_polygon(Cube.cells.func(self), self.aoi_spans)
+
+    @cached_property
+    def burns(self) -> DataFrame:
+        """Cells outside the area count as not burned; every image of a month stays."""
+        key = ["aoi", "sensor", "resolution", "year", "month", "row_idx", "col_idx"]
+        return spatial.outside_fill(Cube.burns.func(self).select(*key, "burn_date"), self.aoi_spans, "burn_date", integer=True)
+
+    @cached_property
+    def by_class(self) -> DataFrame:
+        """A cell may lie in polygons of several classes, or of none."""
+        on = ["aoi", "row_idx", "col_idx"]
+        every = self.cells.select("aoi", "sensor", "resolution", "row_idx", "col_idx").distinct()
+        classed = spatial.mask_two_level(every, self.aoi_spans, self.class_spans).select(*on, "land_cover").distinct()
+        return monthly.ndvi_monthly_by_class(self.cells, classed, dims.aoi_classes(self.spark), on)

@@ -11,6 +11,7 @@ from veldcube.plans.oracle import sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+_SPECS: dict[str, tuple] = {}
 
 
 def query(name: str, select: str | None = None, doubles: str = "", **local: str):
@@ -18,8 +19,16 @@ def query(name: str, select: str | None = None, doubles: str = "", **local: str)
 
     def register(build: Callable[[Cube], DataFrame]):
         QUERIES[name] = lambda spark, sf_dir: report(build(Cube(spark, sf_dir)))
+        _SPECS[name] = (build, select, doubles, local)
         if select is not None:
             SQL[name] = sql(select, doubles, **local)
         return build
 
     return register
+
+
+def over(name: str, base: str, cube: type[Cube], **tables: str) -> None:
+    """Register the builder of `base` under `name` over another cube; `tables` replaces CTEs of its SQL."""
+    build, select, doubles, local = _SPECS[base]
+    QUERIES[name] = lambda spark, sf_dir: report(build(cube(spark, sf_dir)))
+    SQL[name] = sql(select, doubles, **{**local, **tables})
