@@ -69,9 +69,9 @@ def mix_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int =
         F.col("target") > 0, (F.col("pass") * F.col("source_size") + F.col("served")).cast("double") / F.col("target"))
         .otherwise(F.col("pass").cast("double")))
     lined = running_total(timed, ["finish", "key", "doc_id", "pass", "size", "row"], "size", "words")
-    budget = targets.agg(F.sum("source_size").alias("budget"))
-    taken = F.col("words") <= F.col("budget")
-    return lined.crossJoin(F.broadcast(budget)).groupBy("row", "doc_id", "source", "size", "source_size", "target").agg(
+    budget = targets.agg(F.sum("source_size")).first()[0] or 0
+    taken = F.col("words") <= budget
+    return lined.groupBy("row", "doc_id", "source", "size", "source_size", "target").agg(
         F.sum(F.when(taken, 1).otherwise(0)).alias("copies"),
         F.sum(F.when(taken, F.col("size")).otherwise(0)).alias("taken"))
 
