@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veldcube.llm import bpe, language_id, line_dedup, mixing, ngram_join
-from veldcube.llm.common import stored
+from veldcube.llm.common import WORD, stored
 
 #: The stages hold models and similarity joins, which SQL cannot express.
 ORACLE_SQL = None
@@ -19,8 +19,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each line that is nearly alike elsewhere in its first place only; documents that consist of
-    such lines alone, which are copies, go."""
-    kept = line_dedup.deduplicated(docs, n_removed="__removed").filter("not (__removed > 0 and text = '')").drop("__removed")
+    such lines and blank ones alone, which are copies, go."""
+    emptied = (F.col("__removed") > 0) & ~F.col("text").rlike(WORD)
+    kept = line_dedup.deduplicated(docs, n_removed="__removed").filter(~emptied).drop("__removed")
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

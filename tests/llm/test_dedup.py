@@ -5,6 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from veldcube.llm import common, exact_dedup, line_dedup, ngram_join
 
 
@@ -150,3 +151,12 @@ def test_lines_equal_brute_force(make_docs, prose):
 
 def test_lines_of_an_empty_table(make_docs):
     assert line_dedup.line_report(make_docs([])).count() == 0
+
+
+def test_copies_that_hold_short_lines_go_whole(spark, make_docs, prose):
+    whole = "\n".join([prose(1, 14), "Ment que.", "", "  ", prose(2, 14), "7"])
+    rows = [(1, whole, None, None), (2, whole, None, None), (3, "\n" + whole.upper() + "\n\t", None, None), (4, "7\nits own line\n\n", None, None),
+            (5, "\n \n", None, None), (6, None, None, None), (7, "", None, None), (8, "Ment  que.", None, None)]
+    got = corpus_pipeline.drop_repeated_lines(spark, make_docs(rows), "").collect()
+    assert {r.doc_id: r.text for r in got} == {1: whole, 4: "its own line\n\n", 5: "\n \n", 6: None, 7: ""}
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in got)
