@@ -160,3 +160,13 @@ def test_copies_that_hold_short_lines_go_whole(spark, make_docs, prose):
     got = corpus_pipeline.drop_repeated_lines(spark, make_docs(rows), "").collect()
     assert {r.doc_id: r.text for r in got} == {1: whole, 4: "its own line\n\n", 5: "\n \n", 6: None, 7: ""}
     assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in got)
+
+
+def test_lines_that_differ_behind_the_start_of_a_word_stay(make_docs):
+    lines = ["https://www.example.org/articles/on-the-sea", "https://www.other.net/recipes/of-the-north", "Source: https://www.example.org/a-long-path/to-a-page",
+             "Source: https://www.other.net/b-short-way/from-a-page", "東京都は日本の首都であり世界最大の都市の一つである人口は約千四百万人に達する",
+             "東京都は日本の首都であり世界最大の美術館と庭園と川の多い街として知られている", "abcdefghijklmnopqrstuvwxyz", "abcdefghijklzyxwvutsrqponm"]
+    near = "https://www.example.org/articles/on-the-sea-and-on-the-hills-and-in-the-woods-of-the-north/index"
+    rows = [(i, line, None, None) for i, line in enumerate(lines)] + [(20, near + "-1", None, None), (21, near + "-2", None, None), (22, lines[4], None, None)]
+    got = {r.doc_id: r.text for r in line_dedup.deduplicated(make_docs(rows)).collect()}
+    assert got == {**dict(enumerate(lines)), 20: near + "-1", 21: "", 22: ""}
