@@ -33,6 +33,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, column: str = "row") -> DataFrame:
+    """`df` with a number for each row, written once: row numbers follow the splits of the input, which may
+    differ from job to job, so every step that goes by them reads this table."""
+    spark = df.sparkSession
+    path = shared_path(spark, "numbered")
+    rows = df.withColumn(column, F.monotonically_increasing_id())
+    rows.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

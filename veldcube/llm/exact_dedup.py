@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from veldcube.llm.common import SPACE, partitions, stored
+from veldcube.llm.common import SPACE, numbered, partitions, stored
 
 #: Keys a bucket holds before it is split.
 BUCKET_KEYS = 50_000
@@ -59,9 +59,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     spark = docs.sparkSession
     key = F.xxhash64("norm") if key is None else key
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), normalised(F.col(text_col)).alias("norm"),
-    ).withColumn("key", key)
+    rows = numbered(docs.select(F.col(id_col).alias("doc_id"), normalised(F.col(text_col)).alias("norm"))).withColumn("key", key)
     first = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row")
     texts = rows.groupBy("key", "norm").agg(F.min(first).alias("first"), F.count("*").alias("group_size"))
     entries = stored(texts.select(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veldcube.functions.session import broadcast_if_small
-from veldcube.llm.common import WORD, components, stored
+from veldcube.llm.common import WORD, components, numbered, stored
 from veldcube.llm.list_links import list_links
 
 #: Lines of fewer characters are left alone, as are blank ones.
@@ -54,10 +54,9 @@ def bands(hashes: Column) -> Column:
     return let(F.struct(marked.alias("marked"), F.concat(hashes, F.slice(hashes, 1, ROWS)).alias("circle")), read)
 
 
-def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Lines that take part: row, doc_id, pos, line."""
-    # Rows are numbered before they are taken apart.
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str = "__row") -> DataFrame:
+    """Lines of numbered documents that take part: row, doc_id, pos, line."""
+    rows = docs.select(F.col(row_col).alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     lines = rows.select("row", "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     return lines.filter((F.length("line") >= MIN_CHARS) & F.col("line").rlike(WORD))
 
@@ -74,10 +73,10 @@ def signatures(lines: DataFrame) -> DataFrame:
     return signed.select("row", "doc_id", "pos", "x.h1", "x.h2", "x.s.n", "x.s.bands")
 
 
-def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Lines of `docs` that go (row, pos): all of a component of similar lines but the first by doc_id
+def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str = "__row") -> DataFrame:
+    """Lines of numbered documents that go (row, pos): all of a component of similar lines but the first by doc_id
     and position. Equal lines are one entry, however many there are."""
-    lines = lines_of(docs, id_col, text_col)
+    lines = lines_of(docs, id_col, text_col, row_col)
     signed = stored(signatures(lines), "signed")
     place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row", "pos")
     distinct = signed.groupBy("h1", "h2").agg(F.min(F.struct(place.alias("place"), "n", "bands")).alias("one"), F.count("*").alias("times"))
@@ -110,10 +109,11 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     and blank ones stay wherever they are. Null texts stay null and empty ones empty; a text may become empty. Rows may
     repeat: then the first row keeps its lines. An empty table gives no rows.
     """
+    docs = numbered(docs, "__row")
     gone = repeated_lines(docs, id_col, text_col).groupBy(F.col("row").alias("__row")).agg(F.collect_set("pos").alias("__gone"))
     text = F.col(text_col)
     left = F.array_join(F.filter(F.split(text, "\n", -1), lambda line, i: ~F.array_contains("__gone", i)), "\n")
-    joined = docs.select("*", F.monotonically_increasing_id().alias("__row")).join(gone, "__row", "left")
+    joined = docs.join(gone, "__row", "left")
     counts = {}
     if n_lines:
         counts[n_lines] = F.coalesce(F.size(F.split(text, "\n", -1)), F.lit(0)).cast("long")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from veldcube.llm.common import WORD, running_total, stored
+from veldcube.llm.common import WORD, numbered, running_total, stored
 
 EPOCHS = 3
 WEIGHTS = (1, 2, 3)
@@ -44,20 +44,21 @@ def source_targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs:
 
 
 def mix_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, epochs: int = EPOCHS, seed: str = SEED,
-             id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+             id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+             row_col: str | None = None) -> DataFrame:
     """How often each row of `docs` enters the mix: row, doc_id, source, size, source_size, target, copies, taken.
 
     Every source is a queue in a shuffled order that depends on the seed and the ids only. A document
     of the n-th pass ends at (n x source size + words so far) / target; documents of all sources are
-    range-sorted by that time and taken while the words stay within the total. A row is `row` of
-    monotonically_increasing_id over `docs`.
+    range-sorted by that time and taken while the words stay within the total. `row` is
+    `row_col` of stored `docs`, or else a number given here.
 
     Null text has size 0 and takes no words; null sources form a source of their own; null ids come
     last among equal keys; repeated rows are counted each. An empty table gives no rows. Other
     columns are not read.
     """
     sized = stored(docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+        (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row"), F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
         F.md5(F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")))).alias("key"),
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "sized")
     targets = stored(source_targets(sized, weights, epochs), "targets")
@@ -82,10 +83,11 @@ def mix_report(docs: DataFrame) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """`docs` with each row as often as the mix takes it, columns unchanged."""
-    copies = mix_rows(docs, **options).filter("copies > 0").select(
+    docs = numbered(docs, "__row")
+    copies = mix_rows(docs, **options, row_col="__row").filter("copies > 0").select(
         F.col("row").alias("__row"), F.sequence(F.lit(1), F.col("copies").cast("int")).alias("__passes"))
     return (
-        docs.select("*", F.monotonically_increasing_id().alias("__row")).join(copies, "__row")
+        docs.join(copies, "__row")
         .withColumn("__pass", F.explode("__passes")).drop("__row", "__passes", "__pass")
     )
 

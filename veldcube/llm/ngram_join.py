@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veldcube.functions.session import broadcast_if_small
-from veldcube.llm.common import components, stored
+from veldcube.llm.common import components, numbered, stored
 from veldcube.llm.list_links import list_links
 
 #: log2 of the counters of the frequency sketch. It orders shingles only: a coarse one costs time, never links.
@@ -229,7 +229,8 @@ def similar_links(rows: DataFrame, sketch: np.ndarray, classes: DataFrame, words
     return list_links(lists, sets_of, percent)
 
 
-def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
+                      row_col: str | None = None) -> DataFrame:
     """Per row of `docs`: row, doc_id, n_shingles, component_id (the smallest doc_id that links reach)
     and stays (one row of each component).
 
@@ -237,9 +238,10 @@ def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col
     sets are one class, so copies are never expanded into pairs. Null texts and texts without words
     have the empty set and are alone; null ids count as larger than any id, and a component of null
     ids only has a null id. Rows may repeat. Other columns are not read. `row` is
-    monotonically_increasing_id over `docs`.
+    `row_col` of stored `docs`, or else a number given here.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(*([F.col(row_col).alias("row")] if row_col else []), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = rows if row_col else numbered(rows)
     measured = stored(set_sizes(rows, words), "measured")
     sketch = add_sketches(measured.filter("slot is not null").select("slot", "counts"))
     sized = measured.filter("slot is null").select("row", "n", "h1", "h2")
@@ -262,5 +264,6 @@ def join_report(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """`docs` with one document of each group of similar ones; documents without words stay."""
-    kept = similar_documents(docs, words, percent).filter("stays").select(F.col("row").alias("__row"))
-    return docs.select("*", F.monotonically_increasing_id().alias("__row")).join(kept, "__row", "left_semi").drop("__row")
+    docs = numbered(docs, "__row")
+    kept = similar_documents(docs, words, percent, row_col="__row").filter("stays").select(F.col("row").alias("__row"))
+    return docs.join(kept, "__row", "left_semi").drop("__row")

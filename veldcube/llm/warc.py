@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from veldcube.functions.session import broadcast_if_small
-from veldcube.llm.common import partitions, shared_path, stored
+from veldcube.llm.common import numbered, partitions, shared_path, stored
 
 #: Payloads of fewer bytes are never revisits.
 REVISIT_BYTES = 100
@@ -25,13 +25,12 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
 def captures(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Captures in order of row: row, page_id, url, payload (null html is empty) and a capture time,
+    """Captures, written once: row, page_id, url, payload (null html is empty) and a capture time,
     which is the page's number in seconds from a fixed day on."""
     seconds = F.lit(1_704_067_200) + F.coalesce(F.pmod(F.col(id_col), F.lit(1_000_000_000)), F.lit(0))
-    return pages.select(
-        F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("page_id"), F.col(url_col).alias("url"),
-        F.coalesce(F.col(html_col), F.lit("")).alias("payload"),
-        F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("captured"))
+    return numbered(pages.select(
+        F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("payload"),
+        F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("captured")))
 
 
 def revisits(pages: DataFrame) -> DataFrame:
