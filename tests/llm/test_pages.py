@@ -132,3 +132,48 @@ def test_embeddings_equal_brute_force(spark):
     assert all(got[i].component_id == label[k] and got[i].kept == (i == label[k]) for k, i in enumerate(ids))
     assert all((r := got[9100 + k]).n_links == 0 and r.component_id == 9100 + k and r.kept for k in range(len(odd)))
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
+
+
+P400 = ("A sentence of the article, with enough words to count. " * 8).strip()
+SMALL_BLOCKS = {
+    "table": ["T", *[P400] * 8, *[f"c{k}" for k in range(24)]],
+    "nested": ["T", *[P400] * 8, *[f"item of the list, {k:02}" for k in range(6)]],
+    "pre": ["T", *["An ordinary paragraph, with a few words."] * 10, "x = 1; y = 2. " * 4300],
+    "headings": ["T", *[f"Part {k}" for k in range(6)], "Word after word, and so on. " * 2200],
+}
+SMALL_BLOCKS = {k: [x.strip() for x in v] for k, v in SMALL_BLOCKS.items()}
+
+
+def small_blocks(kind):
+    text = SMALL_BLOCKS[kind]
+    p = "".join(f"<p>{x}</p>" for x in text[1:9])
+    if kind == "table":
+        inner = p + "<table>" + "".join(f"<tr><td>{a}</td><td>{b}</td></tr>" for a, b in zip(text[9::2], text[10::2], strict=True)) + "</table>"
+    elif kind == "nested":
+        inner = p + "<ul><li><ul>" + "".join(f"<li>{x}</li>" for x in text[9:]) + "</ul></li></ul>"
+    elif kind == "pre":
+        inner = "".join(f"<p>{x}</p>" for x in text[1:11]) + f"<pre>{text[11]}</pre>"
+    else:
+        inner = "".join(f"<h2>{x}</h2>" for x in text[1:7]) + f"<p>{text[7]}</p>"
+    return f"<h1>T</h1>{inner}", "\n\n".join(" ".join(x.split()) for x in text)
+
+
+@pytest.mark.parametrize("kind", SMALL_BLOCKS)
+def test_small_blocks_of_an_article_stay(kind):
+    inner, text = small_blocks(kind)
+    for root in ("article", "main"):
+        assert html_text.main_text(f"<html><body><nav><a href=/>m</a></nav><div><{root}>{inner}</{root}></div></body></html>") == text
+
+
+@pytest.mark.parametrize("kind", SMALL_BLOCKS)
+def test_small_blocks_of_a_page_without_article_stay(kind):
+    inner, text = small_blocks(kind)
+    inner, text = inner.replace("<h1>T<", "<h1>The title<"), "The title" + text[1:]
+    assert html_text.main_text(f"<html><body><div class=x>{inner}</div><div class=y><a href=/1>more from here</a></div></body></html>") == text
+
+
+def test_link_lists_inside_an_article_go_and_linked_headings_stay():
+    links = "".join(f"<li><a href=/{k}>Another page of this site</a></li>" for k in range(5))
+    page = f"<article><h1><a href=/>The title</a></h1><p>{P400}</p><div><ul>{links}</ul></div></article>"
+    assert html_text.main_text(page) == f"The title\n\n{P400}"
+    assert html_text.main_text("<article><p><a href=/>All of it</a></p></article>") == "All of it"
