@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veldcube.llm import bpe, embedding_dedup, exact_dedup, html_text, language_id, line_dedup, mixing, ngram_join, secret_scan, warc
+from veldcube.llm import bpe, embedding_dedup, exact_dedup, fill_middle, html_text, language_id, line_dedup, mixing, ngram_join, secret_scan, warc
 from veldcube.llm.common import table
 
 
@@ -48,6 +48,10 @@ def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_report(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.middle_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_ngram_join": op2_ngram_join,
@@ -59,9 +63,11 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_language_id": op9_language_id,
     "op10_bpe_codec": op10_bpe_codec,
+    "op11_fill_middle": op11_fill_middle,
 }
 SQL = {
     "op1_mix_sources": mixing.MIX_REPORT_SQL,
     "op4_exact_dedup": exact_dedup.EXACT_SQL,
     "op8_warc": warc.WARC_SQL,
+    "op11_fill_middle": fill_middle.MIDDLE_SQL,
 }
