@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veldcube.llm import bpe, embedding_dedup, exact_dedup, fill_middle, html_text, language_id, line_dedup, mixing, ngram_join, secret_scan, vector_search, warc
+from veldcube.llm import bpe, embedding_dedup, exact_dedup, fill_middle, html_text, language_id, line_dedup, mixing, ngram_join, secret_scan, token_links, vector_search, warc
 from veldcube.llm.common import table
 
 
@@ -56,6 +56,10 @@ def op12_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_search.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op13_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_links.links_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
     "op2_ngram_join": op2_ngram_join,
@@ -69,6 +73,7 @@ QUERIES = {
     "op10_bpe_codec": op10_bpe_codec,
     "op11_fill_middle": op11_fill_middle,
     "op12_vector_search": op12_vector_search,
+    "op13_token_links": op13_token_links,
 }
 SQL = {
     "op1_mix_sources": mixing.MIX_REPORT_SQL,
