@@ -84,8 +84,9 @@ def test_long_documents_in_lanes(make_docs, prose, libraries, monkeypatch):
     want = by_hand(texts, libraries)
     for d, g in enumerate(shard.groups().to_pylist()):
         assert (g and sha256(g.encode()).hexdigest()) == want[d][4] and shard.n_links[d] == want[d][3]
-    i, _, _ = token_links.lanes_of(*(np.cumsum([len(x) for x in table.take(ids).to_pylist()]) for table, ids in (
-        (token_links.Pair(token_links.tokenizer_files()).a_bytes, shard.ids_a), (token_links.Pair(token_links.tokenizer_files()).b_bytes, shard.ids_b))), shard.from_a, shard.from_b)
+    pair = token_links.Pair(token_links.tokenizer_files())
+    ends = [np.cumsum(lengths[ids]) for lengths, ids in ((pair.a_lengths, shard.ids_a), (pair.b_lengths, shard.ids_b))]
+    i, _, _ = token_links.lanes_of(*ends, shard.from_a, shard.from_b)
     assert len(i) > 40
 
 

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from hashlib import sha256
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -70,6 +71,7 @@ class Pair:
         known = self.pieces.id_to_piece(list(range(size)))
         made = [bytes([int(x[1:-1], 16)]) if self.pieces.is_byte(i) else x.replace(BLANK, " ").encode() for i, x in enumerate(known)]
         self.b_bytes = pa.array(made, pa.binary())
+        self.a_lengths, self.b_lengths = (np.array([len(x) for x in table], np.int64) for table in (raw, made))
 
     def a(self, text: str) -> np.ndarray:
         try:
@@ -148,6 +150,11 @@ def lockstep(ends_a: np.ndarray, ends_b: np.ndarray, from_a: np.ndarray, from_b:
     return gather(links_a), gather(links_b), np.sort(gather(cuts_a)), np.sort(gather(cuts_b))
 
 
+def spelled(table: pa.Array, ids: np.ndarray) -> bytes:
+    """The bytes of tokens, one after the other."""
+    return b"".join(pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), table.take(pa.array(ids))), b"").to_pylist())
+
+
 def int_lists(offsets: np.ndarray, values: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.astype(np.int32)))
 
@@ -157,25 +164,29 @@ class Shard:
 
     def __init__(self, pair: Pair, texts: list[str]):
         nothing = (np.empty(0, np.int32),) * 2
+        lengths_a, lengths_b = pair.a_lengths, pair.b_lengths
         made = [(pair.a(" " + t), pair.b(t)) if t else nothing for t in texts]
-        lengths_a, lengths_b = (pc.binary_length(x).to_numpy().astype(np.int64) for x in (pair.a_bytes, pair.b_bytes))
-        spelled = lambda table, ids: b"".join(table.take(pa.array(ids)).to_pylist())
-        for d, (a, b) in enumerate(made):
-            raw = (" " + texts[d]).encode() if texts[d] else b""
-            if not (lengths_a[a].sum() == lengths_b[b].sum() == len(raw) and spelled(pair.a_bytes, a) == raw == spelled(pair.b_bytes, b)):
-                made[d] = nothing
-        flat = lambda part: np.concatenate([np.empty(0, np.int32), *(x[part] for x in made)])
-        starts = lambda part: np.cumsum([0, *(len(x[part]) for x in made)])
-        self.ids_a, self.ids_b, self.from_a, self.from_b = flat(0), flat(1), starts(0), starts(1)
+        raw = [(" " + t).encode() if t else b"" for t in texts]
+        made = [(a, b) if lengths_a[a].sum() == lengths_b[b].sum() == len(x) else nothing for (a, b), x in zip(made, raw, strict=True)]
+        self.take_up(made)
+        if not spelled(pair.a_bytes, self.ids_a) == b"".join(x for (a, _), x in zip(made, raw, strict=True) if len(a)) == spelled(pair.b_bytes, self.ids_b):
+            self.take_up([(a, b) if spelled(pair.a_bytes, a) == x == spelled(pair.b_bytes, b) else nothing for (a, b), x in zip(made, raw, strict=True)])
         ends_a, ends_b = np.cumsum(lengths_a[self.ids_a]), np.cumsum(lengths_b[self.ids_b])
         link_a, link_b, self.cut_a, self.cut_b = lockstep(ends_a, ends_b, self.from_a, self.from_b)
-        doc = (np.searchsorted(self.from_a, link_a, side="right") - 1).astype(np.int32)
-        keys, pairs, self.times = np.unique(self.ids_a[link_a].astype(np.int64) << 32 | self.ids_b[link_b], return_inverse=True, return_counts=True)
+        place = np.min_scalar_type(len(texts))  # small numbers sort in one pass
+        doc = np.repeat(np.arange(len(texts), dtype=place), np.diff(self.from_a))[link_a]
+        pairs, keys = pd.factorize(self.ids_a[link_a].astype(np.int64) << 32 | self.ids_b[link_b])
+        self.times = np.bincount(pairs, minlength=len(keys))
         self.pair_a, self.pair_b = keys >> 32, keys & 0xFFFFFFFF
         self.pairs = pairs[np.argsort(doc, kind="stable")]
         self.n_links = np.bincount(doc, minlength=len(texts))
         self.groups_to = np.searchsorted(self.cut_a, self.from_a)
 
+    def take_up(self, made: list[tuple[np.ndarray, np.ndarray]]) -> None:
+        flat = lambda part: np.concatenate([np.empty(0, np.int32), *(x[part] for x in made)])
+        starts = lambda part: np.cumsum([0, *(len(x[part]) for x in made)])
+        self.ids_a, self.ids_b, self.from_a, self.from_b = flat(0), flat(1), starts(0), starts(1)
+
     def groups(self) -> pa.Array:
         """Each document's groups as text: a1,a2|b1;a3|b2,b3."""
         side = lambda ids, cuts: pc.binary_join(pa.ListArray.from_arrays(
