@@ -25,11 +25,11 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, codec: str | None = None) -> DataFrame:
     """Write `df` to the shared folder and go on from the files, so that no lineage is left behind."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    (df.write.option("compression", codec) if codec else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -19,7 +19,7 @@ from veldcube.llm.bpe import byte_symbols
 from veldcube.llm.common import stored
 
 #: Characters of the documents that are aligned together; a longer text is taken alone.
-SHARD_CHARS = 4_000_000
+SHARD_CHARS = 1_500_000
 #: Tokens of a lane: longer documents are cut at ends that both tokenizers share.
 LANE = 2048
 #: Fixed value: the character that stands for a space in the pieces of the second tokenizer.
@@ -133,7 +133,7 @@ def lockstep(ends_a: np.ndarray, ends_b: np.ndarray, from_a: np.ndarray, from_b:
     first, both where they end together, which is a cut. Finished documents leave the state.
     Returns the linked tokens of A and of B, and the tokens of A and of B that end at cuts.
     """
-    i, stop, j = lanes_of(ends_a, ends_b, from_a, from_b)
+    i, stop, j = map(compact, lanes_of(ends_a, ends_b, from_a, from_b))
     links_a, links_b, cuts_a, cuts_b = [], [], [], []
     while len(i):
         end_a, end_b = ends_a[i], ends_b[j]
@@ -150,6 +150,11 @@ def lockstep(ends_a: np.ndarray, ends_b: np.ndarray, from_a: np.ndarray, from_b:
     return gather(links_a), gather(links_b), np.sort(gather(cuts_a)), np.sort(gather(cuts_b))
 
 
+def compact(x: np.ndarray) -> np.ndarray:
+    """Growing numbers in 32 bits where they fit."""
+    return x.astype(np.int32) if not len(x) or x.max() < 1 << 31 else x
+
+
 def spelled(table: pa.Array, ids: np.ndarray) -> bytes:
     """The bytes of tokens, one after the other."""
     return b"".join(pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), table.take(pa.array(ids))), b"").to_pylist())
@@ -171,15 +176,17 @@ class Shard:
         self.take_up(made)
         if not spelled(pair.a_bytes, self.ids_a) == b"".join(x for (a, _), x in zip(made, raw, strict=True) if len(a)) == spelled(pair.b_bytes, self.ids_b):
             self.take_up([(a, b) if spelled(pair.a_bytes, a) == x == spelled(pair.b_bytes, b) else nothing for (a, b), x in zip(made, raw, strict=True)])
-        ends_a, ends_b = np.cumsum(lengths_a[self.ids_a]), np.cumsum(lengths_b[self.ids_b])
+        ends_a, ends_b = (compact(np.cumsum(x)) for x in (lengths_a[self.ids_a], lengths_b[self.ids_b]))
         link_a, link_b, self.cut_a, self.cut_b = lockstep(ends_a, ends_b, self.from_a, self.from_b)
-        place = np.min_scalar_type(len(texts))  # small numbers sort in one pass
-        doc = np.repeat(np.arange(len(texts), dtype=place), np.diff(self.from_a))[link_a]
+        doc = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(self.from_a))[link_a]
         pairs, keys = pd.factorize(self.ids_a[link_a].astype(np.int64) << 32 | self.ids_b[link_b])
         self.times = np.bincount(pairs, minlength=len(keys))
         self.pair_a, self.pair_b = keys >> 32, keys & 0xFFFFFFFF
-        self.pairs = pairs[np.argsort(doc, kind="stable")]
         self.n_links = np.bincount(doc, minlength=len(texts))
+        # A document's pairs in order: equal ones side by side take little room.
+        pairs |= doc.astype(np.int64) << 32
+        pairs.sort()
+        self.pairs = (pairs & 0xFFFFFFFF).astype(np.int32)
         self.groups_to = np.searchsorted(self.cut_a, self.from_a)
 
     def take_up(self, made: list[tuple[np.ndarray, np.ndarray]]) -> None:
@@ -285,7 +292,7 @@ def aligned(docs: DataFrame, files: Files | None = None, outputs: tuple[str, ...
     table gives no rows. Groups as text must stay below 2 GB for a document.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    shards = stored(linked_shards(rows, files or tokenizer_files(), outputs), "token-links")
+    shards = stored(linked_shards(rows, files or tokenizer_files(), outputs), "token-links", "zstd")
     counts = pair_counts(shards)
     zipped = F.arrays_zip("pair_a", "pair_b")
     wanted = shards.select("shard", F.posexplode(zipped).alias("at", "e")).select("shard", "at", F.col("e.pair_a").alias("a"), F.col("e.pair_b").alias("b"))
