@@ -1,4 +1,3 @@
-import math
 import random
 
 import pytest
@@ -114,21 +113,6 @@ def test_erode_equals_repeated_steps(spark):
     assert got.count() == len(have) and at(got.where("interior")) == step
 
 
-def test_distance_equals_brute_force_over_several_rounds(spark):
-    rng = random.Random(6)
-    targets = {(0, 0), (3, 300), *((r, c) for r in range(40, 52) for c in range(40, 52))}
-    cells = {(rng.randrange(400), rng.randrange(400)) for _ in range(120)} | {(45, 45), (0, 1)}
-    make = lambda s, a: spark.createDataFrame([(a, r, c) for r, c in s], "aoi string, row_idx int, col_idx int")
-    lonely = make({(5, 5)}, "no-targets")
-    got = spatial.distance_to_nearest(make(cells, "X").unionByName(lonely), make(targets, "X"), ["aoi"]).collect()
-    assert len(got) == len(cells) + 1
-    for r in got:
-        if r.aoi == "no-targets":
-            assert r.distance is None
-        else:
-            assert r.distance == pytest.approx(min(math.dist((r.row_idx, r.col_idx), t) for t in targets))
-
-
 def test_grid_comparison_lists_parts(spark):
     a = dims.grid_dim(spark, dims.BLOCK_GRID)
     assert all(r.match and r.differs_in == "" for r in spatial.compare_grids(a, a).collect())

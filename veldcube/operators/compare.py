@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from veldcube.functions import fixed
 from veldcube.functions.columns import cell_area_approx
 from veldcube.functions.session import cut_lineage
-from veldcube.operators import patches, spatial
+from veldcube.operators import distance, patches, spatial
 from veldcube.operators.order_stats import exact_median, exact_percentiles
 
 
@@ -221,7 +221,7 @@ def distance_groups(pairs: DataFrame, group: list[str]) -> DataFrame:
     cells = cut_lineage(pairs.withColumn("member", membership()))
     old = cells.where("doy_old > 0")
     new = cells.where("doy_new > 0")
-    near = spatial.distance_to_nearest(new, old, group)
+    near = distance.distance_to_nearest(new, old, group)
     return near.join(new.select(*group, "row_idx", "col_idx", "member"), [*group, "row_idx", "col_idx"])
 
 

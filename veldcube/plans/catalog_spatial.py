@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from veldcube.functions import columns, fixed
-from veldcube.operators import patches, spatial, views
+from veldcube.operators import distance, patches, spatial, views
 from veldcube.plans.oracle import STRIP_ROW_AREA, edge_term, rings_sql
 from veldcube.plans.registry import query
 from veldcube.sources import dims
@@ -171,7 +171,7 @@ def _(c):
 @query("g15_distance_to_nearest", "SELECT aoi, row_idx, col_idx, distance FROM distances", "distance")
 def _(c):
     new = c.strip_pairs.where("doy_new > 0")
-    return spatial.distance_to_nearest(new, c.strip_pairs.where("doy_old > 0"), ["aoi"])
+    return distance.distance_to_nearest(new, c.strip_pairs.where("doy_old > 0"), ["aoi"])
 
 
 @query("g16_erode", """SELECT a.aoi, a.row_idx, a.col_idx, count(*) = 13 AS interior FROM strip_new a JOIN strip_new b
