@@ -89,15 +89,20 @@ def ndvi_anomaly_monthly(by_class: DataFrame, baselines: DataFrame) -> DataFrame
 
 
 def ba_monthly(burns: DataFrame, grid: DataFrame) -> DataFrame:
-    """Burned km2 per month with ellipsoidal cell areas, and the band of its calendar month.
-
-    The lower bound is cut at zero but stays NULL for a single year.
-    """
+    """Burned km2 per month with ellipsoidal cell areas, and the band of its calendar month."""
     area = row_area(F.col("row_idx"), F.col("north"), F.col("dx"), F.col("dy"))
     placed = burns.join(grid.select("aoi", "resolution", "north", "dx", "dy"), ["aoi", "resolution"])
     months = placed.groupBy("aoi", "resolution", "year", "month").agg(
         F.coalesce(F.sum(F.when(F.col("burn_date") > 0, area)), F.lit(0.0)).alias("burned_km2")
     )
+    return ba_bands(months)
+
+
+def ba_bands(months: DataFrame) -> DataFrame:
+    """Months (aoi, resolution, year, month, burned_km2) with the band of their calendar month.
+
+    The lower bound is cut at zero but stays NULL for a single year.
+    """
     key = ["aoi", "resolution", "month"]
     stats = months.groupBy(*key).agg(
         F.avg("burned_km2").alias("ba_mean"),

@@ -3,6 +3,7 @@
 from veldcube.plans import (  # noqa: F401
     catalog_compare,
     catalog_quality,
+    catalog_refresh,
     catalog_sources,
     catalog_spatial,
     catalog_tables,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from veldcube.functions.session import ensure_checkpoint_dir
 from veldcube.operators import patches, quality
 from veldcube.plans.registry import query
-from veldcube.sources import adapter, geojson, products, tiles
+from veldcube.sources import adapter, collections, geojson, products, tiles
 from veldcube.streaming import refresh
 
 S = "aoi, sensor, resolution"
@@ -40,15 +40,31 @@ def _(c):
     return tiles.parse_tile_name(paths).drop("path")
 
 
-@query("s4_read_geojson", "SELECT aoi, polygon_id, 0 AS ring_id, seq, lon, lat FROM row_vertices", "lon lat")
+#: Outer ring and hole of the rectangle of a row, as shares of its width and height.
+RINGS = [[(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)], [(0.25, 0.25), (0.25, 0.75), (0.75, 0.75), (0.75, 0.25), (0.25, 0.25)]]
+
+
+@query("s4_read_geojson", "SELECT aoi, CASE WHEN polygon_id % 3 = 0 THEN 'Crops' ELSE 'Bare_ground' END AS land_cover, polygon_id // 2 AS pair, "
+       "CASE WHEN polygon_id % 2 = 1 AND twice THEN 1 ELSE 0 END AS part, ring_id, seq, lon, lat FROM ("
+       + " UNION ALL ".join(
+           f"SELECT aoi, polygon_id, count(*) OVER (PARTITION BY aoi, polygon_id // 2, polygon_id % 3 = 0) = 2 AS twice, {k} AS ring_id, {i} AS seq, "
+           f"x0 + {x} * (x1 - x0) AS lon, y0 + {y} * (y1 - y0) AS lat FROM row_extents"
+           for k, ring in enumerate(RINGS) for i, (x, y) in enumerate(ring)) + ")", "lon lat")
 def _(c):
-    # Written as feature lines and read back: sink and source in one pass over the polygons.
-    folder = shared_folder(c, "features")
-    geojson.write_features(geojson.polygon_features(c.row_extents, ["aoi", "polygon_id"]), folder)
-    vertices = geojson.read_feature_lines(c.spark, folder, "polygon_id")
-    return vertices.select(
-        F.col("properties")["aoi"].alias("aoi"), F.col("polygon_id").cast("int").alias("polygon_id"), "ring_id", "seq", "lon", "lat"
-    )
+    # Rows two by two are multipolygons with holes, in collections named after area and class; written and read back.
+    folder = shared_folder(c, "collections")
+    box = c.row_extents.groupBy("aoi", "polygon_id").agg(F.min("lon").alias("x0"), F.max("lon").alias("x1"), F.max("lat").alias("y0"), F.min("lat").alias("y1"))
+    corners = F.array(*[
+        F.struct(F.lit(k).alias("ring_id"), F.lit(i).alias("seq"), (F.col("x0") + x * (F.col("x1") - F.col("x0"))).alias("lon"),
+                 (F.col("y0") + y * (F.col("y1") - F.col("y0"))).alias("lat"))
+        for k, ring in enumerate(RINGS) for i, (x, y) in enumerate(ring)])
+    named = F.when(F.col("polygon_id") % 3 == 0, "Crops").otherwise("Bare_ground").alias("land_cover")
+    vertices = box.select("aoi", named, F.floor(F.col("polygon_id") / 2).alias("pair"), (F.col("polygon_id") % 2).alias("part"), F.explode(corners).alias("p"))
+    shapes = collections.shape_features(vertices.select("aoi", "land_cover", "pair", "part", "p.*"), ["aoi", "land_cover", "pair"], ["aoi", "pair"])
+    collections.write_collections(shapes, folder, F.concat_ws("_", "aoi", "land_cover", F.lit("2023.geojson")), parts=4)
+    back = collections.read_collections(c.spark, folder)
+    return back.select(F.col("properties")["aoi"].alias("aoi"), F.col("layer").alias("land_cover"), F.col("properties")["pair"].cast("long").alias("pair"),
+                       "part", "ring_id", "seq", "lon", "lat")
 
 
 @query("s5_write_product", "a1", "mean_ndvi")
@@ -104,16 +120,3 @@ def _(c):
         one = df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("table_name", F.lit(name))
         rows = one if rows is None else rows.unionByName(one)
     return rows.join(issues, "table_name", "left").select("table_name", F.coalesce("n", F.lit(0)).cast("int").alias("n_issues"), "n_rows")
-
-
-@query("i7_refresh", f"SELECT {SY}, mean_ndvi, n_valid_px FROM a1", "mean_ndvi")
-def _(c):
-    # Cells arrive in two loads; the second one also replaces months of the first.
-    folder = shared_folder(c, "inbox")
-    inbox, root, marks = f"{folder}/in", f"{folder}/out", f"{folder}/marks"
-    late = F.col("year") >= 1998
-    c.cells.withColumn("value", F.when(late, F.lit(None)).otherwise(F.col("value"))).where("year < 1999").write.mode("append").parquet(inbox)
-    done = refresh.run_refresh(c.spark, inbox, root, marks, c.grid)
-    c.cells.where(late).write.mode("append").parquet(inbox)
-    refresh.run_refresh(c.spark, inbox, root, marks, c.grid, done or 0)
-    return products.scan_product(c.spark, root, "ndvi_monthly", refresh.MONTHLY).select(*MONTH, "mean_ndvi", "n_valid_px")
