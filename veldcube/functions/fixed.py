@@ -40,6 +40,7 @@ GRID_TOLERANCE = 1e-8
 REGRESSION_TOLERANCE = 0.005
 SNAPSHOT_TOLERANCE = 0.001
 RECOMPUTE_TOLERANCE = 0.01
+SIMPLIFY_METRES = 50.0
 VALUE_RANGES = {
     "mean_ndvi": (-1.0, 1.0),
     "anomaly_value": (-2.0, 2.0),

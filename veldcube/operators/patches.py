@@ -221,8 +221,8 @@ def ring_vertices(outline: DataFrame, keys: list[str], grid: DataFrame) -> DataF
     )
 
 
-def _keep_mask(x: np.ndarray, y: np.ndarray, tolerance: float) -> np.ndarray:
-    """Vertices that one closed ring keeps; open segments are split level by level."""
+def _keep_mask(x: np.ndarray, y: np.ndarray, tolerance: float, closed: bool = True) -> np.ndarray:
+    """Vertices that one closed ring (or open line) keeps; open segments are split level by level."""
     keep = np.zeros(len(x), dtype=bool)
     keep[[0, -1]] = True
     segments, depth = [(0, len(x) - 1)], 0
@@ -238,23 +238,23 @@ def _keep_mask(x: np.ndarray, y: np.ndarray, tolerance: float) -> np.ndarray:
             gap = np.sqrt((px - t * vx) ** 2 + (py - t * vy) ** 2)
             at = int(gap.argmax())
             found.append((float(gap[at]), lo, lo + 1 + at, hi))
-        widest = max(found, key=lambda f: (f[0], -f[1])) if depth == 1 and found else None
+        widest = max(found, key=lambda f: (f[0], -f[1])) if closed and depth == 1 and found else None
         segments = []
         for f in found:
             far, lo, split, hi = f
-            if far > tolerance or depth == 0 or f is widest:
+            if far > tolerance or closed and depth == 0 or f is widest:
                 keep[split] = True
                 segments += [(lo, split), (split, hi)]
         depth += 1
     return keep
 
 
-def simplify_rings(vertices: DataFrame, keys: list[str], tolerance: float = 50.0, one_task: int = ONE_TASK_VERTICES) -> DataFrame:
+def simplify_rings(vertices: DataFrame, keys: list[str], tolerance: float = 50.0, one_task: int = ONE_TASK_VERTICES, closed: bool = True) -> DataFrame:
     """Douglas-Peucker on closed rings with metric coordinates (keys, seq, x, y, ...): vertices kept.
 
     Rings of at most `one_task` vertices are simplified one ring at a time inside tasks; longer ones
     by splitting all their segments at once. Both keep the same vertices: a ring's two widest splits
-    always stay, so it never falls below a closed triangle.
+    always stay, so it never falls below a closed triangle. Lines that are not `closed` may become straight.
     """
     sizes = vertices.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     long = sizes.where(F.col("_n") > one_task).drop("_n")
@@ -262,15 +262,15 @@ def simplify_rings(vertices: DataFrame, keys: list[str], tolerance: float = 50.0
 
     def one_ring(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("seq", ignore_index=True)
-        return pdf[_keep_mask(pdf["x"].to_numpy(), pdf["y"].to_numpy(), tolerance)]
+        return pdf[_keep_mask(pdf["x"].to_numpy(), pdf["y"].to_numpy(), tolerance, closed)]
 
     if long.isEmpty():
         return spread(vertices, *keys).groupBy(*keys).applyInPandas(one_ring, schema)
     short = spread(vertices.join(long, keys, "left_anti"), *keys).groupBy(*keys).applyInPandas(one_ring, schema)
-    return short.unionByName(simplify_long_rings(vertices.join(long, keys, "left_semi"), keys, tolerance))
+    return short.unionByName(simplify_long_rings(vertices.join(long, keys, "left_semi"), keys, tolerance, closed))
 
 
-def simplify_long_rings(vertices: DataFrame, keys: list[str], tolerance: float) -> DataFrame:
+def simplify_long_rings(vertices: DataFrame, keys: list[str], tolerance: float, closed: bool = True) -> DataFrame:
     """`simplify_rings` for rings too long for a task.
 
     Every round finds the farthest vertex of all open segments at once (a combinable aggregate) and
@@ -304,9 +304,9 @@ def simplify_long_rings(vertices: DataFrame, keys: list[str], tolerance: float)
             F.max("gap").alias("far"), F.max_by("p", F.struct("gap", -F.col("seq"))).alias("split")
         )
         limit = F.col("far") > tolerance
-        if depth == 0:
+        if closed and depth == 0:
             limit = F.lit(True)
-        elif depth == 1:
+        elif closed and depth == 1:
             top = widest.groupBy(*keys).agg(F.max(F.struct(F.col("far"), (-F.col("lo_seq")).alias("at"))).alias("top"))
             widest = widest.join(top, keys)
             limit = limit | (F.col("lo_seq") == -F.col("top.at"))

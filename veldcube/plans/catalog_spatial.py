@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from veldcube.functions import columns, fixed
-from veldcube.operators import distance, patches, spatial, views
+from veldcube.operators import distance, patches, spatial, topology, views
 from veldcube.plans.oracle import STRIP_ROW_AREA, edge_term, rings_sql
 from veldcube.plans.registry import query
 from veldcube.sources import dims
@@ -126,10 +126,7 @@ def _(c):
 
 
 def _simplified(c):
-    vertices = patches.ring_vertices(c.frp_outline, ["aoi"], c.strip_grid)
-    east, north = columns.lonlat_to_utm35s(F.col("lon"), F.col("lat"))
-    metric = vertices.withColumn("x", east).withColumn("y", north)
-    return patches.simplify_rings(metric, ["aoi", "component_id", "ring_id"], 50.0)
+    return topology.simplify_outlines(c.frp_outline, ["aoi"], c.strip_grid, fixed.SIMPLIFY_METRES)
 
 
 @query("g11_simplify_rings")
@@ -137,6 +134,12 @@ def _(c):
     return _simplified(c).select("aoi", "component_id", "ring_id", "seq", "lon", "lat")
 
 
+@query("g11_simplified_topology", "SELECT aoi, CAST(sum(n_rings) AS BIGINT) AS n_rings, 0 AS n_open, 0 AS n_foreign, 0 AS n_far, 0 AS n_crossing FROM frp_patches GROUP BY aoi")
+def _(c):
+    rings = patches.cut_lineage(_simplified(c))
+    return topology.check_simplified(c.frp_outline, rings, ["aoi"], c.strip_grid, fixed.SIMPLIFY_METRES)
+
+
 @query("g12_align_nearest", """SELECT t.aoi, t.resolution, t.row_idx, t.col_idx, src_row, src_col, value FROM (
 SELECT aoi, 500 AS resolution, CAST(r.range AS INT) AS row_idx, CAST(c.range AS INT) AS col_idx,
 CAST(floor((-14.0009::DOUBLE + (r.range + 0.5::DOUBLE) * (-0.004::DOUBLE) - (-14.0::DOUBLE)) / (-0.005::DOUBLE)) AS INT) AS src_row,
@@ -223,17 +226,32 @@ def _(c):
     return views.landcover_area(areas.join(classes, ["aoi", "component_id"]), areas.groupBy("aoi").agg(F.sum("area_km2").alias("aoi_km2")))
 
 
+def _simplified_cover(c):
+    outline, classes = _cover(c)
+    kept = topology.simplify_outlines(outline, ["aoi"], c.strip_grid, fixed.SIMPLIFY_METRES)
+    return outline, classes, patches.vertex_area(kept, ["aoi", "component_id"])
+
+
 @query("q19_landcover_area_simplified")
 def _(c):
-    outline, classes = _cover(c)
-    vertices = patches.ring_vertices(outline, ["aoi"], c.strip_grid)
-    east, north = columns.lonlat_to_utm35s(F.col("lon"), F.col("lat"))
-    kept = patches.simplify_rings(vertices.withColumn("x", east).withColumn("y", north), ["aoi", "component_id", "ring_id"], 50.0)
+    outline, classes, areas = _simplified_cover(c)
     whole = patches.outline_area(outline, ["aoi"], c.strip_grid).groupBy("aoi").agg(F.sum("area_km2").alias("aoi_km2"))
-    areas = patches.vertex_area(kept, ["aoi", "component_id"])
     return views.landcover_area(areas.join(classes, ["aoi", "component_id"]), whole)
 
 
+@query("q19_simplified_close", "SELECT aoi, land_cover, count(DISTINCT component_id) AS n_features, 0 AS n_beyond FROM cover_comp JOIN classes ON value = class_no GROUP BY ALL")
+def _(c):
+    # No border moves by more than the tolerance, to either side, so an area changes by twice that times the length of
+    # its outline at most. Cells of the strip grid are no wider than 60 m.
+    outline, classes, areas = _simplified_cover(c)
+    key = ["aoi", "component_id"]
+    room = outline.groupBy(*key).agg((F.count(F.lit(1)) * 60.0 * 2 * fixed.SIMPLIFY_METRES / 1e6).alias("room"))
+    before = patches.outline_area(outline, ["aoi"], c.strip_grid).withColumnRenamed("area_km2", "before")
+    beyond = F.abs(F.col("area_km2") - F.col("before")) > F.col("room")
+    return areas.join(before, key).join(room, key).join(classes, key).groupBy("aoi", "land_cover").agg(
+        F.count(F.lit(1)).alias("n_features"), F.sum(beyond.cast("int")).alias("n_beyond"))
+
+
 @query("q21_frp_feature_summary", """SELECT aoi, count(*) AS n_features, max(n_years) AS n_years_in_dataset, min(frp_years) AS frp_years_min,
 max(frp_years) AS frp_years_max, avg(frp_years) AS frp_years_mean FROM frp_patches GROUP BY ALL""", "frp_years_min frp_years_max frp_years_mean")
 def _(c):
@@ -248,8 +266,21 @@ def _(c):
     )
 
 
-@query("q28_frp_patches_simplified")
-def _(c):
+def _simplified_features(c):
     kept = _simplified(c).select("aoi", "component_id", "ring_id", "seq", "lon", "lat")
     props = views.frp_patches_view(c.frp_patches, views.ba_year_range(c.strip_burns)).drop("n_cells", "n_rings", "area_km2")
     return patches.patch_features(kept, ["aoi"], props)
+
+
+@query("q28_frp_patches_simplified")
+def _(c):
+    return _simplified_features(c)
+
+
+@query("q28_simplified_rings", """SELECT aoi, component_id, frp_years, CAST(n_rings AS INT) AS n_rings, true AS closed FROM frp_patches""", "frp_years")
+def _(c):
+    shape = F.from_json("feature", "properties struct<frp_years:double>, geometry struct<type:string,coordinates:array<array<array<double>>>>")
+    rings = F.col("f.geometry.coordinates")
+    closed = F.forall(rings, lambda r: (F.size(r) >= 4) & (r[0] == F.element_at(r, -1)))
+    return _simplified_features(c).withColumn("f", shape).select(
+        "aoi", "component_id", F.col("f.properties.frp_years").alias("frp_years"), F.size(rings).alias("n_rings"), closed.alias("closed"))
