@@ -149,6 +149,46 @@ def test_secrets_are_told_from_look_alikes(make_docs, prose):
     assert all(texts[r.doc_id][r.start : r.end] == r.secret for r in got) and sum(r.doc_id == 200 for r in got) == 2
 
 
+def test_held_out_findings_are_told_apart(make_docs, prose):
+    """Precision and recall on planted findings that the forest has not seen, each in a text of its own."""
+    rng, texts, labels = random.Random(77), [], {}
+    for i in range(120):
+        words = prose(1000 + i, 40).split()
+        for k, (phrase, label) in enumerate(secret_scan._planted(rng, words)):
+            doc = 1000 + 20 * i + k
+            texts.append((doc, " ".join([*words[:15], phrase, *words[15:30]]), None, None))
+            labels[doc] = (phrase, label)
+    docs = make_docs([(i, prose(i, 60), None, None) for i in range(300)])
+    transitions, dictionary = secret_scan.corpus_statistics(docs)
+    findings = secret_scan.labelled_findings(docs, transitions, dictionary)
+    got = [r for r in secret_scan.scan(make_docs(texts), findings).collect() if r.secret in labels[r.doc_id][0]]
+    hit = sum(r.is_secret and labels[r.doc_id][1] == 1.0 for r in got)
+    false = sum(r.is_secret and labels[r.doc_id][1] == 0.0 for r in got)
+    missed = sum(not r.is_secret and labels[r.doc_id][1] == 1.0 for r in got)
+    assert hit >= 120 * 6 and hit / (hit + false) >= 0.95 and hit / (hit + missed) >= 0.95
+    assert {labels[r.doc_id][1] for r in got if r.kind == "pem"} == {labels[r.doc_id][1] for r in got if r.kind == "jwt"} == {0.0, 1.0}
+
+
+def test_whole_values_and_neighbours_count(make_docs):
+    words = frozenset({"word"})
+    assert secret_scan.coverage("word" * 200 + "#" * 800, words) == 0.5
+    text = "the commit " + "y" * 500 + "/9f8a7b6c5d4e3f2a1b0c9d8e7f6a5b4c end"
+    around = secret_scan.Surroundings(text)
+    (found,) = [c for c in secret_scan.candidates(text) if c[2] == "plain"]
+    values = dict(zip(secret_scan.FEATURES, secret_scan.features(text, *found, np.zeros((28, 28)), words, around), strict=True))
+    assert values["near_harmless"] == 1.0 and values["near_secret"] == 0.0
+
+
+def test_private_keys_run_to_their_end(make_docs):
+    keys = [f"-----BEGIN RSA PRIVATE KEY-----\n{c * 64}\n-----END RSA PRIVATE KEY-----" for c in "ab"]
+    text = f"one {keys[0]} two {keys[1]} three -----BEGIN PRIVATE KEY----- cut"
+    assert [text[a:b] for a, b, kind in secret_scan.candidates(text) if kind == "pem"] == [*keys, "-----BEGIN PRIVATE KEY-----"]
+    got = secret_scan.find(make_docs([(1, text, None, None)]), np.zeros((28, 28)), frozenset()).collect()
+    assert len({r.secret for r in got if r.kind == "pem"}) == 3
+    long = secret_scan.find(make_docs([(1, "token=" + "Ab3" * 700_000, None, None)]), np.zeros((28, 28)), frozenset()).collect()
+    assert [len(r.secret) for r in long] == [2_100_000]
+
+
 def test_scan_with_given_findings_and_without_rows(spark, make_docs):
     none = spark.createDataFrame([], "features array<double>, label double")
     got = secret_scan.scan(make_docs([(1, "password=abcdef12", None, None)]), none).collect()

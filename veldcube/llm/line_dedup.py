@@ -66,7 +66,7 @@ def signatures(lines: DataFrame) -> DataFrame:
 
     def sign(norm: Column) -> Column:
         return F.struct(
-            F.xxhash64(norm).alias("h1"), F.xxhash64(norm, F.lit(1)).alias("h2"),
+            F.xxhash64(norm).alias("h1"), F.xxhash64(F.lit(1), norm).alias("h2"),
             let(shingles(norm), lambda hashes: F.struct(F.size(hashes).alias("n"), bands(hashes).alias("bands"))).alias("s"))
 
     signed = lines.select("row", "doc_id", "pos", let(normal(F.col("line")), sign).alias("x"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,12 +24,12 @@ SAMPLE_DOCUMENTS = 3_000
 DICTIONARY_WORDS = 20_000
 TREES, DEPTH, SEED = 40, 9, 20240609
 ACCEPTED = 0.5
-#: Characters before and after a candidate that its neighbours are taken from.
-AROUND = 80
+#: Words before and after a candidate that count as its neighbours.
+BEFORE, AFTER = 4, 3
 
 _SECRET_WORD = r"(?:key|token|secret|passw(?:or)?d|passwd|pwd|auth|credentials?)"
 CANDIDATE = re.compile(
-    r"(?P<pem>-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----)"
+    r"(?P<pem>-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----(?:(?:(?!-----BEGIN)[\s\S])*?-----END [A-Z ]{0,20}PRIVATE KEY-----)?)"
     r"|(?P<cloud>\b(?:AKIA|ASIA)[0-9A-Z]{16}\b)"
     r"|(?P<jwt>\beyJ[\w-]{8,}\.[\w-]{8,}\.[\w-]*)"
     r"|(?P<prefixed>\b(?:gh[pousr]|glpat|xox[abprs]|[sprk]k)[-_][A-Za-z0-9_-]{16,})"
@@ -90,7 +91,7 @@ def corpus_statistics(docs: DataFrame, text_col: str = "text") -> tuple[np.ndarr
 
 def coverage(value: str, dictionary: frozenset[str]) -> float:
     """Share of a value's characters that dictionary words cover, the longest taken first from the left."""
-    low, at, covered = value.lower()[:400], 0, 0
+    low, at, covered = value.lower(), 0, 0
     while at < len(low):
         n = next((n for n in range(min(12, len(low) - at), 2, -1) if low[at : at + n] in dictionary), 0)
         covered += n
@@ -98,21 +99,48 @@ def coverage(value: str, dictionary: frozenset[str]) -> float:
     return covered / max(1, len(low))
 
 
-def features(text: str, start: int, end: int, kind: str, transitions: np.ndarray, dictionary: frozenset[str]) -> list[float]:
-    value, before, after = text[start:end], text[max(0, start - AROUND) : start], text[end : end + AROUND]
+class Surroundings:
+    """Where a text's words and telling neighbours are, found once for all its candidates."""
+
+    def __init__(self, text: str):
+        words = [m.span() for m in re.finditer(r"\S+", text)]
+        self.starts, self.ends = [a for a, _ in words], [b for _, b in words]
+        spans = lambda pattern: [m.span() for m in pattern.finditer(text)]
+        self.secret, self.harmless, self.paths = spans(NEAR_SECRET), spans(NEAR_HARMLESS), spans(re.compile("://"))
+
+    def before(self, start: int) -> int:
+        """Where the words before a candidate begin; the part of its own word before it is one of them."""
+        k = bisect_left(self.starts, start)
+        return self.starts[max(0, k - BEFORE)] if k else start
+
+    def after(self, end: int) -> int:
+        k = bisect_right(self.ends, end)
+        return self.ends[min(k + AFTER, len(self.ends)) - 1] if k < len(self.ends) else end
+
+    def own_word(self, start: int) -> int:
+        k = bisect_left(self.starts, start)
+        return self.starts[k - 1] if k and self.ends[k - 1] > start else start
+
+    @staticmethod
+    def within(spans: list[tuple[int, int]], low: int, high: int) -> bool:
+        k = bisect_left(spans, (low, 0))
+        return k < len(spans) and spans[k][1] <= high
+
+
+def features(text: str, start: int, end: int, kind: str, transitions: np.ndarray, dictionary: frozenset[str], around: Surroundings) -> list[float]:
+    value, before, after = text[start:end], text[max(0, start - 1) : start], text[end : end + 1]
     counts, n = Counter(value), len(value)
     c = classes(value)
-    near = " ".join(before.split()[-4:]), " ".join(after.split()[:3])
-    both = f"{near[0]} {near[1]}"
-    word = before[-1:].strip() + after[:1].strip()
+    low, high = around.before(start), around.after(end)
+    word = before.strip() + after.strip()
     return [
         float(n), sum(x.isdigit() for x in value) / n, sum(x.isupper() for x in value) / n, len(counts) / n,
         -sum(k / n * math.log2(k / n) for k in counts.values()),
         float(transitions[c[:-1], c[1:]].mean()) if n > 1 else 0.0, coverage(value, dictionary),
         float(bool(HEX.fullmatch(value))), float(bool(UUID.fullmatch(value))), float(value.isdigit()),
-        float(value.count("/") + value.count("\\") + ("://" in before[-40:] + value)), float(bool(PLACEHOLDER.search(value))),
-        float(bool(NEAR_SECRET.search(near[0]))), float(bool(NEAR_HARMLESS.search(both))),
-        float(bool(word) and all(x in "\"'`" for x in word)), float(before[-1:] in ("", "\n") and after[:1] in ("", "\n")),
+        float(value.count("/") + value.count("\\") + (around.within(around.paths, around.own_word(start), end))), float(bool(PLACEHOLDER.search(value))),
+        float(around.within(around.secret, low, start)), float(around.within(around.harmless, low, start) or around.within(around.harmless, end, high)),
+        float(bool(word) and all(x in "\"'`" for x in word)), float(before in ("", "\n") and after in ("", "\n")),
         *(float(kind == k) for k in KINDS)]
 
 
@@ -122,7 +150,7 @@ def candidates(text: str) -> Iterator[tuple[int, int, str]]:
         yield match.start(kind), match.end(kind), kind
 
 
-_FINDING = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("secret", pa.string()), ("features", pa.list_(pa.float64()))])
+_FINDING = pa.schema([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string()), ("secret", pa.string()), ("features", pa.list_(pa.float64()))])
 
 
 def find(docs: DataFrame, transitions: np.ndarray, dictionary: frozenset[str], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -135,12 +163,15 @@ def find(docs: DataFrame, transitions: np.ndarray, dictionary: frozenset[str], i
             rows = []
             for doc, text in zip(batch.column(0), batch.column(1), strict=True):
                 text = text.as_py() or ""
-                for start, end, kind in candidates(text):
-                    rows.append((doc.as_py(), start, end, kind, text[start:end], features(text, start, end, kind, steps, words)))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else [[]] * 6, _FINDING.types, strict=True)], schema=_FINDING)
+                found = list(candidates(text))
+                around = Surroundings(text) if found else None
+                for start, end, kind in found:
+                    rows.append((doc.as_py(), start, end, kind, text[start:end], features(text, start, end, kind, steps, words, around)))
+            ids, *columns = zip(*rows, strict=True) if rows else [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.types[0]), *(pa.array(c, t) for c, t in zip(columns, _FINDING.types, strict=True))], ["doc_id", *_FINDING.names])
 
-    return docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(
-        run, "doc_id long, start long, end long, kind string, secret string, features array<double>")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, start long, end long, kind string, secret string, features array<double>")
 
 
 def _planted(rng: random.Random, words: list[str]) -> list[tuple[str, float]]:
@@ -153,12 +184,19 @@ def _planted(rng: random.Random, words: list[str]) -> list[tuple[str, float]]:
     some = [w.strip(".,") for w in words if len(w) > 3] or ["word"]
     long_word = "".join(rng.choice(some) for _ in range(4))
     uuid = "-".join(pick(hexa, n) for n in (8, 4, 4, 4, 12))
+    owner = rng.choice(["", "RSA ", "EC ", "OPENSSH "])
+    pem = lambda body: f"-----BEGIN {owner}PRIVATE KEY-----\n{body}\n-----END {owner}PRIVATE KEY-----"
+    blank = rng.choice(["<your key>", "...", "your-key-here", "xxxxxxxxxxxxxxxx", long_word, "EXAMPLE " + long_word])
     return [
         (f"{name}{joint}{pick(hexa, rng.choice([18, 24, 32, 40]))}{close}", 1.0),
         (f"{name}{joint}{pick(mixed, rng.randint(14, 44))}{close}", 1.0),
         (rng.choice(["AKIA", "ASIA"]) + pick(upper, 16), 1.0),
         (rng.choice(["ghp_", "xoxb-", "sk_"]) + pick(mixed, rng.randint(24, 40)), 1.0),
         (f"{rng.choice(['bearer', 'api', 'login'])} {pick(mixed, rng.randint(24, 44))}", 1.0),
+        (pem("\n".join(pick(mixed + "+/", 64) for _ in range(rng.randint(1, 6)))), 1.0),
+        (f"eyJ{pick(mixed, rng.randint(16, 60))}.eyJ{pick(mixed, rng.randint(20, 90))}.{pick(mixed + '-_', 43)}", 1.0),
+        (pem(blank), 0.0),
+        (f"eyJ{long_word}.{long_word}.{rng.choice(some)}", 0.0),
         (f"{rng.choice(['commit', 'sha1', 'checksum', 'md5', 'rev'])} {pick(hexa, rng.choice([32, 40]))}", 0.0),
         (f"{rng.choice(['id', 'uuid', 'order', 'serial'])} {rng.choice([uuid, pick('0123456789', 16)])}", 0.0),
         (f"{name}{joint}{rng.choice(['changeme', 'your-' + name, 'example123', '********', '${SECRET}', 'xxxxxxxx'])}{close}", 0.0),
@@ -189,9 +227,10 @@ def labelled_findings(docs: DataFrame, transitions: np.ndarray, dictionary: froz
                     left, right = " ".join(words[max(0, at - 8) : at]), " ".join(words[at : at + 8])
                     context = f"{left} {phrase} {right}"
                     inside = (len(left) + 1, len(left) + 1 + len(phrase))
+                    around = Surroundings(context)
                     for start, end, kind in candidates(context):
                         if inside[0] <= start and end <= inside[1]:
-                            found.append(features(context, start, end, kind, steps, known))
+                            found.append(features(context, start, end, kind, steps, known, around))
                             labels.append(label)
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.float64())), pa.array(labels, pa.float64())], ["features", "label"])
 
