@@ -149,6 +149,13 @@ def test_secrets_are_told_from_look_alikes(make_docs, prose):
     assert all(texts[r.doc_id][r.start : r.end] == r.secret for r in got) and sum(r.doc_id == 200 for r in got) == 2
 
 
+def test_most_frequent_words(spark):
+    counted = spark.createDataFrame([(f"w{k}", n) for k, n in enumerate([100, 90, 50, 50, 7, 7, 7, 1])], "word string, n long")
+    taken = lambda limit: sorted(r.n for r in bpe.most_frequent(counted, limit).collect())
+    assert taken(100) == [1, 7, 7, 7, 50, 50, 90, 100] and taken(6) == [50, 50, 90, 100] and taken(3) == [90, 100] and taken(0) == []
+    assert bpe.most_frequent(counted.limit(0), 5).count() == 0
+
+
 def test_held_out_findings_are_told_apart(make_docs, prose):
     """Precision and recall on planted findings that the forest has not seen, each in a text of its own."""
     rng, texts, labels = random.Random(77), [], {}

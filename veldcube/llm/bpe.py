@@ -25,7 +25,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veldcube.llm.common import shared_path
+from veldcube.llm.common import shared_path, stored
 
 #: Words that the lexicon holds at most; all others are merged, with the same result.
 LEXICON_WORDS = 60_000
@@ -245,6 +245,19 @@ def word_counts(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text")
     return docs.select(text_col).mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def most_frequent(counted: DataFrame, limit: int) -> DataFrame:
+    """The rows of the highest counts (column n), `limit` at most. Counts are told apart to a sixteenth of a
+    doubling; of the rows of one such level all are taken or none, so the tasks hand on what is taken only."""
+    level = F.floor(F.log2("n") * 16)
+    lowest, taken = None, 0
+    for at, size in sorted(((r["level"], r["size"]) for r in counted.groupBy(level.alias("level")).agg(F.count("*").alias("size")).collect()), reverse=True):
+        taken += size
+        if taken > limit:
+            break
+        lowest = at
+    return counted.filter(level >= lowest if lowest is not None else F.lit(False))
+
+
 def publish(spark: SparkSession, content: bytes) -> str:
     """Put a file into the shared folder and have every executor fetch it; returns its name."""
     name = f"lexicon-{uuid.uuid4().hex}"
@@ -261,7 +274,8 @@ def publish(spark: SparkSession, content: bytes) -> str:
 def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", words: int = LEXICON_WORDS) -> str:
     """Compile the most frequent words of all documents and publish the file. The driver sees the
     chosen words only."""
-    top = word_counts(docs, vocabulary, text_col).orderBy(F.desc("n"), "word").limit(words).select("word").collect()
+    counted = stored(word_counts(docs, vocabulary, text_col), "words")
+    top = most_frequent(counted, words).select("word").collect()
     chosen = {w: vocabulary.merge(w) for w in (r["word"].encode() for r in top)}
     return publish(docs.sparkSession, compile_lexicon(chosen))
 
