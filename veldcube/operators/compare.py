@@ -22,7 +22,8 @@ def compare_cells(new: DataFrame, old: DataFrame, group: list[str], cell: list[s
     """
     key = [*group, *cell]
     both = new.select(*key, F.col("value").alias("a")).join(old.select(*key, F.col("value").alias("b")), key, "full")
-    both = both.withColumn("d", F.abs(F.col("a") - F.col("b")))
+    # Stored: the statistics and the median each read it.
+    both = cut_lineage(both.withColumn("d", F.abs(F.col("a") - F.col("b"))))
     stats = []
     for side, c in (("new", "a"), ("old", "b")):
         stats += [

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from veldcube.functions import fixed
 from veldcube.functions.columns import normalized_difference, scale_ndvi, scl_visible
-from veldcube.operators.order_stats import exact_median
 
 CELL = ["aoi", "sensor", "resolution", "row_idx", "col_idx"]
 CELL_MONTH = ["aoi", "sensor", "resolution", "year", "month", "row_idx", "col_idx"]
@@ -52,14 +51,20 @@ def visible_ndvi(obs: DataFrame, legacy: bool = False) -> DataFrame:
     return with_ndvi(seen).withColumn("value", F.when(visible, F.col("ndvi")))
 
 
+def scene_median(seen: DataFrame) -> DataFrame:
+    """Median of a cell's scenes of a month. The calendar bounds how many there are, so one combinable aggregate
+    does; medians of areas or of all cells, which nothing bounds, are those of `order_stats`."""
+    return seen.groupBy(*CELL_MONTH).agg(F.median("value").alias("value"))
+
+
 def monthly_median_composite(obs: DataFrame, legacy_mask: bool = False) -> DataFrame:
-    return exact_median(visible_ndvi(obs, legacy_mask), CELL_MONTH, "value", "value")
+    return scene_median(visible_ndvi(obs, legacy_mask))
 
 
 def modis_median_composite(obs: DataFrame) -> DataFrame:
     scaled = with_scaled_ndvi(obs)
     good = F.col("summary_qa") <= fixed.MAX_SUMMARY_QA
-    return exact_median(scaled.withColumn("value", F.when(good, F.col("ndvi"))), CELL_MONTH, "value", "value")
+    return scene_median(scaled.withColumn("value", F.when(good, F.col("ndvi"))))
 
 
 def monthly_mosaic_composite(obs: DataFrame, legacy_mask: bool = True) -> DataFrame:

@@ -9,13 +9,17 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from veldcube.functions import fixed
 from veldcube.functions.columns import edge_area_term
-from veldcube.functions.session import broadcast_if_small
+from veldcube.functions.session import broadcast_if_small, spread
 
+#: Side in cells of the square blocks that grids are worked on in.
+BLOCK = 256
 SPAN = ["aoi", "resolution", "layer", "polygon_id", "row_idx"]
 RING = ["aoi", "layer", "polygon_id", "ring_id"]
 
@@ -149,9 +153,11 @@ def align_nearest(source: DataFrame, source_grid: DataFrame, target_grid: DataFr
     `source` has aoi, resolution, row_idx, col_idx, value.
     """
     t = target_grid
-    target = t.select(
-        "aoi", "resolution", "west", "north", "dx", "dy", F.explode(F.sequence(F.lit(0), F.col("n_rows") - 1)).alias("row_idx"), "n_cols"
-    ).select("*", F.explode(F.sequence(F.lit(0), F.col("n_cols") - 1)).alias("col_idx")).select(
+    # Blocks of the target grid are dealt out before their cells are made, so no task makes a whole grid.
+    steps = lambda n: F.explode(F.sequence(F.lit(0), F.floor((F.col(n) - 1) / BLOCK).cast("int")))
+    within = lambda b, n: F.explode(F.sequence(F.col(b) * BLOCK, F.least(F.col(b) * BLOCK + (BLOCK - 1), F.col(n) - 1)))
+    blocks = spread(t.withColumn("br", steps("n_rows")).withColumn("bc", steps("n_cols")), "aoi", "resolution", "br", "bc")
+    target = blocks.withColumn("row_idx", within("br", "n_rows")).withColumn("col_idx", within("bc", "n_cols")).select(
         "aoi", "resolution", "row_idx", "col_idx",
         (F.col("west") + (F.col("col_idx") + 0.5) * F.col("dx")).alias("x"),
         (F.col("north") + (F.col("row_idx") + 0.5) * F.col("dy")).alias("y"),
@@ -199,21 +205,34 @@ def compare_grids(a: DataFrame, b: DataFrame) -> DataFrame:
     )
 
 
-def erode(cells: DataFrame, keys: list[str], iterations: int = 2) -> DataFrame:
+def erode(cells: DataFrame, keys: list[str], iterations: int = 2, block: int = BLOCK) -> DataFrame:
     """Flag cells that survive `iterations` erosions with four neighbours; the outside counts as absent.
 
-    Repeated erosion equals one with a diamond of that radius, so one shuffle is enough: each cell
-    votes for the diamond around it and a cell survives when all its voters exist.
+    Cells meet in square blocks; those within `iterations` of a border go to the block behind it as well, which
+    is about one shuffled row per cell. A block of any density is one small array. Repeated cells count once.
     """
-    span = range(-iterations, iterations + 1)
-    offsets = [(i, j) for i in span for j in span if abs(i) + abs(j) <= iterations]
-    votes = cells.select(*keys, "row_idx", "col_idx").distinct().select(
-        *keys, "row_idx", "col_idx",
-        F.explode(F.array(*[F.struct(F.lit(i).alias("di"), F.lit(j).alias("dj")) for i, j in offsets])).alias("o"),
-    )
-    return votes.groupBy(
-        *keys, (F.col("row_idx") + F.col("o.di")).alias("row_idx"), (F.col("col_idx") + F.col("o.dj")).alias("col_idx")
-    ).agg(
-        F.count(F.lit(1)).alias("votes"),
-        F.max((F.col("o.di") == 0) & (F.col("o.dj") == 0)).alias("present"),
-    ).where("present").select(*keys, "row_idx", "col_idx", (F.col("votes") == len(offsets)).alias("interior"))
+    reach = lambda c: F.explode(F.sequence(F.floor((F.col(c) - iterations) / block), F.floor((F.col(c) + iterations) / block)))
+    boxed = cells.select(*keys, "row_idx", "col_idx").withColumn("br", reach("row_idx")).withColumn("bc", reach("col_idx"))
+    side = block + 2 * iterations
+
+    def survive(rows: pa.Table) -> pa.Table:
+        br, bc = rows.column("br")[0].as_py(), rows.column("bc")[0].as_py()
+        r = rows.column("row_idx").to_numpy() - br * block + iterations
+        c = rows.column("col_idx").to_numpy() - bc * block + iterations
+        there = np.zeros((side, side), bool)
+        there[r, c] = True
+        left = there
+        for _ in range(iterations):
+            wide = np.pad(left, 1)
+            left = left & wide[:-2, 1:-1] & wide[2:, 1:-1] & wide[1:-1, :-2] & wide[1:-1, 2:]
+        own = slice(iterations, iterations + block)
+        at = np.nonzero(there[own, own])
+        same = rows.slice(0, 1).select(keys).take(pa.array(np.zeros(len(at[0]), np.int64)))
+        inside = left[own, own][at]
+        for name, values in (("row_idx", at[0] + br * block), ("col_idx", at[1] + bc * block)):
+            same = same.append_column(name, pa.array(values, rows.schema.field(name).type))
+        return same.append_column("interior", pa.array(inside))
+
+    kinds = dict(cells.dtypes)
+    schema = ", ".join([*(f"{c} {kinds[c]}" for c in (*keys, "row_idx", "col_idx")), "interior boolean"])
+    return spread(boxed, *keys, "br", "bc").groupBy(*keys, "br", "bc").applyInArrow(survive, schema)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from veldcube.functions import fixed
 from veldcube.functions.columns import cell_area_nominal, month_number
+from veldcube.functions.session import cut_lineage
 from veldcube.operators.monthly import SERIES
 
 MONTH = [*SERIES, "year", "month"]
@@ -131,10 +132,11 @@ def compact_grid(cells: DataFrame, grid: DataFrame, value: str = "value") -> Dat
     columns, the values by column (4 decimals, NULL where missing) and the row's valid count. A record
     holds one grid row, so a large area never has to fit one task."""
     key = [*MONTH, "row_idx"]
-    seen = cells.groupBy(*key).agg(
+    # Stored, since its months make the spine that it is joined to.
+    seen = cut_lineage(cells.groupBy(*key).agg(
         F.map_from_entries(F.collect_list(F.struct("col_idx", F.bround(value, 4)))).alias("m"),
         F.count(value).cast("int").alias("n_valid"),
-    )
+    ))
     months = seen.select(*MONTH).distinct()
     spine = months.join(grid, ["aoi", "resolution"]).withColumn("row_idx", F.explode(F.sequence(F.lit(0), F.col("n_rows") - 1)))
     placed = spine.join(seen, key, "left").withColumn("m", F.coalesce("m", F.expr("map_from_arrays(array(), array())").cast("map<int,double>")))
