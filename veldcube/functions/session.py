@@ -30,8 +30,9 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast `df` only after counting that it is small; otherwise leave a shuffle join."""
-    if df.limit(max_rows + 1).count() <= max_rows:
+    """Broadcast `df` only after counting that it is small; otherwise leave a shuffle join. The count is added up
+    from the tasks, no rows are brought together for it."""
+    if df.count() <= max_rows:
         return F.broadcast(df)
     return df
 
