@@ -1,6 +1,7 @@
 import hashlib
 import itertools
 import random
+import time
 
 import numpy as np
 import pytest
@@ -177,3 +178,23 @@ def test_link_lists_inside_an_article_go_and_linked_headings_stay():
     page = f"<article><h1><a href=/>The title</a></h1><p>{P400}</p><div><ul>{links}</ul></div></article>"
     assert html_text.main_text(page) == f"The title\n\n{P400}"
     assert html_text.main_text("<article><p><a href=/>All of it</a></p></article>") == "All of it"
+
+
+def test_words_in_other_values_and_wrappers_are_no_noise():
+    long = "A sentence of the article, long enough to count. " * 3
+    assert html_text.main_text(f'<body><div class="layout has-sidebar"><h1>Head</h1><p>{long}</p><div class="sidebar"><p>Side.</p></div></div></body>') == f"Head\n\n{long.strip()}"
+    assert html_text.main_text(f'<body><div class="sidebar-layout"><p>{long}</p><nav><a href="/">Home</a></nav></div></body>') == long.strip()
+    assert html_text.main_text('<body><div class="menu"><p>One.</p><p>Two.</p></div></body>') == ""
+    article = lambda inner: html_text.main_text(f"<body><article><p>{long}</p>{inner}</article></body>")
+    assert article('<p title="the hidden truth">Stays.</p>').endswith("Stays.")
+    assert article('<p>See <a href="view?id=comment-12">the first report</a> there.</p>').endswith("See the first report there.")
+    assert article('<p>See <a href="/hidden/gems">gems</a> there.</p>').endswith("See gems there.")
+    assert article('<section class="related-work"><p>Others did this before.</p></section>').endswith("before.")
+    assert "Gone" not in article('<div class="related-posts"><p>Gone.</p></div><div hidden><p>Gone.</p></div><div aria-hidden=true><p>Gone</p></div>')
+
+
+def test_deep_nesting_takes_no_time():
+    start = time.time()
+    deep = "<div>" * 20_000
+    assert html_text.main_text(f"<body>{deep}<p>Down here, a sentence.</p><p>And another one.</p>") == "Down here, a sentence.\n\nAnd another one."
+    assert time.time() - start < 5
