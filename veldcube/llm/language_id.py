@@ -13,6 +13,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from veldcube.functions.session import broadcast_if_small
+
 #: Families of languages; a language that is not listed is a family of its own.
 FAMILIES = {
     "germanic": ("de", "en", "nl", "sv", "da", "no", "is"),
@@ -156,7 +158,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("string"), F.lit(11)).alias("h"))
     counts = docs.filter(~held_out(id_col) & F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).alias("of")).agg(F.count("*").alias("n"))
     share = F.shiftrightunsigned("h", 11).cast("double") / float(1 << 53)
-    thinned = usable.join(F.broadcast(counts), F.col("lang") == F.col("of")).filter(share < F.lit(3.0 * per_language) / F.col("n"))
+    thinned = usable.join(broadcast_if_small(counts), F.col("lang") == F.col("of")).filter(share < F.lit(3.0 * per_language) / F.col("n"))
     ranked = thinned.withColumn("at", F.row_number().over(W.partitionBy("lang").orderBy("h", "text"))).filter(F.col("at") <= per_language)
     rows = ranked.select("lang", "text").orderBy("lang", "h").collect()
     return Model([r["text"] for r in rows], [r["lang"] for r in rows])
