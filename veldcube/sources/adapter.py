@@ -55,17 +55,17 @@ def order_aois(spark: SparkSession, sf_dir: str, rows: dict[str, int]) -> DataFr
     return small(placed, "orders")
 
 
-def strip_cell(key: Column, part: Column) -> tuple[Column, Column]:
+def strip_cell(key: Column, part: Column, step: int = STRIP_STEP) -> tuple[Column, Column]:
     """Row and column of an order line on the strip grid."""
     strip = F.floor(key / 64)
-    return strip % STRIP_ROWS, part % STRIP_COLS + F.lit(STRIP_STEP) * F.floor(strip / STRIP_ROWS)
+    return strip % STRIP_ROWS, part % STRIP_COLS + F.lit(step) * F.floor(strip / STRIP_ROWS)
 
 
-def strip_grid(grid: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+def strip_grid(grid: DataFrame, keys: DataFrame, key: str, step: int = STRIP_STEP) -> DataFrame:
     """The strip grid with as many columns as the largest `key` needs; they get narrower rather than
     leave the six degrees of a zone."""
     last = keys.agg(F.coalesce(F.max(key), F.lit(0)).alias("last"))
-    wide = F.floor(F.floor(F.col("last") / 64) / STRIP_ROWS).cast("int") * STRIP_STEP + STRIP_COLS
+    wide = F.floor(F.floor(F.col("last") / 64) / STRIP_ROWS).cast("int") * step + STRIP_COLS
     return grid.crossJoin(F.broadcast(last)).withColumn("n_cols", wide).withColumn(
         "dx", F.least(F.col("dx"), F.lit(6.0) / F.col("n_cols"))
     ).drop("last")
@@ -79,13 +79,14 @@ def scene_obs(
     sensor: str = "sentinel2",
     resolution: int = 500,
 ) -> DataFrame:
-    """The adapter view. `block` is an 8 x 8 grid per area; `strip` has rows that grow with the data."""
+    """The adapter view. `block` is an 8 x 8 grid per area; `strip` has rows that grow with the data, its strips side by side
+    without an empty column, as in the SQL."""
     line = read_table(spark, sf_dir, "lineitem")
     key, part = F.col("l_orderkey"), F.col("l_partkey")
     if grid == "block":
         row, col = key % 8, part % 8
     else:
-        row, col = strip_cell(key, part)
+        row, col = strip_cell(key, part, STRIP_COLS)
     day = F.dayofyear("l_shipdate")
     supp, number = F.col("l_suppkey"), F.col("l_linenumber")
     burned = (F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.08)
