@@ -105,3 +105,23 @@ def test_written_parts_are_collections(spark, folder):
     assert len(files) == 6 and sum(len(d["features"]) for d in docs) == 40
     back = collections.read_collections(spark, folder).collect()
     assert {(r.properties["id"], r.layer) for r in back} == {(f"id {k}", "Crops" if f"id {k}" < "id 2" else "Water") for k in range(40)} and len(back) == 320
+
+
+def test_files_stay_whole_when_partitions_are_merged(spark, tmp_path):
+    """Small partitions are merged by adaptive execution; a file's head, features and tail stay together."""
+    names = ("spark.sql.adaptive.coalescePartitions.parallelismFirst", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(n) for n in names]
+    try:
+        spark.conf.set(names[0], "false")
+        spark.conf.set(names[1], "20000")
+        box = "[[[26.0,-14.0],[26.1,-14.0],[26.1,-14.1],[26.0,-14.0]]]"
+        text = F.concat(F.lit('{"type":"Feature","properties":{"n":'), F.col("id").cast("string"),
+                        F.lit(f'}},"geometry":{{"type":"Polygon","coordinates":{box}}}}}'))
+        rows = spark.range(4000).select("id", F.concat(F.lit("A"), F.col("id") % 5).alias("area"), text.alias("feature")).repartition(4, "id")
+        collections.write_collections(rows, f"{tmp_path}/c", F.concat_ws("_", "area", F.lit("Crops_2023.geojson")), parts=4)
+    finally:
+        for n, v in zip(names, before):
+            spark.conf.set(n, v)
+    for file in tmp_path.glob("c/*/*/*.txt"):
+        assert json.loads(file.read_text())["type"] == "FeatureCollection"
+    assert collections.read_collections(spark, f"{tmp_path}/c").count() == 16_000

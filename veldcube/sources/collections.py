@@ -8,8 +8,6 @@ between two places where the depth comes back to that of the features array.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -129,12 +127,12 @@ def write_collections(features: DataFrame, path: str, name: Column, parts: int =
     system = f'"crs":{{"type":"name","properties":{{"name":"urn:ogc:def:crs:EPSG::{epsg}"}}}},' if epsg else ""
     rows = features.select(name.alias("layer"), F.pmod(F.xxhash64("feature"), F.lit(parts)).cast("int").alias("slot"), "feature")
     first = F.row_number().over(Window.partitionBy("layer", "slot").orderBy("feature")) == 1
-    lines = rows.select("layer", "slot", F.lit(1).alias("place"), F.concat(F.when(first, "").otherwise(","), "feature").alias("value"))
-    files = rows.select("layer", "slot").distinct()
-    edges = [files.select("layer", "slot", F.lit(place).alias("place"), F.lit(text).alias("value"))
-             for place, text in ((0, f'{{"type":"FeatureCollection",{system}"features":['), (2, "]}"))]
-    whole = reduce(DataFrame.unionByName, edges, lines)
-    # The line without a comma is the least one, so sorting by (place, comma) keeps it first.
-    comma = F.col("value").startswith(",")
-    ordered = whole.repartition("layer", "slot").sortWithinPartitions("layer", "slot", "place", comma, "value")
+    # Head and tail come with a file's first feature: a union of lines and edges reports the partitioning of its sides, and
+    # adaptive execution then merges the partitions of each side in its own way, which tears the files apart.
+    line = lambda place, text: F.struct(F.lit(place).alias("place"), text.alias("value"))
+    head, tail = F.lit(f'{{"type":"FeatureCollection",{system}"features":['), F.lit("]}")
+    lines = F.when(first, F.array(line(0, head), line(1, F.col("feature")), line(3, tail))).otherwise(
+        F.array(line(2, F.concat(F.lit(","), "feature"))))
+    whole = rows.withColumn("lines", lines).select("layer", "slot", F.inline("lines"))
+    ordered = whole.repartition("layer", "slot").sortWithinPartitions("layer", "slot", "place", "value")
     ordered.select("layer", "slot", "value").write.mode("overwrite").partitionBy("layer", "slot").text(path)
