@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,3 +154,27 @@ def test_feature_lines(spark):
     outer, hole = f["geometry"]["coordinates"]
     assert f["properties"]["frp_years"] == 1.0
     assert outer[0] == outer[-1] == [26.0, -14.0] and len(outer) == 5 and len(hole) == 5
+
+
+def test_many_rings_in_lockstep_keep_what_each_keeps_alone():
+    rng = np.random.default_rng(7)
+    for closed in (True, False):
+        rings = []
+        for n in [2, 3, 4, 5, *rng.integers(2, 60, 200)]:
+            points = rng.integers(0, 6, (n, 2)) * 30.0
+            if closed:
+                points[-1] = points[0]
+            rings.append(points)
+        starts = np.cumsum([0, *[len(r) for r in rings[:-1]]])
+        whole = np.concatenate(rings)
+        mask = patches._keep_masks(starts, whole[:, 0], whole[:, 1], 50.0, closed)
+        alone = [patches._keep_masks(np.array([0]), r[:, 0], r[:, 1], 50.0, closed) for r in rings]
+        assert (mask == np.concatenate(alone)).all()
+
+
+def test_short_rings_share_tasks(spark):
+    """Groups of Python work follow the vertices, not the number of rings."""
+    rows = spark.range(400).selectExpr("id DIV 4 AS ring", "id % 4 AS seq", "CAST(id % 4 AS DOUBLE) * 100 AS x", "0D AS y")
+    out = patches.simplify_rings(rows, ["ring"], 50.0, closed=False)
+    assert sorted(out.collect()) == sorted(rows.where("seq IN (0, 3)").collect())
+    assert "_bucket" in out._jdf.queryExecution().toString()
