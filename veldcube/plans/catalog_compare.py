@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from veldcube.operators import compare, spatial
+from veldcube.operators import compare, monthly, spatial
 from veldcube.plans.registry import query
 
 S = "aoi, sensor, resolution"
@@ -16,7 +16,7 @@ COUNTS = "count(*) FILTER (member = 'overlap') AS n_overlap, count(*) FILTER (me
 
 
 def _v1(c):
-    return compare.compare_cells(c.cells, c.old_cells, MONTH, AT)
+    return compare.compare_cells(*c.new_and_old_cells, MONTH, AT)
 
 
 @query("v1_compare_cells", "v1", "mean_new std_new min_new max_new mean_old std_old min_old max_old correlation mean_abs_diff "
@@ -31,7 +31,7 @@ corr(a, b) FILTER (d IS NOT NULL) AS correlation, avg(d) AS mean_abs_diff, 100.0
 100.0::DOUBLE * count(*) FILTER (d > 0.10) / count(d) AS pct_diff_gt_010, median(d) AS median_abs_diff FROM cell_pairs GROUP BY {S}""",
        "mean_new std_new min_new max_new mean_old std_old min_old max_old correlation mean_abs_diff median_abs_diff pct_diff_gt_005 pct_diff_gt_010")
 def _(c):
-    return compare.compare_cells(c.cells, c.old_cells, KEY, ["year", "month", *AT])
+    return compare.compare_cells(*c.new_and_old_cells, KEY, ["year", "month", *AT])
 
 
 @query("v2_compare_burned", f"""SELECT *, n_burned_new * pixel_area_km2 AS burned_new_km2, n_burned_old * pixel_area_km2 AS burned_old_km2 FROM (
@@ -119,13 +119,13 @@ def _(c):
 WHEN distance >= 3 THEN 3 WHEN distance >= 2 THEN 2 WHEN distance >= 1 THEN 1 ELSE 0 END AS bin_from, count(*) AS n_cells
 FROM distances WHERE member = 'only_new' GROUP BY ALL""")
 def _(c):
-    return compare.distance_histogram(compare.distance_groups(c.strip_pairs, ["aoi"]), ["aoi"])
+    return compare.distance_histogram(compare.distance_groups(c.stored_strip_pairs, ["aoi"]), ["aoi"])
 
 
 @query("v11_distance_stats", """SELECT aoi, member, count(*) AS n_cells, avg(distance) AS mean_distance, median(distance) AS median_distance,
 max(distance) AS max_distance FROM distances GROUP BY ALL""", "mean_distance median_distance max_distance")
 def _(c):
-    return compare.distance_stats(compare.distance_groups(c.strip_pairs, ["aoi"]), ["aoi"])
+    return compare.distance_stats(compare.distance_groups(c.stored_strip_pairs, ["aoi"]), ["aoi"])
 
 
 @query("v12_qa_stratify", f"""SELECT aoi, burn_qa, count(*) AS n_burned, {COUNTS},
@@ -146,7 +146,7 @@ SELECT a.aoi, a.row_idx, a.col_idx, count(*) AS votes FROM strip_new a JOIN stri
 ON a.aoi = b.aoi AND abs(a.row_idx - b.row_idx) + abs(a.col_idx - b.col_idx) <= 2 GROUP BY ALL)
 JOIN (SELECT aoi, row_idx, col_idx FROM strip_pairs WHERE member = 'only_new') USING (aoi, row_idx, col_idx) GROUP BY ALL""")
 def _(c):
-    return compare.edge_effect(c.strip_pairs, c.strip_new, ["aoi"])
+    return compare.edge_effect(c.stored_strip_pairs, c.stored_strip_pairs, ["aoi"])
 
 
 @query("v15_inside_outside", """SELECT *, n_cells - n_inside AS n_outside, 100.0::DOUBLE * n_inside / n_cells AS pct_inside,
@@ -175,8 +175,9 @@ SELECT sensor, aoi, new_mean, ref_mean, new_mean - ref_mean AS shift FROM (SELEC
 JOIN (SELECT sensor, aoi, avg(value) AS ref_mean FROM old_cells GROUP BY ALL) USING (sensor, aoi)) WINDOW w AS (PARTITION BY sensor))""",
        "new_mean ref_mean shift")
 def _(c):
-    reference = c.old_cells.groupBy("sensor", "aoi").agg(F.avg("value").alias("ref_mean"))
-    return compare.mean_shift(c.cells, reference, ["aoi"], ["sensor"])
+    new, old = c.new_and_old_cells
+    reference = old.groupBy("sensor", "aoi").agg(F.avg("value").alias("ref_mean"))
+    return compare.mean_shift(new, reference, ["aoi"], ["sensor"])
 
 
 # Expected agreement of the registered check.
@@ -189,7 +190,7 @@ coalesce(correlation >= 0.9, false) AS spot_ok FROM (SELECT {S}, year, month, 0.
 LEFT JOIN v1 USING ({S}, year, month)""", "exp_corr exp_mad correlation mean_abs_diff")
 def _(c):
     corr, mad = EXPECTED
-    expected = c.monthly.select(*MONTH, F.lit(corr).alias("exp_corr"), F.lit(mad).alias("exp_mad"))
+    expected = monthly.ndvi_monthly(c.new_and_old_cells[0]).select(*MONTH, F.lit(corr).alias("exp_corr"), F.lit(mad).alias("exp_mad"))
     return compare.regression_baselines(_v1(c), expected, MONTH)
 
 
@@ -198,7 +199,7 @@ SELECT aoi, row_idx, col_idx, row_number() OVER (PARTITION BY aoi ORDER BY row_i
 JOIN (SELECT aoi, i.range AS i, CAST(floor(i.range * ((n - 1) / (least(8, n) - 1))) AS BIGINT) AS rk FROM (
 SELECT aoi, count(*) AS n FROM strip_pairs WHERE member = 'only_new' GROUP BY ALL) CROSS JOIN range(8) i) USING (aoi, rk)""")
 def _(c):
-    return compare.sample_spaced(c.strip_pairs.where(compare.membership() == "only_new"), ["aoi"], 8)
+    return compare.sample_spaced(c.stored_strip_pairs.where(compare.membership() == "only_new"), ["aoi"], 8)
 
 
 @query("v19_sample_seeded", """SELECT aoi, row_idx, col_idx, member FROM (SELECT *, row_number() OVER (PARTITION BY aoi, member

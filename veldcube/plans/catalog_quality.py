@@ -14,19 +14,9 @@ KEY = ["aoi", "sensor", "resolution"]
 MONTH = [*KEY, "year", "month"]
 
 
-def _tables(c):
-    """All monthly products, each composite being worked out once."""
-    cells, burns = c.stored_cells, c.stored_burns
-    by_class = monthly.ndvi_monthly_by_class(cells, dims.land_cover_cells(c.spark), dims.aoi_classes(c.spark))
-    return {
-        "ndvi_monthly": monthly.ndvi_monthly(cells), "ndvi_monthly_by_class": by_class, "ba_monthly": monthly.ba_monthly(burns, c.grid),
-        "ba_daily": monthly.ba_daily(burns), "ndvi_anomaly_monthly": monthly.ndvi_anomaly_monthly(by_class, monthly.class_baselines(by_class)),
-    }
-
-
-def _whole_years(c):
+def _whole_years(months):
     """Every month from January of the first to December of the last year of each series."""
-    ranges = c.stored_monthly.groupBy(*KEY).agg(
+    ranges = months.groupBy(*KEY).agg(
         F.make_date(F.min("year"), F.lit(1), F.lit(1)).alias("start"), F.make_date(F.max("year"), F.lit(12), F.lit(1)).alias("end")
     )
     return incremental.month_spine(ranges)
@@ -34,41 +24,43 @@ def _whole_years(c):
 
 @query("k2_check_new_months", f"""SELECT {SY}, 'new_month_present' AS "check", 'fail' AS severity FROM month_ends ANTI JOIN a1 USING ({SY})""")
 def _(c):
-    return quality.check_new_months(_whole_years(c), c.stored_monthly)
+    return quality.check_new_months(_whole_years(c.stored_monthly), c.stored_monthly)
 
 
 @query("k2_check_new_months_by_class", f"""SELECT {SY}, 'new_month_present' AS "check", 'warn' AS severity FROM month_ends ANTI JOIN a7 USING ({SY})""")
 def _(c):
-    return quality.check_new_months(_whole_years(c), c.by_class, "warn")
+    by_class = monthly.ndvi_monthly_by_class(c.stored_cells, dims.land_cover_cells(c.spark), dims.aoi_classes(c.spark))
+    return quality.check_new_months(_whole_years(monthly.ndvi_monthly(c.stored_cells)), by_class, "warn")
 
 
 @query("k3_check_ranges", """SELECT table_name, metric, lowest, highest, coalesce(lowest < low, false) AS below, coalesce(highest > high, false) AS above,
 CASE WHEN coalesce(lowest < low, false) OR coalesce(highest > high, false) THEN 'fail' ELSE 'ok' END AS severity FROM metric_rows""", "lowest highest")
 def _(c):
-    return quality.check_ranges(quality.metric_summaries(_tables(c)))
+    return quality.check_ranges(quality.metric_summaries(c.products))
 
 
 @query("k4_check_all_null", """SELECT table_name, metric, n_rows, n_values, CASE WHEN n_values = 0 AND metric <> 'n_valid_px' THEN 'warn' ELSE 'ok' END AS severity
 FROM metric_rows""")
 def _(c):
-    return quality.check_all_null(quality.metric_summaries(_tables(c)))
+    return quality.check_all_null(quality.metric_summaries(c.products))
 
 
-def _snapshot(c):
+def _snapshot(old_cells):
     """Snapshot of the monthly table as the older composites give it."""
-    return quality.snapshot(monthly.ndvi_monthly(c.old_cells), "ndvi_monthly", MONTH, ["mean_ndvi", "n_valid_px"])
+    return quality.snapshot(monthly.ndvi_monthly(old_cells), "ndvi_monthly", MONTH, ["mean_ndvi", "n_valid_px"])
 
 
 @query("k5_snapshot", "snap", "value")
 def _(c):
-    return _snapshot(c)
+    return _snapshot(c.old_cells)
 
 
 @query("k6_check_regression", """SELECT table_name, row_key, metric, value AS expected, actual, CASE WHEN abs(actual - value) > 0.001 THEN 'fail' ELSE 'ok' END AS severity
 FROM snap JOIN (SELECT concat_ws('|', aoi, sensor, resolution, year, month) AS row_key, unnest(['mean_ndvi']) AS metric,
 unnest([mean_ndvi]) AS actual FROM a1) USING (row_key, metric) WHERE value IS NOT NULL AND actual IS NOT NULL""", "expected actual")
 def _(c):
-    return quality.check_regression(_snapshot(c), c.monthly, MONTH, ["mean_ndvi", "n_valid_px"])
+    new, old = c.new_and_old_cells
+    return quality.check_regression(_snapshot(old), monthly.ndvi_monthly(new), MONTH, ["mean_ndvi", "n_valid_px"])
 
 
 @query("k7_check_tiles", f"""SELECT {SY}, 100.0::DOUBLE * n_valid / 64 AS pct_valid,
@@ -101,21 +93,22 @@ WHEN m.mean_ndvi IS NULL THEN 'no valid cells' WHEN m.mean_ndvi < -0.2 OR m.mean
 WHEN abs(m.mean_ndvi - o.mean_ndvi) > 0.15 THEN 'differs from legacy' ELSE 'ok' END AS problem
 FROM month_ends LEFT JOIN a1 m USING ({SY}) LEFT JOIN old_monthly o USING ({SY})""", "mean_value legacy_mean")
 def _(c):
-    means = c.monthly.withColumnRenamed("mean_ndvi", "mean_value")
-    legacy = monthly.ndvi_monthly(c.old_cells).withColumnRenamed("mean_ndvi", "mean_value")
-    return quality.check_stage_means(means, legacy, _whole_years(c), -0.2, 0.95)
+    new, old = (monthly.ndvi_monthly(x) for x in c.new_and_old_cells)
+    means, legacy = (x.withColumnRenamed("mean_ndvi", "mean_value") for x in (new, old))
+    return quality.check_stage_means(means, legacy, _whole_years(new), -0.2, 0.95)
 
 
 @query("k10_recompute_check", f"""SELECT {SY}, s.mean_ndvi AS stored_mean, f.mean_ndvi AS fresh_mean, abs(s.mean_ndvi - f.mean_ndvi) AS abs_diff,
 coalesce(abs(s.mean_ndvi - f.mean_ndvi) < 0.01, false) AS passes FROM old_monthly s FULL JOIN a1 f USING ({SY})""", "stored_mean fresh_mean abs_diff")
 def _(c):
-    return quality.recompute_check(monthly.ndvi_monthly(c.old_cells), c.monthly)
+    new, old = c.new_and_old_cells
+    return quality.recompute_check(monthly.ndvi_monthly(old), monthly.ndvi_monthly(new))
 
 
 @query("k11_trend_expectation", f"""SELECT {S}, 'decreasing' AS expected, trend_direction AS actual, coalesce(trend_direction = 'decreasing', false) AS passes
 FROM trend_stats""")
 def _(c):
-    return quality.trend_expectation(c.trend_stats, c.monthly.select(*KEY).distinct().withColumn("expected", F.lit("decreasing")))
+    return quality.trend_expectation(c.trend_stats, c.stored_monthly.select(*KEY).distinct().withColumn("expected", F.lit("decreasing")))
 
 
 @query("k12_ba_range", "SELECT aoi, year, month, burned_km2, burned_km2 BETWEEN 0.5 AND 2.0 AS passes FROM a9", "burned_km2")
@@ -150,7 +143,7 @@ def _(c):
 
 @query("i1_month_spine", "month_ends")
 def _(c):
-    return _whole_years(c)
+    return _whole_years(c.stored_monthly)
 
 
 @query("i2_latest_month", "latest")
@@ -171,12 +164,12 @@ def _(c):
 
 def _backfill_log(c):
     done = (F.col("year") * 12 + F.col("month")) % 5 != 0
-    return c.monthly.select(*MONTH, F.when(done, "success").otherwise("error").alias("status"))
+    return c.stored_monthly.select(*MONTH, F.when(done, "success").otherwise("error").alias("status"))
 
 
 @query("i4_pending_from_log", f"SELECT {SY} FROM month_ends ANTI JOIN (SELECT * FROM backfill_log WHERE status = 'success') USING ({SY})")
 def _(c):
-    return incremental.pending_from_log(_whole_years(c), _backfill_log(c))
+    return incremental.pending_from_log(_whole_years(c.stored_monthly), _backfill_log(c))
 
 
 @query("i5_complete_years", f"""SELECT year FROM (SELECT DISTINCT {S}, year FROM months WHERE month = 12) GROUP BY year

@@ -110,10 +110,7 @@ def _(c):
 SELECT 'ndvi_monthly' AS table_name, count(*) AS n_rows FROM a1 UNION ALL SELECT 'ndvi_monthly_by_class', count(*) FROM a7
 UNION ALL SELECT 'ba_monthly', count(*) FROM a9 UNION ALL SELECT 'ba_daily', count(*) FROM a10 UNION ALL SELECT 'ndvi_anomaly_monthly', count(*) FROM a11)""")
 def _(c):
-    made = {
-        "ndvi_monthly": c.monthly, "ndvi_monthly_by_class": c.by_class, "ba_monthly": c.ba_monthly,
-        "ba_daily": c.ba_daily, "ndvi_anomaly_monthly": c.anomaly,
-    }
+    made = c.products
     issues = quality.check_schema(c.spark, made).groupBy("table_name").agg(F.count(F.lit(1)).alias("n"))
     rows = None
     for name, df in made.items():

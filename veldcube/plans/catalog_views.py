@@ -32,7 +32,7 @@ def _(c):
 @query("q3_timeseries_table", f"SELECT a1.*, ts_lower, ts_upper, climatology, hist_std FROM a1 LEFT JOIN a2 USING ({S}, month)",
        "mean_ndvi ts_lower ts_upper climatology hist_std")
 def _(c):
-    return views.timeseries_table(c.monthly, c.baselines)
+    return views.timeseries_table(c.stored_monthly, monthly.ndvi_monthly_baselines(c.stored_monthly))
 
 
 @query("q4_timeseries_enriched", f"""SELECT {SY}, mean_ndvi, mean_ndvi - climatology AS vs_climatology,
@@ -234,7 +234,7 @@ def _(c):
 @query("d5_symmetric_delta_range", f"""SELECT {S}, greatest(abs(quantile_cont(delta_ndvi, 0.02)), abs(quantile_cont(delta_ndvi, 0.98))) AS max_abs
 FROM norm_delta GROUP BY ALL""", "max_abs")
 def _(c):
-    return documented.symmetric_delta_range(documented.normalised_delta(c.cells), ["aoi", "sensor", "resolution"], "delta_ndvi")
+    return documented.symmetric_delta_range(documented.normalised_delta(c.stored_cells), ["aoi", "sensor", "resolution"], "delta_ndvi")
 
 
 @query("d6_burned_percentage", """SELECT aoi, year, month, CASE WHEN burned_km2 <= 1 THEN 0 ELSE burned_km2 / area_km2 * 100 END AS pct_burned
