@@ -170,3 +170,15 @@ def test_lines_that_differ_behind_the_start_of_a_word_stay(make_docs):
     rows = [(i, line, None, None) for i, line in enumerate(lines)] + [(20, near + "-1", None, None), (21, near + "-2", None, None), (22, lines[4], None, None)]
     got = {r.doc_id: r.text for r in line_dedup.deduplicated(make_docs(rows)).collect()}
     assert got == {**dict(enumerate(lines)), 20: near + "-1", 21: "", 22: ""}
+
+
+def test_line_dedup_stores_texts_of_candidates_not_their_sets(spark, make_docs, prose, monkeypatch):
+    """What is written on the way stays small beside the lines: no table holds an array but the signatures' bands."""
+    tables, write = {}, line_dedup.stored
+    monkeypatch.setattr(line_dedup, "stored", lambda df, name, codec=None: tables.setdefault(name, write(df, name, codec)))
+    line = prose(7, 40)
+    docs = make_docs([(i, f"{line} {i}\n{prose(100 + i, 30)}\n{line}", None, None) for i in range(6)])
+    got = {r.doc_id: r.text for r in line_dedup.deduplicated(docs).collect()}
+    assert got[0].startswith(line) and all(got[i] == prose(100 + i, 30) for i in range(1, 6))
+    assert [n for n, t in tables.items() if any(k.startswith("array") for _, k in t.dtypes)] == ["signed", "gone"]
+    assert tables["texts"].count() == 7

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veldcube.functions.session import broadcast_if_small
-from veldcube.llm.common import WORD, components, numbered, stored
+from veldcube.llm.common import WORD, components, let, numbered, stored
 from veldcube.llm.list_links import list_links
 
 #: Lines of fewer characters are left alone, as are blank ones.
@@ -22,11 +20,6 @@ PERCENT = 80
 SMALL = 1_000_000
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """`use` of a value that is worked out once, however often `use` refers to it."""
-    return F.transform(F.array(value), lambda x: use(x))[0]
-
-
 def normal(line: Column) -> Column:
     """Lower case, trimmed, other white space and longer runs of it as one blank."""
     return F.trim(F.regexp_replace(F.lower(line), r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+", " "))
@@ -78,24 +71,24 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     and position. Equal lines are one entry, however many there are."""
     lines = lines_of(docs, id_col, text_col, row_col)
     signed = stored(signatures(lines), "signed")
+    # Bands of different lines; copies of one line share all of theirs and are told by their hash.
+    banded = signed.select(F.explode("bands").alias("list"), "h1", "h2", "n")
+    shared = stored(banded.groupBy("list").agg(F.min("h1").alias("x"), F.max("h1").alias("y")).filter("x != y").select("list"), "bands")
+    met = stored(banded.join(broadcast_if_small(shared, SMALL), "list").groupBy("list", "h1", "h2", "n").agg(F.count("*").alias("times")), "met")
+    listed = stored(met.select("h1", "h2").distinct().withColumn("id", F.monotonically_increasing_id()), "listed")
+    lists = stored(met.join(broadcast_if_small(listed, SMALL), ["h1", "h2"]).select(
+        "list", F.col("id").alias("row"), F.col("n").cast("long").alias("n"), F.lit(1).alias("matches"), F.col("times").cast("double").alias("common")), "lists")
     place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row", "pos")
-    distinct = signed.groupBy("h1", "h2").agg(F.min(F.struct(place.alias("place"), "n", "bands")).alias("one"), F.count("*").alias("times"))
-    entries = stored(distinct.select(
-        F.monotonically_increasing_id().alias("id"), "h1", "h2", "one.place", "times", "one.n", "one.bands"), "lines")
-    banded = entries.select(F.explode("bands").alias("list"), F.col("id").alias("row"), "n", "times")
-    shared = stored(banded.groupBy("list").agg(F.count("*").alias("size")).filter("size > 1").select("list"), "bands")
-    lists = stored(banded.join(broadcast_if_small(shared, SMALL), "list").select(
-        "list", "row", F.col("n").cast("long").alias("n"), F.lit(1).alias("matches"), F.col("times").cast("double").alias("common")), "lists")
-    listed = entries.join(lists.select(F.col("row").alias("id")).distinct(), "id", "left_semi").select("id", F.col("place.row").alias("row"), F.col("place.pos").alias("pos"))
-    listed = stored(listed, "listed")
-    texts = lines.select("row", "pos", "line").join(broadcast_if_small(listed, SMALL), ["row", "pos"])
-    sets = stored(texts.select(F.col("id").alias("row"), let(normal(F.col("line")), shingles).alias("items")), "sets")
-    found = stored(components(list_links(lists, lambda met: sets, PERCENT, carry_sets=True)), "components")
-    several = entries.select("id", "h1", "h2", "place", "times").join(found.withColumnRenamed("node", "id"), "id", "left").filter(
-        "times > 1 or component is not null").withColumn("component", F.coalesce("component", "id"))
-    several = stored(several, "several")
-    stays = several.groupBy("component").agg(F.min("place").alias("stays"))
-    groups = stored(several.join(stays, "component").select("h1", "h2", F.col("stays.row").alias("row_stays"), F.col("stays.pos").alias("pos_stays")), "groups")
+    distinct = signed.groupBy("h1", "h2").agg(F.min(place).alias("place"), F.count("*").alias("times"))
+    entries = stored(distinct.join(broadcast_if_small(listed, SMALL), ["h1", "h2"], "left").filter("times > 1 or id is not null"), "entries")
+    first = entries.filter("id is not null").select("id", F.col("place.row").alias("row"), F.col("place.pos").alias("pos"))
+    texts = stored(lines.select("row", "pos", "line").join(broadcast_if_small(first, SMALL), ["row", "pos"]).select(
+        F.col("id").alias("row"), normal(F.col("line")).alias("items")), "texts")
+    found = stored(components(list_links(lists, lambda met: texts, PERCENT, carry_sets=True, items=shingles)), "components")
+    several = stored(entries.join(found.withColumnRenamed("node", "id"), "id", "left").filter("times > 1 or component is not null"), "several")
+    stays = several.filter("component is not null").groupBy("component").agg(F.min("place").alias("stays"))
+    groups = several.join(stays, "component", "left").withColumn("stays", F.coalesce("stays", "place"))
+    groups = stored(groups.select("h1", "h2", F.col("stays.row").alias("row_stays"), F.col("stays.pos").alias("pos_stays")), "groups")
     met = signed.select("row", "pos", "h1", "h2").join(broadcast_if_small(groups, SMALL), ["h1", "h2"])
     return met.filter("row != row_stays or pos != pos_stays").select("row", "pos")
 
@@ -110,10 +103,10 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repeat: then the first row keeps its lines. An empty table gives no rows.
     """
     docs = numbered(docs, "__row")
-    gone = repeated_lines(docs, id_col, text_col).groupBy(F.col("row").alias("__row")).agg(F.collect_set("pos").alias("__gone"))
+    gone = stored(repeated_lines(docs, id_col, text_col).groupBy(F.col("row").alias("__row")).agg(F.collect_set("pos").alias("__gone")), "gone")
     text = F.col(text_col)
     left = F.array_join(F.filter(F.split(text, "\n", -1), lambda line, i: ~F.array_contains("__gone", i)), "\n")
-    joined = docs.join(gone, "__row", "left")
+    joined = docs.join(broadcast_if_small(gone), "__row", "left")
     counts = {}
     if n_lines:
         counts[n_lines] = F.coalesce(F.size(F.split(text, "\n", -1)), F.lit(0)).cast("long")

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veldcube.llm.common import stored
+from veldcube.llm.common import let, stored
 
 #: Star rounds before the remaining pairs are formed.
 STAR_ROUNDS = 2
@@ -19,10 +19,13 @@ def similar(a: str, b: str, percent: int):
     return 100 * shared >= percent * (F.size(a) + F.size(b) - shared)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets (row, items) are similar."""
+def verified(pairs: DataFrame, sets: DataFrame, percent: int, items: Callable[[Column], Column] | None = None) -> DataFrame:
+    """The pairs (a, b) whose sets (row, items) are similar; with `items`, those that it makes of them."""
     of = lambda x: sets.select(F.col("row").alias(x), F.col("items").alias(f"s{x}"))
-    return pairs.join(of("a"), "a").join(of("b"), "b").filter(similar("sa", "sb", percent)).select("a", "b")
+    alike = similar("sa", "sb", percent)
+    if items:
+        alike = let(F.struct(items(F.col("sa")).alias("x"), items(F.col("sb")).alias("y")), lambda both: similar(both["x"], both["y"], percent))
+    return pairs.join(of("a"), "a").join(of("b"), "b").filter(alike).select("a", "b")
 
 
 def hubs(links: DataFrame) -> DataFrame:
@@ -33,7 +36,8 @@ def hubs(links: DataFrame) -> DataFrame:
     return both.join(degrees, "hub").groupBy("row").agg(F.max_by("hub", F.struct("degree", "hub")).alias("component"))
 
 
-def list_links(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, carry_sets: bool = False) -> DataFrame:
+def list_links(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, carry_sets: bool = False,
+               items: Callable[[Column], Column] | None = None) -> DataFrame:
     """Links (a, b) whose components are those of all similar pairs that share enough lists.
 
     `lists` has a row (list, row, n, matches, common) for every member of a list: the size of its set,
@@ -46,7 +50,8 @@ def list_links(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame], perc
     rounds every pair of different hubs that is left in a list is formed: members outside the list's
     main hub against the list. The lists that a pair shares are counted over all rounds, and a pair is verified when they are enough.
     With `carry_sets`, for small sets and matches of 1, there is one star round, and that last join
-    compares the sets itself, so that pairs that are not similar are no rows.
+    compares the sets itself, so that pairs that are not similar are no rows. With `items`, `sets_of` gives what
+    that makes the sets of, such as texts: less to store and move.
     """
     spark = lists.sparkSession
     fits = f"100 * least(n, m) >= {percent} * greatest(n, m)"
@@ -64,7 +69,8 @@ def list_links(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame], perc
             met = f"b != a and component != other and {fits}"
         else:
             if carry_sets:
-                sets = sets_of(members.select("row").distinct())
+                sets = sets_of(members.select("row").distinct()).join(members.select("row").distinct(), "row", "left_semi")
+                sets = sets.select("row", items(F.col("items")).alias("items")) if items else sets
                 members = members.join(sets, "row")
             left = members.filter("component != main").select("list", *[F.col(x).alias(y) for x, y in columns], *([F.col("items").alias("sa")] if carry_sets else []))
             met = f"component != other and (component = main or a < b) and {fits}"
@@ -75,7 +81,7 @@ def list_links(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame], perc
         counted = stored(matched.union(waiting).groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("needed").alias("needed")), "pairs")
         ready, waiting = counted.filter("shared >= needed").select("a", "b"), counted.filter("shared < needed")
         rows = stored(ready.select(F.col("a").alias("row")).union(ready.select("b")).distinct(), "met")
-        links = links.union(stored(verified(ready, sets_of(rows), percent), "links"))
+        links = links.union(stored(verified(ready, sets_of(rows), percent, items), "links"))
         if not stars:
             return links
         rest = members.drop("component", "main").join(left.select("list", F.col("a").alias("centre")), "list").filter("row != centre").drop("centre")
