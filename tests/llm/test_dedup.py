@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from veldcube.llm import common, exact_dedup, line_dedup, ngram_join
+from veldcube.llm import common, exact_dedup, line_dedup, list_links, ngram_join
 
 
 def groups(ids, linked):
@@ -182,3 +182,19 @@ def test_line_dedup_stores_texts_of_candidates_not_their_sets(spark, make_docs,
     assert got[0].startswith(line) and all(got[i] == prose(100 + i, 30) for i in range(1, 6))
     assert [n for n, t in tables.items() if any(k.startswith("array") for _, k in t.dtypes)] == ["signed", "gone"]
     assert tables["texts"].count() == 7
+
+
+def test_last_join_makes_no_rows_of_pairs_that_cannot_link(make_docs, prose, monkeypatch):
+    """Many texts that share frequent shingles and are all a little too unlike."""
+    tables, write = [], list_links.stored
+    monkeypatch.setattr(list_links, "stored", lambda df, name, codec=None: tables.append((name, write(df, name, codec))) or tables[-1][1])
+    base, rows = prose(3, 200).split(), []
+    for i in range(40):
+        w = list(base)
+        for at in range(4):
+            w[(i * 37 + at * 50) % len(w)] = f"new{i}x{at}"
+        rows.append((i, " ".join(w), None, None))
+    rows += [(50, rows[7][1] + " end", None, None)]
+    got = {r.doc_id: r.component_id for r in ngram_join.similar_documents(make_docs(rows), 3, 90).collect()}
+    assert got == {**{i: i for i in range(40)}, 50: 7}
+    assert [t for n, t in tables if n == "pairs"][-1].count() < 40

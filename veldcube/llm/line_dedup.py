@@ -84,7 +84,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     first = entries.filter("id is not null").select("id", F.col("place.row").alias("row"), F.col("place.pos").alias("pos"))
     texts = stored(lines.select("row", "pos", "line").join(broadcast_if_small(first, SMALL), ["row", "pos"]).select(
         F.col("id").alias("row"), normal(F.col("line")).alias("items")), "texts")
-    found = stored(components(list_links(lists, lambda met: texts, PERCENT, carry_sets=True, items=shingles)), "components")
+    lists_of = signed.select("h1", "h2", "bands").distinct().join(broadcast_if_small(listed, SMALL), ["h1", "h2"]).select(F.col("id").alias("row"), F.col("bands").alias("all"))
+    found = stored(components(list_links(lists, lambda met: texts, PERCENT, lists_of, carry_sets=True, items=shingles)), "components")
     several = stored(entries.join(found.withColumnRenamed("node", "id"), "id", "left").filter("times > 1 or component is not null"), "several")
     stays = several.filter("component is not null").groupBy("component").agg(F.min("place").alias("stays"))
     groups = several.join(stays, "component", "left").withColumn("stays", F.coalesce("stays", "place"))

@@ -28,30 +28,41 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int, items: Callable[[C
     return pairs.join(of("a"), "a").join(of("b"), "b").filter(alike).select("a", "b")
 
 
+def short(items: Column) -> Column:
+    """31 bits of each item: half of what a set takes."""
+    return F.array_distinct(F.transform(items, lambda x: x.bitwiseAND(F.lit(2**31 - 1)).cast("int")))
+
+
 def hubs(links: DataFrame) -> DataFrame:
-    """For every row that has links the one of its neighbours with the most links (row, component). Rows
-    that share a hub are in one component; near copies of a text share its star's centre."""
-    both = stored(links.union(links.select("b", "a")).distinct().toDF("row", "hub"), "both")
+    """For every row that has links a row of its component, the same for most of them (row, component): each row
+    points at the one with the most links of itself and its neighbours, and four such steps are taken."""
+    ends = links.union(links.select("b", "a")).distinct().toDF("row", "hub")
+    both = stored(ends.union(ends.select("row", "row").distinct()), "both")
     degrees = both.groupBy("hub").agg(F.count("*").alias("degree"))
-    return both.join(degrees, "hub").groupBy("row").agg(F.max_by("hub", F.struct("degree", "hub")).alias("component"))
+    one = stored(both.join(degrees, "hub").groupBy("row").agg(F.max_by("hub", F.struct("degree", "hub")).alias("component")), "hubs")
+    jump = lambda steps: steps.withColumnRenamed("component", "at").join(steps.withColumnRenamed("row", "at"), "at").select("row", "component")
+    return jump(stored(jump(one), "hubs"))
 
 
-def list_links(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, carry_sets: bool = False,
+def list_links(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame], percent: int, lists_of: DataFrame, carry_sets: bool = False,
                items: Callable[[Column], Column] | None = None) -> DataFrame:
     """Links (a, b) whose components are those of all similar pairs that share enough lists.
 
     `lists` has a row (list, row, n, matches, common) for every member of a list: the size of its set,
     how many lists a partner must share with it, and how common its items are. `sets_of` gives the
-    sets (row, items) of the rows it is handed, which are those of candidates only.
+    sets (row, items) of the rows it is handed, which are those of candidates only. `lists_of` has the lists
+    of every row as an array (row, all).
 
     Each list is first joined as a star around its most common member, which near copies of one text
     have in common; all pairs of that member are then formed, and it leaves the list. Rows with the same
     hub are known to be connected. Lists that have one member or one hub left are done. After the star
-    rounds every pair of different hubs that is left in a list is formed: members outside the list's
-    main hub against the list. The lists that a pair shares are counted over all rounds, and a pair is verified when they are enough.
+    rounds every pair of different hubs that is left in a list is compared: members outside the list's
+    main hub against the list. That last join has all lists of both at hand: a pair is a row only in the first
+    list that it shares, and only if it shares enough lists and, as far as short forms of the sets tell, items. A pair whose first list was left by one as centre was met there;
+    if it shared too few lists until then, it waits and is told by its lists in the end.
     With `carry_sets`, for small sets and matches of 1, there is one star round, and that last join
-    compares the sets itself, so that pairs that are not similar are no rows. With `items`, `sets_of` gives what
-    that makes the sets of, such as texts: less to store and move.
+    compares the sets as well, so that pairs that are not similar are no rows. With `items`, `sets_of` gives what
+    that makes the sets of, such as texts: less to store.
     """
     spark = lists.sparkSession
     fits = f"100 * least(n, m) >= {percent} * greatest(n, m)"
@@ -60,33 +71,45 @@ def list_links(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame], perc
     links = spark.createDataFrame([], "a long, b long")
     waiting = spark.createDataFrame([], "a long, b long, shared long, needed int")
     rounds = 1 if carry_sets else STAR_ROUNDS
-    for turn in range(rounds + 1):
-        stars = turn < rounds
-        if stars:
-            order = F.struct("common", (-F.col("row")).alias("late"), "row", "n", "matches", "component")
-            centre = members.groupBy("list").agg(F.max(order).alias("c"))
-            left = centre.select("list", *[F.col(f"c.{x}").alias(y) for x, y in columns])
-            met = f"b != a and component != other and {fits}"
-        else:
-            if carry_sets:
-                sets = sets_of(members.select("row").distinct()).join(members.select("row").distinct(), "row", "left_semi")
-                sets = sets.select("row", items(F.col("items")).alias("items")) if items else sets
-                members = members.join(sets, "row")
-            left = members.filter("component != main").select("list", *[F.col(x).alias(y) for x, y in columns], *([F.col("items").alias("sa")] if carry_sets else []))
-            met = f"component != other and (component = main or a < b) and {fits}"
-        joined = members.withColumnRenamed("row", "b").join(left, "list").filter(met)
-        if not stars and carry_sets:
-            return links.union(stored(joined.filter(similar("items", "sa", percent)).select("a", "b"), "links"))
+
+    def checked(ready: DataFrame) -> DataFrame:
+        rows = stored(ready.select(F.col("a").alias("row")).union(ready.select("b")).distinct(), "met")
+        return stored(verified(ready, sets_of(rows), percent, items), "links")
+
+    for _ in range(rounds):
+        order = F.struct("common", (-F.col("row")).alias("late"), "row", "n", "matches", "component")
+        centre = members.groupBy("list").agg(F.max(order).alias("c"))
+        left = centre.select("list", *[F.col(f"c.{x}").alias(y) for x, y in columns])
+        joined = members.withColumnRenamed("row", "b").join(left, "list").filter(f"b != a and component != other and {fits}")
         matched = joined.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(1).cast("long").alias("shared"), F.least("matches", "l").cast("int").alias("needed"))
         counted = stored(matched.union(waiting).groupBy("a", "b").agg(F.sum("shared").alias("shared"), F.min("needed").alias("needed")), "pairs")
         ready, waiting = counted.filter("shared >= needed").select("a", "b"), counted.filter("shared < needed")
-        rows = stored(ready.select(F.col("a").alias("row")).union(ready.select("b")).distinct(), "met")
-        links = links.union(stored(verified(ready, sets_of(rows), percent, items), "links"))
-        if not stars:
-            return links
+        links = links.union(checked(ready))
         rest = members.drop("component", "main").join(left.select("list", F.col("a").alias("centre")), "list").filter("row != centre").drop("centre")
         placed = stored(rest.join(hubs(links), "row", "left").withColumn("component", F.coalesce("component", "row")), "members")
         parts = placed.groupBy("list", "component").agg(F.count("*").alias("here"))
         main = parts.groupBy("list").agg(F.max_by("component", F.struct("here", "component")).alias("main"), F.count("*").alias("parts"))
         members = stored(placed.join(main.filter("parts > 1").drop("parts"), "list"), "members")
-    return links
+
+    members = members.join(lists_of, "row")
+    if carry_sets:
+        sets = sets_of(members.select("row").distinct()).join(members.select("row").distinct(), "row", "left_semi")
+        sets = sets.select("row", items(F.col("items")).alias("items")) if items else sets
+        members = members.join(sets, "row")
+    else:
+        sets = sets_of(stored(members.select("row").distinct(), "met")).withColumn("items", short(F.col("items")))
+        members = members.join(sets, "row")
+    left = members.filter("component != main").select("list", *[F.col(x).alias(y) for x, y in columns], F.col("all").alias("alla"), F.col("items").alias("sa"))
+    met = members.withColumnRenamed("row", "b").join(left, "list").filter(f"component != other and (component = main or a < b) and {fits}")
+    both = F.array_intersect("all", "alla")
+    # Elements of an intersection are in no fixed order: the least list that both are in is the first.
+    met = met.filter(let(both, lambda x: (F.size(x) >= F.least("matches", "l")) & (F.array_min(x) == F.col("list"))))
+    if carry_sets:
+        return links.union(stored(met.filter(similar("items", "sa", percent)).select("a", "b"), "links"))
+    # Items that two short forms share, and those that one form has lost: no pair shares more.
+    most = F.size(F.array_intersect("items", "sa")) + F.least(F.col("n") - F.size("items"), F.col("m") - F.size("sa"))
+    met = met.filter((100 + percent) * most >= percent * (F.col("n") + F.col("m")))
+    of = lambda x: lists_of.select(F.col("row").alias(x), F.col("all").alias(f"all{x}"))
+    late = waiting.join(of("a"), "a").join(of("b"), "b").filter(F.size(F.array_intersect("alla", "allb")) >= F.col("needed"))
+    ready = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).union(late.select("a", "b"))
+    return links.union(checked(stored(ready.distinct(), "pairs")))

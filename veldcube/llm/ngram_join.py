@@ -226,7 +226,7 @@ def similar_links(rows: DataFrame, sketch: np.ndarray, classes: DataFrame, words
         placed.join(broadcast_if_small(shared, SMALL), "list").join(chosen.drop("prefix"), "row")
         .select("list", "row", "n", "matches", "common"), "lists")
     sets_of = lambda met: stored(shingle_sets(rows.join(broadcast_if_small(met, SMALL), "row", "left_semi"), words), "sets")
-    return list_links(lists, sets_of, percent)
+    return list_links(lists, sets_of, percent, chosen.select("row", F.col("prefix").alias("all")))
 
 
 def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
