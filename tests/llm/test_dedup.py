@@ -198,3 +198,16 @@ def test_last_join_makes_no_rows_of_pairs_that_cannot_link(make_docs, prose, mon
     got = {r.doc_id: r.component_id for r in ngram_join.similar_documents(make_docs(rows), 3, 90).collect()}
     assert got == {**{i: i for i in range(40)}, 50: 7}
     assert [t for n, t in tables if n == "pairs"][-1].count() < 40
+
+
+def test_signatures_are_of_different_lines_and_likely_alike(make_docs, prose):
+    base = [prose(900 + s, 40) for s in range(30)]
+    near = [b + " more" for b in base]
+    rows = [(i, f"{x}\n  {x.upper()}\t", None, None) for i, x in enumerate(base + near + ["short", "é" * 40])]
+    lines = line_dedup.lines_of(common.numbered(make_docs(rows), "__row"))
+    made = line_dedup.signatures(lines).collect()
+    assert len(made) == 62 and all(r.times == 2 and len(r.bands) == line_dedup.BANDS for r in made)
+    keys = {(r.h1, r.h2): r.doc_id for r in line_dedup.keyed(lines).collect()}
+    bands = {keys[r.h1, r.h2]: set(r.bands) for r in made}
+    assert all(bands[i] & bands[30 + i] for i in range(30))
+    assert sum(bool(bands[i] & bands[j]) for i, j in itertools.combinations(range(30), 2)) < 22

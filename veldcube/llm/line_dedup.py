@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import random
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veldcube.functions.session import broadcast_if_small
-from veldcube.llm.common import WORD, components, let, numbered, stored
+from veldcube.llm.common import components, numbered, stored
 from veldcube.llm.list_links import list_links
 
 #: Lines of fewer characters are left alone, as are blank ones.
@@ -16,13 +18,19 @@ SHINGLE = 12
 #: Bands of a signature and minima in each: 99 % of the pairs at 0.8 share a band, nearly all at 0.9.
 BANDS, ROWS = 6, 3
 PERCENT = 80
+#: Bits that are turned over for each minimum of a signature.
+TURNED = [x - 2**63 for x in map(random.Random(20240607).getrandbits, [64] * (BANDS * ROWS))]
 #: Side tables up to so many rows (24 bytes each) are broadcast; larger ones are joined by shuffle.
 SMALL = 1_000_000
 
 
 def normal(line: Column) -> Column:
     """Lower case, trimmed, other white space and longer runs of it as one blank."""
-    return F.trim(F.regexp_replace(F.lower(line), r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+", " "))
+    lower = F.lower(line)
+    odd = F.lit(False)
+    for x in ("  ", *map(chr, range(9, 14))):
+        odd |= line.contains(x)
+    return F.trim(F.when(odd, F.regexp_replace(lower, r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+", " ")).otherwise(lower))
 
 
 def shingles(norm: Column) -> Column:
@@ -33,64 +41,68 @@ def shingles(norm: Column) -> Column:
     return F.sort_array(F.array_distinct(F.transform(pieces, lambda s: F.xxhash64(s))))
 
 
-def bands(hashes: Column) -> Column:
-    """One value per band of the MinHash signature of a line with sorted shingle hashes: the ROWS
-    first hashes in the circular order that begins at the band's own point."""
-    starts = [-(2**63) + b * (2**64 // BANDS) for b in range(BANDS)]
-
-    def read(placed: Column) -> Column:
-        # Sorted in among the hashes, the points tell where their bands begin.
-        first = [F.array_position(placed["marked"], start) - F.lit(b) for b, start in enumerate(starts)]
-        return F.array(*[F.xxhash64(F.lit(b), F.slice(placed["circle"], at.cast("int"), ROWS)) for b, at in enumerate(first)])
-
-    marked = F.sort_array(F.concat(hashes, F.array(*[F.lit(x) for x in starts])))
-    return let(F.struct(marked.alias("marked"), F.concat(hashes, F.slice(hashes, 1, ROWS)).alias("circle")), read)
-
-
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str = "__row") -> DataFrame:
     """Lines of numbered documents that take part: row, doc_id, pos, line."""
     rows = docs.select(F.col(row_col).alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     lines = rows.select("row", "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    return lines.filter((F.length("line") >= MIN_CHARS) & F.col("line").rlike(WORD))
+    blank = F.btrim("line", F.lit(" \t\n\v\f\r")) == ""
+    return lines.filter((F.length("line") >= MIN_CHARS) & ~blank)
 
 
-def signatures(lines: DataFrame) -> DataFrame:
-    """Two hashes of each line's normal form, the size of its shingle set and its bands."""
+def keyed(lines: DataFrame) -> DataFrame:
+    """Lines with two hashes of their normal form."""
+    norm = lines.select("row", "doc_id", "pos", normal(F.col("line")).alias("norm"))
+    return norm.select("row", "doc_id", "pos", F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(1), "norm").alias("h2"))
+
 
-    def sign(norm: Column) -> Column:
-        return F.struct(
-            F.xxhash64(norm).alias("h1"), F.xxhash64(F.lit(1), norm).alias("h2"),
-            let(shingles(norm), lambda hashes: F.struct(F.size(hashes).alias("n"), bands(hashes).alias("bands"))).alias("s"))
+def signatures(lines: DataFrame) -> DataFrame:
+    """The MinHash signature of each different normal form: h1, h2, the number of its lines and a value per band, of
+    the ROWS least shingle hashes by as many orders.
 
-    signed = lines.select("row", "doc_id", "pos", let(normal(F.col("line")), sign).alias("x"))
-    return signed.select("row", "doc_id", "pos", "x.h1", "x.h2", "x.s.n", "x.s.bands")
+    Every shingle is a row on the way to the least ones, so that a line of any length is no array of them. Code points
+    have four bytes here, by which a shingle is found without reading what stands before it; an order is that of the hashes with some bits
+    turned over.
+    """
+    norm = lines.select(normal(F.col("line")).alias("norm"))
+    wide = norm.select(
+        F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(1), "norm").alias("h2"), F.encode("norm", "UTF-32").alias("wide"),
+        F.greatest(F.length("norm") - SHINGLE, F.lit(0)).alias("last"))
+    each = wide.select("h1", "h2", "wide", F.explode(F.sequence(F.lit(0), "last")).alias("at"))
+    hashed = each.select("h1", "h2", "at", F.xxhash64(F.substr("wide", F.col("at") * 4 + 1, F.lit(4 * SHINGLE))).alias("hash"))
+    least = [F.min(F.col("hash").bitwiseXOR(F.lit(turned))).alias(f"least{k}") for k, turned in enumerate(TURNED)]
+    merged = hashed.groupBy("h1", "h2").agg(F.sum((F.col("at") == 0).cast("long")).alias("times"), *least)
+    values = [F.xxhash64(F.lit(b), *[F.col(f"least{b * ROWS + k}") for k in range(ROWS)]) for b in range(BANDS)]
+    return merged.select("h1", "h2", "times", F.array(*values).alias("bands"))
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str = "__row") -> DataFrame:
     """Lines of numbered documents that go (row, pos): all of a component of similar lines but the first by doc_id
     and position. Equal lines are one entry, however many there are."""
     lines = lines_of(docs, id_col, text_col, row_col)
+    keys = stored(keyed(lines), "keys")
+    # Copies of one line are one entry and told by their hashes.
     signed = stored(signatures(lines), "signed")
-    # Bands of different lines; copies of one line share all of theirs and are told by their hash.
-    banded = signed.select(F.explode("bands").alias("list"), "h1", "h2", "n")
+    banded = signed.select(F.explode("bands").alias("list"), "h1", "h2", "times")
     shared = stored(banded.groupBy("list").agg(F.min("h1").alias("x"), F.max("h1").alias("y")).filter("x != y").select("list"), "bands")
-    met = stored(banded.join(broadcast_if_small(shared, SMALL), "list").groupBy("list", "h1", "h2", "n").agg(F.count("*").alias("times")), "met")
+    met = stored(banded.join(broadcast_if_small(shared, SMALL), "list"), "met")
     listed = stored(met.select("h1", "h2").distinct().withColumn("id", F.monotonically_increasing_id()), "listed")
-    lists = stored(met.join(broadcast_if_small(listed, SMALL), ["h1", "h2"]).select(
-        "list", F.col("id").alias("row"), F.col("n").cast("long").alias("n"), F.lit(1).alias("matches"), F.col("times").cast("double").alias("common")), "lists")
     place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "row", "pos")
-    distinct = signed.groupBy("h1", "h2").agg(F.min(place).alias("place"), F.count("*").alias("times"))
+    distinct = keys.groupBy("h1", "h2").agg(F.min(place).alias("place"), F.count("*").alias("times"))
     entries = stored(distinct.join(broadcast_if_small(listed, SMALL), ["h1", "h2"], "left").filter("times > 1 or id is not null"), "entries")
     first = entries.filter("id is not null").select("id", F.col("place.row").alias("row"), F.col("place.pos").alias("pos"))
-    texts = stored(lines.select("row", "pos", "line").join(broadcast_if_small(first, SMALL), ["row", "pos"]).select(
-        F.col("id").alias("row"), normal(F.col("line")).alias("items")), "texts")
-    lists_of = signed.select("h1", "h2", "bands").distinct().join(broadcast_if_small(listed, SMALL), ["h1", "h2"]).select(F.col("id").alias("row"), F.col("bands").alias("all"))
-    found = stored(components(list_links(lists, lambda met: texts, PERCENT, lists_of, carry_sets=True, items=shingles)), "components")
+    placed = lines.select("row", "pos", "line").join(broadcast_if_small(first, SMALL), ["row", "pos"]).select(
+        F.col("id").alias("row"), normal(F.col("line")).alias("items"))
+    texts = stored(placed.select("row", "items", F.size(shingles(F.col("items"))).cast("long").alias("n")), "texts")
+    lists = stored(met.join(broadcast_if_small(listed, SMALL), ["h1", "h2"]).withColumnRenamed("id", "row").join(texts.select("row", "n"), "row").select(
+        "list", "row", "n", F.lit(1).alias("matches"), F.col("times").cast("double").alias("common")), "lists")
+    lists_of = signed.join(broadcast_if_small(listed, SMALL), ["h1", "h2"]).select(F.col("id").alias("row"), F.col("bands").alias("all"))
+    links = list_links(lists, lambda met: texts.select("row", "items"), PERCENT, lists_of, carry_sets=True, items=shingles)
+    found = stored(components(links), "components")
     several = stored(entries.join(found.withColumnRenamed("node", "id"), "id", "left").filter("times > 1 or component is not null"), "several")
     stays = several.filter("component is not null").groupBy("component").agg(F.min("place").alias("stays"))
     groups = several.join(stays, "component", "left").withColumn("stays", F.coalesce("stays", "place"))
     groups = stored(groups.select("h1", "h2", F.col("stays.row").alias("row_stays"), F.col("stays.pos").alias("pos_stays")), "groups")
-    met = signed.select("row", "pos", "h1", "h2").join(broadcast_if_small(groups, SMALL), ["h1", "h2"])
+    met = keys.select("row", "pos", "h1", "h2").join(broadcast_if_small(groups, SMALL), ["h1", "h2"])
     return met.filter("row != row_stays or pos != pos_stays").select("row", "pos")
 
 
