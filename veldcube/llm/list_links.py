@@ -103,7 +103,8 @@ def list_links(lists: DataFrame, sets_of: Callable[[DataFrame], DataFrame], perc
     met = members.withColumnRenamed("row", "b").join(left, "list").filter(f"component != other and (component = main or a < b) and {fits}")
     both = F.array_intersect("all", "alla")
     # Elements of an intersection are in no fixed order: the least list that both are in is the first.
-    met = met.filter(let(both, lambda x: (F.size(x) >= F.least("matches", "l")) & (F.array_min(x) == F.col("list"))))
+    first = F.array_min(both) == F.col("list")
+    met = met.filter(first if carry_sets else first & (F.size(both) >= F.least("matches", "l")))
     if carry_sets:
         return links.union(stored(met.filter(similar("items", "sa", percent)).select("a", "b"), "links"))
     # Items that two short forms share, and those that one form has lost: no pair shares more.
