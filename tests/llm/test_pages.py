@@ -180,6 +180,15 @@ def test_link_lists_inside_an_article_go_and_linked_headings_stay():
     assert html_text.main_text("<article><p><a href=/>All of it</a></p></article>") == "All of it"
 
 
+def test_the_ratio_decides_inside_an_article():
+    long = "<p>" + "words, " * 9_000 + "end.</p>"
+    deep = lambda inner, kind="x": f"<section class={kind}>" * 9 + inner + "</section>" * 9
+    marks = "".join(f"<div><a href=/{k}>{k}</a>|</div>" for k in range(1, 9))
+    got = html_text.main_text(f"<body><article><h1>Head</h1>{long}{deep(marks, 'y')}{deep('<p>Down here, a sentence.</p>')}</article></body>")
+    assert "|" not in got
+    assert got.startswith("Head\n\nwords, ") and got.endswith("end.\n\nDown here, a sentence.")
+
+
 def test_words_in_other_values_and_wrappers_are_no_noise():
     long = "A sentence of the article, long enough to count. " * 3
     assert html_text.main_text(f'<body><div class="layout has-sidebar"><h1>Head</h1><p>{long}</p><div class="sidebar"><p>Side.</p></div></div></body>') == f"Head\n\n{long.strip()}"
