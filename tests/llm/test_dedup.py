@@ -2,6 +2,7 @@ import hashlib
 import itertools
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -211,3 +212,35 @@ def test_signatures_are_of_different_lines_and_likely_alike(make_docs, prose):
     bands = {keys[r.h1, r.h2]: set(r.bands) for r in made}
     assert all(bands[i] & bands[30 + i] for i in range(30))
     assert sum(bool(bands[i] & bands[j]) for i, j in itertools.combinations(range(30), 2)) < 22
+
+
+@pytest.mark.parametrize("size", [50, 700, 3_000, 9_000])
+def test_bounds_of_sets_rule_out_unlike_pairs_only(spark, size):
+    """Sets from equal to unlike, small ones and such as need more than the first words."""
+    rng, k, sets = np.random.default_rng(size), list_links.WORDS, []
+    base = rng.integers(0, 2**63, size, dtype=np.uint64)
+    for share in (0, 0.02, 0.05, 0.1, 0.3, 1):
+        own = rng.integers(0, 2**63, 1 + int(share * size), dtype=np.uint64)
+        sets.append(np.unique(np.append(base[len(own) :], own)))
+    signed = lambda words: [int(x) for x in words.view(np.int64)]
+    more = [ngram_join.more_words(len(s)) for s in sets]
+    bounds = spark.createDataFrame(
+        [(i, len(s), signed(ngram_join.parities(s, k)), signed(ngram_join.parities(s, w)) if w else None) for i, (s, w) in enumerate(zip(sets, more, strict=True))],
+        "row long, n long, words array<long>, more array<long>")
+    pairs = list_links.bound_columns(bounds, "a").crossJoin(list_links.bound_columns(bounds, "b")).filter("a < b")
+    for percent in (80, 90):
+        got = {(r.a, r.b) for r in pairs.filter(list_links.may_link("a", "b", percent, ngram_join.large_may_link(percent))).collect()}
+        share = {(a, b): len(np.intersect1d(sets[a], sets[b])) / len(np.union1d(sets[a], sets[b])) for a, b in itertools.combinations(range(len(sets)), 2)}
+        assert {p for p, x in share.items() if 100 * x >= percent} <= got
+        assert not got & {p for p, x in share.items() if x < 0.7}
+
+
+def test_bounds_of_lines_are_of_their_distinct_shingles(spark, prose):
+    texts = ["short", prose(1, 30), prose(1, 30) + " end", "ab" * 40, "東京都は日本の首都であり" * 3]
+    made = line_dedup.bounds_of(spark.createDataFrame(list(enumerate(texts)), "row long, items string")).collect()
+    sets = [line_set(t)[1] for t in texts]
+    assert {r.row: r.n for r in made} == {i: len(s) for i, s in enumerate(sets)}
+    words = {r.row: [r[f"word{k}"] & (2**64 - 1) for k in range(list_links.WORDS)] for r in made}
+    bits = lambda a, b: sum((x ^ y).bit_count() for x, y in zip(words[a], words[b], strict=True))
+    assert all(bits(a, b) <= len(sets[a] ^ sets[b]) for a, b in itertools.combinations(range(5), 2))
+    assert bits(1, 3) > 100 and 0 < bits(1, 2) <= 5

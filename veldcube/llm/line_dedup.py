@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veldcube.functions.session import broadcast_if_small
-from veldcube.llm.common import components, numbered, stored
-from veldcube.llm.list_links import list_links
+from veldcube.llm.common import components, let, numbered, stored
+from veldcube.llm.list_links import WORDS, list_links, similar
 
 #: Lines of fewer characters are left alone, as are blank ones.
 MIN_CHARS = 1
@@ -20,6 +20,8 @@ BANDS, ROWS = 6, 3
 PERCENT = 80
 #: Bits that are turned over for each minimum of a signature.
 TURNED = [x - 2**63 for x in map(random.Random(20240607).getrandbits, [64] * (BANDS * ROWS))]
+#: Shingles of a signature that are taken together, from one row.
+STRIDE = 8
 #: Side tables up to so many rows (24 bytes each) are broadcast; larger ones are joined by shuffle.
 SMALL = 1_000_000
 
@@ -34,11 +36,11 @@ def normal(line: Column) -> Column:
 
 
 def shingles(norm: Column) -> Column:
-    """Hashes of the distinct shingles of a line, in order."""
-    # Every match takes one character, so that the next shingle begins behind it.
-    found = F.regexp_extract_all(norm, F.lit(rf"(?s)(?=(.{{{SHINGLE}}}))."), F.lit(1))
-    pieces = F.when(F.length(norm) < SHINGLE, F.array(norm)).otherwise(found)
-    return F.sort_array(F.array_distinct(F.transform(pieces, lambda s: F.xxhash64(s))))
+    """Hashes of the distinct shingles of a line. Code points have four bytes here, by which a shingle is found without
+    reading what stands before it."""
+    starts = F.sequence(F.lit(0), F.greatest(F.length(norm) - SHINGLE, F.lit(0)))
+    piece = lambda wide, at: F.substr(wide, at * 4 + 1, F.lit(4 * SHINGLE))
+    return F.array_distinct(let(F.encode(norm, "UTF-32"), lambda wide: F.transform(starts, lambda at: F.xxhash64(piece(wide, at)))))
 
 
 def lines_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str = "__row") -> DataFrame:
@@ -59,22 +61,32 @@ def signatures(lines: DataFrame) -> DataFrame:
     """The MinHash signature of each different normal form: h1, h2, the number of its lines and a value per band, of
     the ROWS least shingle hashes by as many orders.
 
-    Every shingle is a row on the way to the least ones, so that a line of any length is no array of them. Code points
-    have four bytes here, by which a shingle is found without reading what stands before it; an order is that of the hashes with some bits
-    turned over.
+    STRIDE shingles are a row on the way to the least ones, so that a line of any length is no array of them. Shingles
+    have SHINGLE units of UTF-16 here, by which one is found without reading what stands before it; an order is that of the
+    hashes with some bits turned over.
     """
-    norm = lines.select(normal(F.col("line")).alias("norm"))
-    wide = norm.select(
-        F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(1), "norm").alias("h2"), F.encode("norm", "UTF-32").alias("wide"),
-        F.greatest(F.length("norm") - SHINGLE, F.lit(0)).alias("last"))
-    each = wide.select("h1", "h2", "wide", F.explode(F.sequence(F.lit(0), "last")).alias("at"))
-    hashed = each.select("h1", "h2", "at", F.xxhash64(F.substr("wide", F.col("at") * 4 + 1, F.lit(4 * SHINGLE))).alias("hash"))
-    least = [F.min(F.col("hash").bitwiseXOR(F.lit(turned))).alias(f"least{k}") for k, turned in enumerate(TURNED)]
+    norm = lines.select(normal(F.col("line")).alias("norm")).withColumn("wide", F.encode("norm", "UTF-16BE"))
+    last = F.greatest(F.floor(F.octet_length("wide") / 2).cast("int") - SHINGLE, F.lit(0))
+    wide = norm.select(F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit(1), "norm").alias("h2"), "wide", last.alias("last"))
+    each = wide.select("h1", "h2", "wide", "last", F.explode(F.sequence(F.lit(0), "last", F.lit(STRIDE))).alias("at"))
+    # Behind the end the last shingle is taken again.
+    piece = lambda k: F.substr("wide", F.least(F.col("at") + k, F.col("last")) * 2 + 1, F.lit(2 * SHINGLE))
+    hashed = each.select("h1", "h2", "at", *[F.xxhash64(piece(k)).alias(f"hash{k}") for k in range(STRIDE)])
+    turned = lambda bits: F.least(*[F.col(f"hash{k}").bitwiseXOR(F.lit(bits)) for k in range(STRIDE)])
+    least = [F.min(turned(bits)).alias(f"least{k}") for k, bits in enumerate(TURNED)]
     merged = hashed.groupBy("h1", "h2").agg(F.sum((F.col("at") == 0).cast("long")).alias("times"), *least)
     values = [F.xxhash64(F.lit(b), *[F.col(f"least{b * ROWS + k}") for k in range(ROWS)]) for b in range(BANDS)]
     return merged.select("h1", "h2", "times", F.array(*values).alias("bands"))
 
 
+def bounds_of(texts: DataFrame) -> DataFrame:
+    """The number of shingles of each text (row, items) and their parities, a long a column."""
+    each = texts.select("row", F.explode(shingles(F.col("items"))).alias("hash"))
+    word, bit = F.shiftright("hash", 6).bitwiseAND(F.lit(WORDS - 1)), F.expr("shiftleft(1L, cast(hash & 63 as int))")
+    odd = [F.bit_xor(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))).alias(f"word{k}") for k in range(WORDS)]
+    return each.groupBy("row").agg(F.count("*").alias("n"), *odd)
+
+
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str = "__row") -> DataFrame:
     """Lines of numbered documents that go (row, pos): all of a component of similar lines but the first by doc_id
     and position. Equal lines are one entry, however many there are."""
@@ -92,11 +104,14 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     first = entries.filter("id is not null").select("id", F.col("place.row").alias("row"), F.col("place.pos").alias("pos"))
     placed = lines.select("row", "pos", "line").join(broadcast_if_small(first, SMALL), ["row", "pos"]).select(
         F.col("id").alias("row"), normal(F.col("line")).alias("items"))
-    texts = stored(placed.select("row", "items", F.size(shingles(F.col("items"))).cast("long").alias("n")), "texts")
-    lists = stored(met.join(broadcast_if_small(listed, SMALL), ["h1", "h2"]).withColumnRenamed("id", "row").join(texts.select("row", "n"), "row").select(
+    texts = stored(placed, "texts")
+    told = stored(bounds_of(texts), "told")
+    # Lines too long for their parities to tell bring their sets.
+    long = told.filter(F.col("n") > 64 * WORDS).select("row").join(texts, "row").select("row", shingles(F.col("items")).alias("more"))
+    bounds = told.select("row", "n", F.array(*[f"word{k}" for k in range(WORDS)]).alias("words")).join(long, "row", "left")
+    lists = stored(met.join(broadcast_if_small(listed, SMALL), ["h1", "h2"]).withColumnRenamed("id", "row").join(told.select("row", "n"), "row").select(
         "list", "row", "n", F.lit(1).alias("matches"), F.col("times").cast("double").alias("common")), "lists")
-    lists_of = signed.join(broadcast_if_small(listed, SMALL), ["h1", "h2"]).select(F.col("id").alias("row"), F.col("bands").alias("all"))
-    links = list_links(lists, lambda met: texts.select("row", "items"), PERCENT, lists_of, carry_sets=True, items=shingles)
+    links = list_links(lists, lambda met: texts, PERCENT, bounds, lambda x, y, sizes: similar(x, y, PERCENT), rounds=1, items=shingles)
     found = stored(components(links), "components")
     several = stored(entries.join(found.withColumnRenamed("node", "id"), "id", "left").filter("times > 1 or component is not null"), "several")
     stays = several.filter("component is not null").groupBy("component").agg(F.min("place").alias("stays"))

@@ -7,12 +7,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veldcube.functions.session import broadcast_if_small
 from veldcube.llm.common import components, numbered, stored
-from veldcube.llm.list_links import list_links
+from veldcube.llm.list_links import WORDS, close_enough, list_links
 
 #: log2 of the counters of the frequency sketch. It orders shingles only: a coarse one costs time, never links.
 SKETCH_BITS = 22
@@ -181,8 +181,35 @@ def choose_prefix(frequencies: np.ndarray, percent: int, floor: float) -> tuple[
     return n - overlap + best + 1, best + 1
 
 
+def parities(items: np.ndarray, words: int) -> np.ndarray:
+    """`words` longs of bits: whether an odd number of items fall to each. Halves of a longer form make the shorter one."""
+    odd = np.bincount((items & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def more_words(n: int) -> int:
+    """Longs in the larger parities of a set of `n` items, a bit an item or more; 0 if WORDS are enough."""
+    words = 1 << max(0, n - 1).bit_length()
+    return words // 64 if words > 64 * WORDS else 0
+
+
+def large_may_link(percent: int) -> Callable[[Column, Column, Column], Column]:
+    """Whether the larger parities of two sets leave it open that they are similar."""
+
+    def finer(x: Column, y: Column, sizes: Column) -> Column:
+        size = F.least(F.size(x), F.size(y))
+        xor = lambda p, q: p.bitwiseXOR(q)
+        halved = lambda z: F.zip_with(F.slice(z, F.lit(1), size), F.slice(z, size + 1, size), xor)
+        same = lambda z: F.when(F.size(z) == size, z).when(F.size(z) == 2 * size, halved(z))
+        bits = F.zip_with(same(x), same(y), lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+        # Of sets more than two steps apart in size, which don't get here, nothing is said.
+        return F.coalesce(close_enough(F.aggregate(bits, F.lit(0), lambda total, b: total + b), sizes, percent), F.lit(True))
+
+    return finer
+
+
 def prefixes(rows: DataFrame, sketch: np.ndarray, words: int, percent: int) -> DataFrame:
-    """The prefix of each row's set in the order of frequency: row, n, matches, common, prefix."""
+    """The prefix of each row's set in the order of frequency: row, n, matches, common, prefix; and its parities, words and more."""
     shipped = rows.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +217,7 @@ def prefixes(rows: DataFrame, sketch: np.ndarray, words: int, percent: int) -> D
         floor = float(np.median(seen[::64]))
         for batch in batches:
             for piece in _pieces(batch):
-                sizes, matches, common, kept = [], [], [], []
+                sizes, matches, common, kept, told, more = [], [], [], [], [], []
                 for s in shingler(piece.column(1).to_pylist()):
                     often = seen[(s & mask).astype(np.int64)]
                     order = np.argsort(often, kind="stable")
@@ -199,11 +226,15 @@ def prefixes(rows: DataFrame, sketch: np.ndarray, words: int, percent: int) -> D
                     matches.append(l)
                     common.append(float(np.log2(1.0 + often).mean()) if len(s) else 0.0)
                     kept.append(s[order[:length]])
+                    told.append(parities(s, WORDS))
+                    larger = more_words(len(s))
+                    more.append(_signed(parities(s, larger)) if larger else None)
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array(sizes, pa.int64()), pa.array(matches, pa.int32()), pa.array(common, pa.float64()), _lists(kept)],
-                    ["row", "n", "matches", "common", "prefix"])
+                    [piece.column(0), pa.array(sizes, pa.int64()), pa.array(matches, pa.int32()), pa.array(common, pa.float64()), _lists(kept), _lists(told),
+                     pa.array(more, pa.list_(pa.int64()))], ["row", "n", "matches", "common", "prefix", "words", "more"])
 
-    return rows.select("row", "text").mapInArrow(run, "row long, n long, matches int, common double, prefix array<long>")
+    return rows.select("row", "text").mapInArrow(
+        run, "row long, n long, matches int, common double, prefix array<long>, words array<long>, more array<long>")
 
 
 def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
@@ -223,10 +254,10 @@ def similar_links(rows: DataFrame, sketch: np.ndarray, classes: DataFrame, words
     placed = chosen.select(F.explode("prefix").alias("list"), "row")
     shared = stored(placed.groupBy("list").agg(F.count("*").alias("size")).filter("size > 1").select("list"), "shared")
     lists = stored(
-        placed.join(broadcast_if_small(shared, SMALL), "list").join(chosen.drop("prefix"), "row")
+        placed.join(broadcast_if_small(shared, SMALL), "list").join(chosen.select("row", "n", "matches", "common"), "row")
         .select("list", "row", "n", "matches", "common"), "lists")
     sets_of = lambda met: stored(shingle_sets(rows.join(broadcast_if_small(met, SMALL), "row", "left_semi"), words), "sets")
-    return list_links(lists, sets_of, percent, chosen.select("row", F.col("prefix").alias("all")))
+    return list_links(lists, sets_of, percent, chosen.select("row", "n", "words", "more"), large_may_link(percent))
 
 
 def similar_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
