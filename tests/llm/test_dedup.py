@@ -1,6 +1,8 @@
+import glob
 import hashlib
 import itertools
 import re
+import time
 
 import numpy as np
 import pytest
@@ -214,6 +216,21 @@ def test_signatures_are_of_different_lines_and_likely_alike(make_docs, prose):
     assert sum(bool(bands[i] & bands[j]) for i, j in itertools.combinations(range(30), 2)) < 22
 
 
+def test_stored_tables_leave_no_shuffle_files(spark):
+    rows = spark.range(20_000).withColumn("key", F.col("id") % 997).groupBy("key").agg(F.collect_list("id").alias("ids"))
+    folder = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    shuffles = lambda: {f for top in folder for f in glob.glob(f"{top}/**/shuffle_*.data", recursive=True)}
+    before = shuffles()
+    setting = spark.conf.get(common.FREE_SHUFFLES, None)
+    made = common.stored(rows, "grouped")
+    for _ in range(50):
+        if shuffles() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffles() <= before and spark.conf.get(common.FREE_SHUFFLES, None) == setting
+    assert made.count() == 997
+
+
 @pytest.mark.parametrize("size", [50, 700, 3_000, 9_000])
 def test_bounds_of_sets_rule_out_unlike_pairs_only(spark, size):
     """Sets from equal to unlike, small ones and such as need more than the first words."""
